@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views
+from tarmac.functions.lineage import lineage_columns
+from tarmac.functions.pages import items_at
+from tarmac.functions.times import parse_utc_minute
+from tarmac.operators import audits, dimensions, flatten, keyed, metrics, quality
 from tarmac.operators import features as feat
-from tarmac.operators import metrics
+from tarmac.schemas import FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH
+from tarmac.settings import (
+    FLIGHT_KEYS,
+    FLIGHT_PAGE_LIMIT,
+    REFERENCE_PAGE_LIMIT,
+    REFERENCE_RESOURCES,
+)
+from tarmac.sources import landing
 
 
 def airport_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +79,132 @@ def business_features(spark, sf_dir):
     )
 
 
+def json_flatten_events(spark, sf_dir):
+    pages = landing.good_pages(landing.classify(views.flight_pages(spark, sf_dir)))
+    return flatten.flight_items(pages)
+
+
+def singleton_array(spark, sf_dir):
+    pages = landing.classify(views.flight_pages(spark, sf_dir))
+    items = items_at(F.col("payload"), FLIGHT_ITEMS_PATH, FLIGHT_ITEM)
+    return pages.select("page_id", "event_type", F.size(items).cast("bigint").alias("n_items"))
+
+
+def classify_pages(spark, sf_dir):
+    return landing.classify(views.responses(spark, sf_dir)).select(
+        "event_id", "page_status", "error_type", "error_description", "total_count"
+    )
+
+
+def lineage_parse(spark, sf_dir):
+    names = views.file_names(spark, sf_dir)
+    lineage = lineage_columns(F.col("file_name"))
+    return names.select("event_id", *(value.alias(name) for name, value in lineage.items()))
+
+
+def parse_ts(spark, sf_dir):
+    return views.clock_texts(spark, sf_dir).select(
+        "event_id", "clock_text", parse_utc_minute(F.col("clock_text")).alias("parsed")
+    )
+
+
+def valid_split(spark, sf_dir):
+    rows = quality.valid_rows(views.incomplete_flights(spark, sf_dir), FLIGHT_KEYS)
+    return rows.select("event_id", *FLIGHT_KEYS)
+
+
+def quarantine_split(spark, sf_dir):
+    rows = quality.quarantined_rows(views.incomplete_flights(spark, sf_dir), FLIGHT_KEYS)
+    return rows.select("event_id", *FLIGHT_KEYS)
+
+
+def reference_rows(spark, sf_dir, endpoint):
+    pages = landing.good_pages(landing.classify(views.reference_pages(spark, sf_dir, endpoint)))
+    return flatten.reference_items(pages, endpoint)
+
+
+def reference_family(spark, sf_dir):
+    parts = [
+        reference_rows(spark, sf_dir, endpoint).toDF(
+            "code", "name", *(["c", "d", "e", "f", "g"] if endpoint == "airports" else [])
+        ).select(F.lit(endpoint).alias("endpoint"), "code", "name")
+        for endpoint in REFERENCE_RESOURCES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def cast_dims(spark, sf_dir):
+    return reference_rows(spark, sf_dir, "airports").select(
+        "airport_code", "latitude", "longitude", "time_zone_offset"
+    )
+
+
+def _dimension(endpoint):
+    def query(spark, sf_dir):
+        return dimensions.coded_rows(reference_rows(spark, sf_dir, endpoint))
+
+    return query
+
+
+def dim_airports(spark, sf_dir):
+    airports, cities, countries = (
+        _dimension(endpoint)(spark, sf_dir) for endpoint in ("airports", "cities", "countries")
+    )
+    return dimensions.join_airports(airports, cities, countries)
+
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+
+
+def dedup_lineitem(spark, sf_dir):
+    return keyed.latest_per_key(views.table(spark, sf_dir, "lineitem"), LINE_KEYS, ["l_shipdate"])
+
+
+def _finished_and_open(spark, sf_dir):
+    lines = views.table(spark, sf_dir, "lineitem")
+    finished = lines.filter("l_linestatus = 'F'")
+    return keyed.latest_per_key(finished, LINE_KEYS, ["l_shipdate"]), lines.filter(
+        "l_linestatus = 'O'"
+    )
+
+
+def upsert_scd1(spark, sf_dir):
+    return keyed.upsert(*_finished_and_open(spark, sf_dir), LINE_KEYS)
+
+
+def upsert_keep_columns(spark, sf_dir):
+    return keyed.upsert(*_finished_and_open(spark, sf_dir), LINE_KEYS, keep=["l_tax"]).select(
+        *LINE_KEYS, "l_partkey", "l_shipdate", "l_tax"
+    )
+
+
+def cdc_latest(spark, sf_dir):
+    events = views.table(spark, sf_dir, "events").drop("props")
+    order = ["ts", "event_id"]
+    first = keyed.latest_per_key(events.filter("value >= 250"), ["user_id"], order)
+    return keyed.upsert(first, events.filter("value < 250"), ["user_id"], order)
+
+
+def page_gaps(spark, sf_dir):
+    return audits.page_gaps(views.landed_pages(spark, sf_dir), ["request_id"], FLIGHT_PAGE_LIMIT)
+
+
+def coverage_gaps(spark, sf_dir):
+    landed = views.landed_slots(spark, sf_dir)
+    spans = landed.groupBy("hub").agg(
+        F.min("day").alias("first_day"), F.max("day").alias("last_day")
+    )
+    return audits.coverage_gaps(landed, spans)
+
+
+def page_dupes(spark, sf_dir):
+    items = views.landed_items(spark, sf_dir)
+    totals = audits.latest_totals(items, ["request_id"])
+    return audits.page_duplicates(
+        items, totals, ["request_id"], ["record_key"], REFERENCE_PAGE_LIMIT
+    )
+
+
 QUERIES = {
     "airport_hourly": airport_hourly,
     "ripple_3h": ripple_3h,
@@ -76,4 +215,23 @@ QUERIES = {
     "status_category": status_category,
     "valid_flights": valid_flights,
     "business_features": business_features,
+    "json_flatten_events": json_flatten_events,
+    "singleton_array": singleton_array,
+    "classify_pages": classify_pages,
+    "lineage_parse": lineage_parse,
+    "parse_ts": parse_ts,
+    "valid_split": valid_split,
+    "quarantine_split": quarantine_split,
+    "reference_family": reference_family,
+    "cast_dims": cast_dims,
+    "dim_airports": dim_airports,
+    "dim_airlines": _dimension("airlines"),
+    "dim_aircraft": _dimension("aircraft"),
+    "dedup_lineitem": dedup_lineitem,
+    "upsert_scd1": upsert_scd1,
+    "upsert_keep_columns": upsert_keep_columns,
+    "cdc_latest": cdc_latest,
+    "page_gaps": page_gaps,
+    "coverage_gaps": coverage_gaps,
+    "page_dupes": page_dupes,
 }

@@ -156,3 +156,269 @@ def as_text(ts: str):
     return F.concat(
         F.regexp_replace(F.substring(F.col(ts).cast("string"), 1, 16), " ", "T"), F.lit("Z")
     )
+
+
+def _page_text(items, count, open_text: str, close_text: str):
+    """A response body: an array of items, or the bare item when there is one."""
+    joined = F.array_join(items, ",")
+    body = F.when(F.size(items) == 1, joined).otherwise(F.concat(F.lit("["), joined, F.lit("]")))
+    meta = F.concat(F.lit(',"Meta":{"TotalCount":'), count.cast("string"), F.lit("}}}"))
+    return F.concat(F.lit(open_text), body, F.lit(close_text), meta)
+
+
+def pages_of(rows: DataFrame, item_json, page_keys: list, open_text: str, close_text: str):
+    """Rows packed into pages; ``page_keys`` bound how many rows share a page."""
+    return (
+        rows.select(*page_keys, item_json.alias("item_json"))
+        .groupBy(*[key if isinstance(key, str) else "page_id" for key in page_keys])
+        .agg(F.collect_list("item_json").alias("items"))
+        .withColumn("page_text", _page_text(F.col("items"), F.size("items"), open_text, close_text))
+    )
+
+
+def _leg(prefix: str, airport: str, scheduled: str, actual: str):
+    return F.struct(
+        F.col(airport).alias("AirportCode"),
+        F.struct(as_text(scheduled).alias("DateTime")).alias("ScheduledTimeUTC"),
+        F.struct(as_text(actual).alias("DateTime")).alias("ActualTimeUTC"),
+        F.struct(
+            F.col(f"{prefix}_terminal").alias("Name"), F.col(f"{prefix}_gate").alias("Gate")
+        ).alias("Terminal"),
+        F.struct(
+            F.col(f"{prefix}_time_status_code").alias("Code"),
+            F.col(f"{prefix}_time_status_desc").alias("Definition"),
+        ).alias("TimeStatus"),
+    )
+
+
+def flight_json():
+    return F.to_json(
+        F.struct(
+            F.struct(
+                F.col("airline_id").alias("AirlineID"), F.col("flight_number").alias("FlightNumber")
+            ).alias("OperatingCarrier"),
+            _leg(
+                "dep", "dep_airport_code", "scheduled_departure_utc", "actual_departure_utc"
+            ).alias("Departure"),
+            _leg("arr", "arr_airport_code", "scheduled_arrival_utc", "actual_arrival_utc").alias(
+                "Arrival"
+            ),
+            F.struct(
+                F.col("aircraft_code").alias("AircraftCode"),
+                F.col("aircraft_registration").alias("AircraftRegistration"),
+            ).alias("Equipment"),
+            F.struct(
+                F.col("flight_status_code").alias("Code"),
+                F.col("flight_status_desc").alias("Definition"),
+            ).alias("FlightStatus"),
+        )
+    )
+
+
+FLIGHT_PAGE_OPEN = '{"FlightStatusResource":{"Flights":{"Flight":'
+
+
+def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights as API pages: at most 50 of one event type, a lone one as a bare object."""
+    page_id = F.expr("event_id div 50").alias("page_id")
+    return pages_of(
+        flights_with_id(spark, sf_dir),
+        flight_json(),
+        [page_id, "event_type"],
+        FLIGHT_PAGE_OPEN,
+        "}",
+    )
+
+
+def incomplete_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights some of whose keys are missing."""
+    return (
+        flights_with_id(spark, sf_dir)
+        .withColumn("airline_id", F.expr("case when event_id % 11 > 0 then airline_id end"))
+        .withColumn("flight_number", F.expr("case when event_id % 13 > 0 then flight_number end"))
+        .withColumn(
+            "scheduled_departure_utc",
+            F.expr("case when event_id % 19 > 0 then scheduled_departure_utc end"),
+        )
+    )
+
+
+def _reference_json(code_field: str, code, name, plural, extra=()):
+    """An item whose name is one object, or a list of them where ``plural``."""
+    english = F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$"))
+    german = F.struct(F.lit("DE").alias("@LanguageCode"), F.lit("Name").alias("$"))
+
+    def item(names):
+        return F.to_json(F.struct(code.alias(code_field), F.struct(names.alias("Name")).alias("Names"), *extra))
+
+    return F.when(plural, item(F.array(english, german))).otherwise(item(english))
+
+
+def _position():
+    latitude = F.when(F.col("s_acctbal") < 1000, F.lit("n/a")).otherwise(
+        F.col("s_acctbal").cast("string")
+    )
+    return F.struct(
+        F.struct(
+            latitude.alias("Latitude"), (-F.col("s_acctbal")).cast("string").alias("Longitude")
+        ).alias("Coordinate")
+    )
+
+
+def reference_pages(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
+    """Suppliers, nations, regions, customers and parts as the five reference endpoints.
+
+    City codes run past the known nations and country codes past the known
+    regions, so some airports find no name. Customers share 25 airline codes,
+    and those of one market segment have none.
+    """
+    open_text, close_text = {
+        "airports": ('{"AirportResource":{"Airports":{"Airport":', "}"),
+        "cities": ('{"CityResource":{"Cities":{"City":', "}"),
+        "countries": ('{"CountryResource":{"Countries":{"Country":', "}"),
+        "airlines": ('{"AirlineResource":{"Airlines":{"Airline":', "}"),
+        "aircraft": ('{"AircraftResource":{"AircraftSummaries":{"AircraftSummary":', "}"),
+    }[endpoint]
+    source, key = {
+        "airports": ("supplier", "s_suppkey"),
+        "cities": ("nation", "n_nationkey"),
+        "countries": ("region", "r_regionkey"),
+        "airlines": ("customer", "c_custkey"),
+        "aircraft": ("part", "p_partkey"),
+    }[endpoint]
+    plural = F.col(key) % 2 == 0
+    if endpoint == "airports":
+        item = _reference_json(
+            "AirportCode",
+            F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),
+            F.col("s_name"),
+            plural,
+            (
+                F.concat(F.lit("N"), (F.col("s_nationkey") + 3).cast("string")).alias("CityCode"),
+                F.concat(F.lit("R"), (F.col("s_suppkey") % 7).cast("string")).alias("CountryCode"),
+                _position().alias("Position"),
+                F.concat(F.lit("+0"), (F.col("s_suppkey") % 3).cast("string")).alias("UtcOffset"),
+            ),
+        )
+    elif endpoint == "airlines":
+        code = F.when(
+            F.col("c_mktsegment") != "BUILDING",
+            F.concat(F.lit("C"), F.col("c_nationkey").cast("string")),
+        )
+        item = _reference_json("AirlineID", code, F.col("c_name"), plural)
+    else:
+        field, letter, name = {
+            "cities": ("CityCode", "N", "n_name"),
+            "countries": ("CountryCode", "R", "r_name"),
+            "aircraft": ("AircraftCode", "P", "p_name"),
+        }[endpoint]
+        code = F.concat(F.lit(letter), F.col(key).cast("string"))
+        item = _reference_json(field, code, F.col(name), plural)
+    page_id = F.expr(f"cast({key} as bigint) div 100").alias("page_id")
+    return pages_of(table(spark, sf_dir, source), item, [page_id], open_text, close_text)
+
+
+# One API response per event: data, both kinds of error, and things that are neither.
+RESPONSE_TEXT = """
+case event_type
+  when 'click' then concat('{"FlightStatusResource":{"Flights":{},"Meta":{"TotalCount":',
+    event_id % 300, '}}}')
+  when 'error' then case event_id % 5
+    when 0 then concat('{"ProcessingErrors":{"ProcessingError":{"Type":"T', user_id,
+      '","Description":"not found"}}}')
+    when 1 then concat('{"ProcessingErrors":{"ProcessingError":[{"Type":"T', user_id,
+      '"},{"Type":"second"}]}}')
+    when 2 then concat('{"ProcessingErrors":[{"Description":"D', user_id, '"}]}')
+    when 3 then '{"ProcessingErrors":{"Type":"flat","Description":"direct"}}'
+    else '{"ProcessingErrors":null,"message":"late"}' end
+  when 'purchase' then case event_id % 7
+    when 0 then '{"Error":"bad gateway"}' when 1 then concat('{"error":', props, '}')
+    when 2 then concat('{"ERROR":', user_id, '}') when 3 then '{"message":"slow"}'
+    when 4 then '{"Message":[1]}' when 5 then '{"detail":true}'
+    else '{"data":1,"details":"0"}' end
+  when 'signup' then case event_id % 6
+    when 0 then '{"message":""}' when 1 then '{"detail":0,"details":[]}'
+    when 2 then '{"Error":null,"error":false,"ERROR":{}}'
+    when 3 then '{"Meta":{"TotalCount":5},"message":"kept"}'
+    when 4 then '{"MESSAGE":"other spelling"}' else '{"message":"","detail":"second key"}' end
+  else case event_id % 3
+    when 0 then '[1, 2]' when 1 then '{"cut off": ' else '<html>busy</html>' end
+end
+"""
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"{RESPONSE_TEXT} as page_text"
+    )
+
+
+FILE_NAME_TEXT = """
+case event_type
+  when 'click' then concat(stamp, '_FRA_arrivals_', day, 'T0400_off', event_id, '_lim50.json')
+  when 'view' then concat(stamp, '_A_B', user_id, '_departures_', day, 'T2000_off0_lim',
+    user_id, '.json')
+  when 'purchase' then concat(stamp, '_ref_airports_off', event_id, '_lim100.json')
+  when 'signup' then concat(stamp, '_ref_cities_lim100.json')
+  else concat('report_', event_id, '.csv') end
+"""
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names as the fetcher writes them, and some that are not its own."""
+    stamped = table(spark, sf_dir, "events").selectExpr(
+        "*",
+        "regexp_replace(substr(cast(ts as string), 1, 19), '[^0-9]', '') as stamp",
+        "substr(cast(ts as string), 1, 10) as day",
+    )
+    return stamped.selectExpr("event_id", f"{FILE_NAME_TEXT} as file_name")
+
+
+CLOCK_TEXT = """
+case event_type
+  when 'click' then concat(minute_text, 'Z') when 'view' then concat(minute_text, ':30Z')
+  when 'purchase' then '' when 'signup' then concat('2024-13-', substr(minute_text, 9), 'Z')
+  else case when event_id % 2 = 0 then minute_text
+    else concat('2024-02-30', substr(minute_text, 11), 'Z') end end
+"""
+
+
+def clock_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as text, in and out of the API's shape."""
+    clocked = table(spark, sf_dir, "events").selectExpr(
+        "*", "replace(substr(cast(ts as string), 1, 16), ' ', 'T') as minute_text"
+    )
+    return clocked.selectExpr("event_id", f"{CLOCK_TEXT} as clock_text")
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as landed pages: half pages where a full one failed, repeats, holes."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as request_id",
+        "l_shipdate as fetched_at",
+        "(l_linenumber - 1) * 50L + if(l_linestatus = 'O' and l_returnflag = 'R', 25, 0)"
+        " as page_offset",
+        "if(l_linestatus = 'O', 25L, 50L) as page_limit",
+        "350L - cast(l_quantity as bigint) as total_count",
+    )
+
+
+def landed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as records on pages: a supplier is a request, a part is a record."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey as request_id",
+        "l_partkey as record_key",
+        "(l_linenumber - 1) * 50L as page_offset",
+        "l_shipdate as fetched_at",
+        "cast(floor(l_extendedprice / 100) as bigint) as total_count",
+    )
+
+
+def landed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as requests made: a user is a hub, an event a page in its four-hour slot."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(user_id as string) as hub",
+        "to_date(ts) as day",
+        "concat(lpad(cast(hour(ts) div 4 * 4 as string), 2, '0'), ':00') as slot",
+        "if(event_type in ('click', 'view'), 'arrivals', 'departures') as flight_type",
+    )
