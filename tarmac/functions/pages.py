@@ -6,8 +6,6 @@ Variant paths are case-sensitive, which the error keys need.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,41 +40,29 @@ def english_name(names: Column) -> Column:
     return F.coalesce(text_at(names, '$["$"]'), text_at(names, '$[0]["$"]'))
 
 
-def is_object(payload: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(payload).startswith("OBJECT"), F.lit(False))
-
-
 def _has_content(value: Column) -> Column:
     """True unless the value is absent, null, false, zero or empty."""
-    kind = F.schema_of_variant(value)
-    text = value.try_cast("string")
-    empty_text = (kind == "STRING") & (text == "")
-    empty_box = text.isin("[]", "{}") & ~(kind == "STRING")
-    zero = ~(kind == "STRING") & F.coalesce(value.try_cast("double") == 0, F.lit(False))
-    no = (kind == "BOOLEAN") & (text == "false")
-    blank = empty_text | empty_box | zero | no
-    return value.isNotNull() & (kind != "VOID") & ~F.coalesce(blank, F.lit(False))
+    text = F.to_json(value)
+    blank = text.isin("null", "false", '""', "[]", "{}") | text.try_cast("double").eqNullSafe(0)
+    return F.coalesce(~blank, F.lit(False))
 
 
 def _present(payload: Column, key: str) -> Column:
     return at(payload, f"$.{key}").isNotNull()
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions)
-
-
-def page_status(payload: Column) -> Column:
-    """``ok``, ``api_error``, ``proxy_error`` or ``malformed``.
+def page_status(page_text: Column, payload: Column) -> Column:
+    """``ok``, ``api_error``, ``proxy_error`` or ``malformed``; ``payload`` is the parsed text.
 
     A proxy error is a response that claims success but carries neither data
     nor an API error, only a message under one of several spellings.
     """
-    proxy_message = _any([_has_content(at(payload, f"$.{key}")) for key in PROXY_ERROR_KEYS])
+    is_object = payload.isNotNull() & page_text.rlike(r"^\s*\{")
+    messages = F.array(*(at(payload, f"$.{key}") for key in PROXY_ERROR_KEYS))
     return (
-        F.when(~is_object(payload), "malformed")
+        F.when(~is_object, "malformed")
         .when(_present(payload, ERROR_ROOT), "api_error")
-        .when(~_present(payload, META) & proxy_message, "proxy_error")
+        .when(~_present(payload, META) & F.exists(messages, _has_content), "proxy_error")
         .otherwise("ok")
     )
 

@@ -28,6 +28,15 @@ def minutes_between(start: Column, end: Column) -> Column:
     return F.round(seconds / 60).cast("bigint")
 
 
+def as_instant(utc: Column) -> Column:
+    """UTC kept as TIMESTAMP_NTZ as the TIMESTAMP of that instant, for watermarks.
+
+    A plain cast would read the clock in the session zone instead.
+    """
+    since_epoch = utc - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_seconds(since_epoch.cast("interval second").cast("decimal(20, 6)"))
+
+
 def is_weekend(day: Column) -> Column:
     return F.coalesce(F.dayofweek(day).isin(*WEEKEND_DAYS), F.lit(False))
 

@@ -75,3 +75,32 @@ BRONZE_PAGES = (
     " flight_type string, slot_start timestamp_ntz, page_offset bigint, page_limit bigint,"
     " total_count bigint, bronze_ingested_at timestamp"
 )
+
+FACT_STORED = FACT_FLIGHTS + ", fetched_at timestamp_ntz, silver_processed_at timestamp"
+PARSED_FLIGHTS = (
+    FACT_FLIGHTS
+    + ", fetched_at timestamp_ntz, file_name string, silver_processed_at timestamp, route string"
+)
+
+_HOURLY_KEYS = "scheduled_date date, scheduled_hour int, direction string"
+_PERFORMANCE_KEYS = (
+    "flight_number string, direction string, airline_id string, aircraft_code string"
+)
+_MEASURES = (
+    "total_flights bigint, on_time_flights bigint, cancelled_flights bigint,"
+    " total_delay_minutes bigint, measured_flights bigint, max_delay_minutes bigint"
+)
+
+HOURLY_PARTS = f"flight_day date, {_HOURLY_KEYS}, {_MEASURES}"
+PERFORMANCE_PARTS = f"flight_day date, {_PERFORMANCE_KEYS}, {_MEASURES}"
+
+HOURLY_REPORT = (
+    f"{_HOURLY_KEYS}, is_weekend boolean, is_morning_wave boolean, total_flights bigint,"
+    " on_time_flights bigint, cancelled_flights bigint, total_delay_minutes bigint,"
+    " avg_delay_minutes double, past_3_hours_delay bigint, gold_processed_at timestamp"
+)
+PERFORMANCE_REPORT = (
+    f"{_PERFORMANCE_KEYS}, total_flights bigint, cancelled_times bigint,"
+    " avg_delay_minutes double, max_delay_minutes bigint, on_time_times bigint,"
+    " on_time_rate double, gold_processed_at timestamp"
+)

@@ -1,0 +1,114 @@
+"""A Parquet table that can be merged into by key.
+
+Plain Parquet has no MERGE, so a merge rewrites the parts it touches (for
+flights, calendar days) next to the old ones and then appends one small file
+that says which version of each part counts:
+
+    <root>/data/version=<n>/part=<part>/...
+    <root>/commits/...        rows: version, part, present
+
+A reader follows the commits, so it sees all of a merge or nothing, and a run
+that dies half-way leaves only a directory nobody reads; the next run writes
+over it. Repeating a merge is harmless: the outcome depends on the rows alone.
+One writer at a time.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tarmac.operators import keyed
+
+_COMMITS = "version bigint, part string, present boolean"
+WHOLE = "all"
+
+
+@dataclass
+class KeyedTable:
+    """``part`` names a text column derived from the keys; without it the table is one part.
+
+    Part values become directory names and their number is held on the driver,
+    so a part is a coarse unit such as a day, never an entity.
+    """
+
+    spark: SparkSession
+    root: str
+    schema: str
+    keys: list[str]
+    sequence: list[str] = field(default_factory=list)
+    part: Column | None = None
+
+    def versions(self) -> dict[str, int]:
+        """The version that counts for each part that has rows; one entry per part."""
+        newest = self._commits().groupBy("part").agg(
+            F.max("version").alias("version"), F.max_by("present", "version").alias("present")
+        )
+        return {row.part: row.version for row in newest.filter("present").collect()}
+
+    def exists(self) -> bool:
+        return not self._commits().isEmpty()
+
+    def read(self, parts: list[str] | None = None) -> DataFrame:
+        """Current rows, of all parts or only of those named."""
+        current = self.versions()
+        wanted = current.keys() if parts is None else current.keys() & set(parts)
+        paths = [self._part_path(current[part], part) for part in sorted(wanted)]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def upsert(self, source: DataFrame, keep: list[str] = ()) -> list[str]:
+        """Merge ``source`` in and return the parts it touched; only those are read and rewritten.
+
+        On a table that does not exist yet this is the initial load.
+        """
+        touched = [row[0] for row in source.select(self._part_column()).distinct().collect()]
+        if touched:
+            merged = keyed.upsert(self.read(touched), source, self.keys, self.sequence, keep)
+            self.replace(merged, touched)
+        return touched
+
+    def replace(self, rows: DataFrame, parts: list[str] = (WHOLE,)) -> None:
+        """Make ``rows`` the whole content of ``parts``; a part without rows becomes empty."""
+        version = (self._commits().agg(F.max("version")).first()[0] or 0) + 1
+        path = f"{self.root}/data/version={version}"
+        columns = StructType.fromDDL(self.schema).names
+        placed = rows.select(*columns, self._part_column())
+        # Rebalancing splits a part with too many rows over several writers and
+        # keeps a small one in one file.
+        placed.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(path)
+        stored = self.spark.read.schema(f"{self.schema}, part string").parquet(path)
+        present = {row.part for row in stored.select("part").distinct().collect()}
+        entries = [(version, part, part in present) for part in parts]
+        commit = self.spark.createDataFrame(entries, _COMMITS).coalesce(1)
+        commit.write.mode("append").parquet(f"{self.root}/commits")
+
+    def stale_paths(self) -> list[str]:
+        """Directories no current version uses, for whoever cleans up storage."""
+        current = self.versions()
+        written = self._commits().filter("present").select("version", "part").distinct()
+        return sorted(
+            self._part_path(row.version, row.part)
+            for row in written.collect()
+            if current.get(row.part) != row.version
+        )
+
+    def _part_column(self) -> Column:
+        part = F.lit(WHOLE) if self.part is None else self.part.cast("string")
+        return part.alias("part")
+
+    def _part_path(self, version: int, part: str) -> str:
+        return f"{self.root}/data/version={version}/part={part}"
+
+    def _commits(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _COMMITS)

@@ -14,17 +14,17 @@ RESOURCES = [FLIGHT_RESOURCE, *REFERENCE_RESOURCES.values()]
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page files as rows of ``page_text`` and ``file_name``."""
-    return _named(spark.read.option("wholetext", True).text(path))
+    return _named(spark.read.text(path, wholetext=True))
 
 
 def stream_pages(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """The same as a stream that takes each file once."""
-    reader = spark.readStream.option("wholetext", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _named(reader.text(path))
+    return _named(reader.text(path, wholetext=True))
 
 
 def _named(files: DataFrame) -> DataFrame:
@@ -42,11 +42,15 @@ def total_count(payload: Column) -> Column:
 def classify(pages: DataFrame) -> DataFrame:
     """Parse ``page_text`` once and say whether it is data.
 
-    The text itself is kept for pages that are not, so nothing is lost.
+    The text itself is kept for pages that are not, so nothing is lost. The
+    parse sits in a generator because Spark copies a projected expression into
+    every filter above it, and a filter on the status names it many times.
     """
     payload = F.col("payload")
-    parsed = pages.withColumn("payload", F.try_parse_json("page_text"))
-    judged = parsed.withColumn("page_status", page_status(payload))
+    once = F.inline(F.array(F.struct(F.try_parse_json("page_text").alias("payload"))))
+    judged = pages.select("*", once).withColumn(
+        "page_status", page_status(F.col("page_text"), payload)
+    )
     failed = F.col("page_status") == "api_error"
     others = [name for name in pages.columns if name != "page_text"]
     return judged.select(
