@@ -52,9 +52,10 @@ def page_coverage(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
         .distinct()
     )
     size = F.lit(limit).cast("bigint")
-    first_home = F.floor(F.col("page_offset") / size).cast("bigint") * size
-    last_home = F.floor((F.col("piece_end") - 1) / size).cast("bigint") * size
-    placed = pieces.withColumn("home_offset", F.explode(F.sequence(first_home, last_home, size)))
+    last = F.col("piece_end") - 1
+    first_home = F.col("page_offset") - F.col("page_offset") % size
+    homes = F.sequence(first_home, last - last % size, size)
+    placed = pieces.withColumn("home_offset", F.explode(homes))
     before = (
         Window.partitionBy(*group, "home_offset")
         .orderBy("page_offset", "piece_end")
@@ -64,10 +65,12 @@ def page_coverage(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
     start = F.greatest(F.col("page_offset"), F.col("home_offset"), reached)
     stop = F.least(F.col("piece_end"), F.col("home_offset") + size)
     added = F.greatest(stop - start, F.lit(0).cast("bigint"))
+    # Same keys as the window, so the sum needs no shuffle of its own.
     return (
-        placed.select(*group, F.col("home_offset").alias("page_offset"), added.alias("added"))
-        .groupBy(*group, "page_offset")
+        placed.withColumn("added", added)
+        .groupBy(*group, "home_offset")
         .agg(F.sum("added").alias("landed_records"))
+        .withColumnRenamed("home_offset", "page_offset")
     )
 
 
