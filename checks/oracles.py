@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import FEATURES_SQL, FLIGHTS_SQL, RESPONSE_TEXT
+from checks.views import FEATURES_SQL, FEATURE_STEPS_SQL, FLIGHTS_SQL, RESPONSE_TEXT
 from tarmac.schemas import FACT_COLUMNS
 
 
@@ -14,9 +14,7 @@ def half_up_mean(x: str) -> str:
     )
 
 
-HOURLY_SQL = (
-    FEATURES_SQL
-    + f""",
+HOURLY_STEPS_SQL = f"""
 hourly as (
   select scheduled_date, scheduled_hour, direction, is_weekend, is_morning_wave,
     count(flight_number) total_flights,
@@ -32,18 +30,42 @@ ripple as (
       range between 3 preceding and 1 preceding), 0) as bigint) past_3_hours_delay
   from hourly)
 """
-)
+HOURLY_SQL = f"{FEATURES_SQL}, {HOURLY_STEPS_SQL}"
+
+PERFORMANCE_SELECT = f"""
+select flight_number, direction, airline_id, aircraft_code,
+  count(flight_number) total_flights,
+  cast(sum(case when status_category = 'Cancelled' then 1 else 0 end) as bigint) cancelled_times,
+  {half_up_mean("delay_minutes")} avg_delay_minutes,
+  max(delay_minutes) max_delay_minutes,
+  cast(sum(case when status_category = 'On_time' then 1 else 0 end) as bigint) on_time_times,
+  cast((20000 * count(*) filter (status_category = 'On_time') + count(flight_number))
+    // (2 * count(flight_number)) as double) / 100.0 on_time_rate
+from features group by all"""
 
 INCOMPLETE_SQL = (
     FLIGHTS_SQL
     + """,
 incomplete as (
-  select event_id, case when event_id % 11 > 0 then airline_id end airline_id,
-    case when event_id % 13 > 0 then flight_number end flight_number,
-    case when event_id % 19 > 0 then scheduled_departure_utc end scheduled_departure_utc
+  select * replace (case when event_id % 11 > 0 then airline_id end as airline_id,
+    case when event_id % 13 > 0 then flight_number end as flight_number,
+    case when event_id % 19 > 0 then scheduled_departure_utc end as scheduled_departure_utc)
   from flights)
 """
 )
+IS_VALID = (
+    "(airline_id is not null and flight_number is not null and scheduled_departure_utc is not null)"
+)
+KEYS_SELECT = "select event_id, airline_id, flight_number, scheduled_departure_utc from incomplete"
+
+# The fact a stream of incomplete flights leaves behind, as "flights" of the feature steps.
+FACT_SQL = f"""{INCOMPLETE_SQL},
+fact as (
+  select * from incomplete where {IS_VALID}
+  qualify row_number() over (
+    partition by airline_id, flight_number, scheduled_departure_utc order by fetched_at desc) = 1)
+"""
+FACT_FEATURES_SQL = f"{FACT_SQL}, {FEATURE_STEPS_SQL.replace('from flights', 'from fact')}"
 
 # Judged with DuckDB's own JSON functions on the same response texts.
 RESPONSES_SQL = f"""
@@ -86,6 +108,10 @@ airlines as (
 aircraft as (select 'P' || p_partkey aircraft_code, p_name aircraft_name from part)
 """
 
+AIRPORTS_SELECT = f"""with {REFERENCE_SQL}
+select a.*, city_name, country_name from airports a
+  left join cities using (city_code) left join countries using (country_code)"""
+
 LINE_REST = [
     "l_partkey",
     "l_suppkey",
@@ -119,21 +145,14 @@ old as (
     on t.l_orderkey = s.l_orderkey and t.l_linenumber = s.l_linenumber)
 """
 
+MERGED_SELECT = f"with {MERGE_SQL} select * from old union all select * from source"
+
 ORACLES = {
     "airport_hourly": f"with {HOURLY_SQL} select * from ripple",
     "ripple_3h": f"""with {HOURLY_SQL}
 select scheduled_date, scheduled_hour, direction, total_delay_minutes, past_3_hours_delay
 from ripple""",
-    "flight_performance": f"""with {FEATURES_SQL}
-select flight_number, direction, airline_id, aircraft_code,
-  count(flight_number) total_flights,
-  cast(sum(case when status_category = 'Cancelled' then 1 else 0 end) as bigint) cancelled_times,
-  {half_up_mean("delay_minutes")} avg_delay_minutes,
-  max(delay_minutes) max_delay_minutes,
-  cast(sum(case when status_category = 'On_time' then 1 else 0 end) as bigint) on_time_times,
-  cast((20000 * count(*) filter (status_category = 'On_time') + count(flight_number))
-    // (2 * count(flight_number)) as double) / 100.0 on_time_rate
-from features group by all""",
+    "flight_performance": f"with {FEATURES_SQL} {PERFORMANCE_SELECT}",
     "local_times": f"""with {FEATURES_SQL}
 select event_id, local_scheduled_dep, local_actual_dep, local_scheduled_arr, local_actual_arr
 from f0""",
@@ -186,12 +205,8 @@ select event_id,
       else strftime(ts, '2024-02-30T%H:%MZ') end end clock_text,
   case when event_type = 'click' then date_trunc('minute', ts) end parsed
 from events""",
-    "valid_split": f"""with {INCOMPLETE_SQL}
-select * from incomplete where airline_id is not null and flight_number is not null
-  and scheduled_departure_utc is not null""",
-    "quarantine_split": f"""with {INCOMPLETE_SQL}
-select * from incomplete where airline_id is null or flight_number is null
-  or scheduled_departure_utc is null""",
+    "valid_split": f"with {INCOMPLETE_SQL} {KEYS_SELECT} where {IS_VALID}",
+    "quarantine_split": f"with {INCOMPLETE_SQL} {KEYS_SELECT} where not {IS_VALID}",
     "reference_family": f"""with {REFERENCE_SQL}
 select 'airports' endpoint, airport_code code, airport_name "name" from airports
 union all select 'cities', city_code, city_name from cities
@@ -200,15 +215,13 @@ union all select 'airlines', airline_code, airline_name from airlines
 union all select 'aircraft', aircraft_code, aircraft_name from aircraft""",
     "cast_dims": f"""with {REFERENCE_SQL}
 select airport_code, latitude, longitude, time_zone_offset from airports""",
-    "dim_airports": f"""with {REFERENCE_SQL}
-select a.*, city_name, country_name from airports a
-  left join cities using (city_code) left join countries using (country_code)""",
+    "dim_airports": AIRPORTS_SELECT,
     "dim_airlines": f"""with {REFERENCE_SQL}
 select airline_code, max(airline_name) airline_name from airlines
 where airline_code is not null group by 1""",
     "dim_aircraft": f"with {REFERENCE_SQL} select * from aircraft",
     "dedup_lineitem": line_winner("lineitem", ["l_shipdate", *LINE_REST]),
-    "upsert_scd1": f"with {MERGE_SQL} select * from old union all select * from source",
+    "upsert_scd1": MERGED_SELECT,
     "upsert_keep_columns": f"""with {MERGE_SQL},
 merged as (select * from old union all select * from source)
 select m.l_orderkey, m.l_linenumber, m.l_partkey, m.l_shipdate, t.l_tax
@@ -278,4 +291,13 @@ select request_id, total_count, landed_rows, distinct_keys, repeated_keys,
   greatest(total_count - distinct_keys, 0) missing_records,
   total_count % 100 = 0 last_page_full
 from per_group join totals using (request_id)""",
+    "keyed_table_upsert": MERGED_SELECT,
+    "stream_quarantine": f"""with {INCOMPLETE_SQL}
+select {', '.join(FACT_COLUMNS)} from incomplete where not {IS_VALID}""",
+    "stream_fact_flights": f"""with {FACT_SQL}
+select {', '.join(FACT_COLUMNS)}, fetched_at from fact""",
+    "stream_gold_hourly": f"with {FACT_FEATURES_SQL}, {HOURLY_STEPS_SQL} select * from ripple",
+    "stream_gold_performance": f"with {FACT_FEATURES_SQL} {PERFORMANCE_SELECT}",
+    "stream_dim_airports": AIRPORTS_SELECT,
+    "stream_first_seen": "select distinct user_id, event_type from events",
 }

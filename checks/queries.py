@@ -13,6 +13,8 @@ from tarmac.functions.pages import items_at
 from tarmac.functions.times import parse_utc_minute
 from tarmac.operators import audits, dimensions, flatten, keyed, metrics, quality
 from tarmac.operators import features as feat
+from tarmac.plans import gold, runs
+from tarmac.plans.lake import Lake
 from tarmac.schemas import FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH
 from tarmac.settings import (
     FLIGHT_KEYS,
@@ -21,6 +23,9 @@ from tarmac.settings import (
     REFERENCE_RESOURCES,
 )
 from tarmac.sources import landing
+from tarmac.sources.keyed_table import KeyedTable
+from tarmac.sources.shared import shared_folder
+from tarmac.streaming import flows
 
 
 def airport_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +210,86 @@ def page_dupes(spark, sf_dir):
     )
 
 
+def keyed_table_upsert(spark, sf_dir):
+    """The stored form of ``upsert_scd1``: initial load, then a merge into ranges of orders."""
+    finished, still_open = _finished_and_open(spark, sf_dir)
+    table = KeyedTable(
+        spark,
+        f"{shared_folder(spark)}/lines",
+        ", ".join(f"{name} {kind}" for name, kind in finished.dtypes),
+        LINE_KEYS,
+        part=F.floor(F.col("l_orderkey") / 10_000),
+    )
+    table.upsert(finished)
+    table.upsert(still_open)
+    return table.read()
+
+
+def _parsed_lake(spark, sf_dir):
+    """A new lake whose flattened flights come from a stream of pages."""
+    lake = Lake(spark, shared_folder(spark))
+    pages = landing.good_pages(landing.classify(views.streamed_flight_pages(spark, sf_dir)))
+    flows.append_table(
+        flows.parsed_rows(pages),
+        lake.parsed_flights,
+        lake.checkpoint("parsed_flights"),
+        "parsed_flights",
+        ["route"],
+    ).awaitTermination()
+    return lake
+
+
+def _merged_lake(spark, sf_dir):
+    lake = _parsed_lake(spark, sf_dir)
+    runs.merge_flights(lake)
+    return lake
+
+
+def stream_quarantine(spark, sf_dir):
+    lake = _parsed_lake(spark, sf_dir)
+    return flows.quarantine(spark, lake.parsed_flights).select(*FACT_COLUMNS)
+
+
+def stream_fact_flights(spark, sf_dir):
+    return _merged_lake(spark, sf_dir).fact.read().select(*FACT_COLUMNS, "fetched_at")
+
+
+def stream_gold_hourly(spark, sf_dir):
+    lake = _merged_lake(spark, sf_dir)
+    gold.publish(lake)
+    return lake.airport_hourly.read().drop("gold_processed_at")
+
+
+def stream_gold_performance(spark, sf_dir):
+    lake = _merged_lake(spark, sf_dir)
+    gold.publish(lake)
+    return lake.flight_performance.read().drop("gold_processed_at")
+
+
+def _stream_result(spark, stream, schema):
+    folder = shared_folder(spark)
+    flows.append_table(stream, f"{folder}/out", f"{folder}/chk", "result").awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/out")
+
+
+def stream_dim_airports(spark, sf_dir):
+    """Airports as a stream, joined with the stored names."""
+    pages = landing.good_pages(landing.classify(views.streamed_airport_pages(spark, sf_dir)))
+    airports = flatten.reference_items(pages, "airports")
+    cities, countries = (
+        _dimension(endpoint)(spark, sf_dir) for endpoint in ("cities", "countries")
+    )
+    joined = dimensions.join_airports(airports, cities, countries)
+    return _stream_result(spark, joined, joined.schema)
+
+
+def stream_first_seen(spark, sf_dir):
+    """One row per user and event type from a stream that repeats them."""
+    keys = ["user_id", "event_type"]
+    unique = flows.first_seen(views.streamed(spark, sf_dir, "events"), keys).select(*keys)
+    return _stream_result(spark, unique, unique.schema)
+
+
 QUERIES = {
     "airport_hourly": airport_hourly,
     "ripple_3h": ripple_3h,
@@ -234,4 +319,11 @@ QUERIES = {
     "page_gaps": page_gaps,
     "coverage_gaps": coverage_gaps,
     "page_dupes": page_dupes,
+    "keyed_table_upsert": keyed_table_upsert,
+    "stream_quarantine": stream_quarantine,
+    "stream_fact_flights": stream_fact_flights,
+    "stream_gold_hourly": stream_gold_hourly,
+    "stream_gold_performance": stream_gold_performance,
+    "stream_dim_airports": stream_dim_airports,
+    "stream_first_seen": stream_first_seen,
 }

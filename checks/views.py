@@ -17,11 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def flight_rows(events: DataFrame) -> DataFrame:
-    """``events`` as flights: the fact columns plus ``event_id`` and ``event_type``."""
+    """``events`` as flights: the fact columns plus id, type and time of the event."""
     base = events.selectExpr(
         "event_id",
         "event_type",
         "user_id",
+        "ts as fetched_at",
         "upper(substr(event_type, 1, 2)) as airline_id",
         "cast(user_id as string) as flight_number",
         "ts - make_dt_interval(0, 0, 0, extract(second from ts)) as scheduled_departure_utc",
@@ -41,6 +42,7 @@ def flight_rows(events: DataFrame) -> DataFrame:
     return base.selectExpr(
         "event_id",
         "event_type",
+        "fetched_at",
         "airline_id",
         "flight_number",
         "scheduled_departure_utc",
@@ -69,7 +71,7 @@ def flight_rows(events: DataFrame) -> DataFrame:
 # The same view for the SQL side.
 FLIGHTS_SQL = """
 e0 as (
-  select event_id, event_type, user_id u, upper(substr(event_type, 1, 2)) airline_id,
+  select event_id, event_type, ts fetched_at, user_id u, upper(substr(event_type, 1, 2)) airline_id,
     cast(user_id as varchar) flight_number,
     date_trunc('minute', ts) scheduled_departure_utc,
     case when event_id % 3 = 0 then 'FRA' else 'A' || (event_id % 3) end dep_airport_code,
@@ -84,7 +86,7 @@ e1 as (
     scheduled_departure_utc + to_minutes(60 + u % 120) scheduled_arrival_utc
   from e0),
 flights as (
-  select event_id, event_type, airline_id, flight_number, scheduled_departure_utc,
+  select event_id, event_type, fetched_at, airline_id, flight_number, scheduled_departure_utc,
     dep_airport_code,
     case when not pending then scheduled_departure_utc + to_minutes(v - 20) end
       actual_departure_utc,
@@ -103,9 +105,7 @@ flights as (
   from e1)
 """
 
-FEATURES_SQL = (
-    FLIGHTS_SQL
-    + """,
+FEATURE_STEPS_SQL = """
 f0 as (
   select *, case when dep_airport_code = 'FRA' then 'Departure'
                  when arr_airport_code = 'FRA' then 'Arrival' else 'Unknown' end direction,
@@ -139,7 +139,7 @@ features as (
     or (direction = 'Departure' and local_actual_dep is not null)
     or (direction = 'Arrival' and local_actual_arr is not null))
 """
-)
+FEATURES_SQL = f"{FLIGHTS_SQL}, {FEATURE_STEPS_SQL}"
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,10 +230,31 @@ def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream; the pattern allows for a single file, which a plain path does not."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+
+
+def streamed_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incomplete flights as a stream of pages with one bare object each."""
+    rows = without_some_keys(flight_rows(streamed(spark, sf_dir, "events")))
+    close = F.lit('},"Meta":{"TotalCount":1}}}')
+    return rows.select(
+        "fetched_at",
+        F.concat(F.lit("flight_"), F.col("event_id").cast("string")).alias("file_name"),
+        F.concat(F.lit(FLIGHT_PAGE_OPEN), flight_json(), close).alias("page_text"),
+    )
+
+
 def incomplete_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights some of whose keys are missing."""
+    return without_some_keys(flights_with_id(spark, sf_dir))
+
+
+def without_some_keys(flights: DataFrame) -> DataFrame:
     return (
-        flights_with_id(spark, sf_dir)
+        flights
         .withColumn("airline_id", F.expr("case when event_id % 11 > 0 then airline_id end"))
         .withColumn("flight_number", F.expr("case when event_id % 13 > 0 then flight_number end"))
         .withColumn(
@@ -265,30 +286,32 @@ def _position():
     )
 
 
-def reference_pages(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
-    """Suppliers, nations, regions, customers and parts as the five reference endpoints.
+REFERENCE_SOURCES = {
+    "airports": ("supplier", "s_suppkey"),
+    "cities": ("nation", "n_nationkey"),
+    "countries": ("region", "r_regionkey"),
+    "airlines": ("customer", "c_custkey"),
+    "aircraft": ("part", "p_partkey"),
+}
+REFERENCE_PAGE_OPEN = {
+    "airports": '{"AirportResource":{"Airports":{"Airport":',
+    "cities": '{"CityResource":{"Cities":{"City":',
+    "countries": '{"CountryResource":{"Countries":{"Country":',
+    "airlines": '{"AirlineResource":{"Airlines":{"Airline":',
+    "aircraft": '{"AircraftResource":{"AircraftSummaries":{"AircraftSummary":',
+}
+
+
+def _reference_item(endpoint: str, key: str):
+    """Suppliers, nations, regions, customers and parts as items of the five endpoints.
 
     City codes run past the known nations and country codes past the known
     regions, so some airports find no name. Customers share 25 airline codes,
     and those of one market segment have none.
     """
-    open_text, close_text = {
-        "airports": ('{"AirportResource":{"Airports":{"Airport":', "}"),
-        "cities": ('{"CityResource":{"Cities":{"City":', "}"),
-        "countries": ('{"CountryResource":{"Countries":{"Country":', "}"),
-        "airlines": ('{"AirlineResource":{"Airlines":{"Airline":', "}"),
-        "aircraft": ('{"AircraftResource":{"AircraftSummaries":{"AircraftSummary":', "}"),
-    }[endpoint]
-    source, key = {
-        "airports": ("supplier", "s_suppkey"),
-        "cities": ("nation", "n_nationkey"),
-        "countries": ("region", "r_regionkey"),
-        "airlines": ("customer", "c_custkey"),
-        "aircraft": ("part", "p_partkey"),
-    }[endpoint]
     plural = F.col(key) % 2 == 0
     if endpoint == "airports":
-        item = _reference_json(
+        return _reference_json(
             "AirportCode",
             F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),
             F.col("s_name"),
@@ -300,22 +323,38 @@ def reference_pages(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFram
                 F.concat(F.lit("+0"), (F.col("s_suppkey") % 3).cast("string")).alias("UtcOffset"),
             ),
         )
-    elif endpoint == "airlines":
+    if endpoint == "airlines":
         code = F.when(
             F.col("c_mktsegment") != "BUILDING",
             F.concat(F.lit("C"), F.col("c_nationkey").cast("string")),
         )
-        item = _reference_json("AirlineID", code, F.col("c_name"), plural)
-    else:
-        field, letter, name = {
-            "cities": ("CityCode", "N", "n_name"),
-            "countries": ("CountryCode", "R", "r_name"),
-            "aircraft": ("AircraftCode", "P", "p_name"),
-        }[endpoint]
-        code = F.concat(F.lit(letter), F.col(key).cast("string"))
-        item = _reference_json(field, code, F.col(name), plural)
+        return _reference_json("AirlineID", code, F.col("c_name"), plural)
+    field, letter, name = {
+        "cities": ("CityCode", "N", "n_name"),
+        "countries": ("CountryCode", "R", "r_name"),
+        "aircraft": ("AircraftCode", "P", "p_name"),
+    }[endpoint]
+    code = F.concat(F.lit(letter), F.col(key).cast("string"))
+    return _reference_json(field, code, F.col(name), plural)
+
+
+def reference_pages(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
+    """One endpoint's items, at most 100 to a page."""
+    source, key = REFERENCE_SOURCES[endpoint]
     page_id = F.expr(f"cast({key} as bigint) div 100").alias("page_id")
-    return pages_of(table(spark, sf_dir, source), item, [page_id], open_text, close_text)
+    item = _reference_item(endpoint, key)
+    opening = REFERENCE_PAGE_OPEN[endpoint]
+    return pages_of(table(spark, sf_dir, source), item, [page_id], opening, "}")
+
+
+def streamed_airport_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airports as a stream of pages with one bare object each."""
+    source, key = REFERENCE_SOURCES["airports"]
+    close = F.lit('},"Meta":{"TotalCount":1}}}')
+    text = F.concat(
+        F.lit(REFERENCE_PAGE_OPEN["airports"]), _reference_item("airports", key), close
+    )
+    return streamed(spark, sf_dir, source).select(text.alias("page_text"))
 
 
 # One API response per event: data, both kinds of error, and things that are neither.

@@ -32,8 +32,7 @@ def ingest_flights(lake: Lake, landing: str, max_files: int | None = None) -> No
     ).awaitTermination()
 
 
-def refine_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) -> None:
-    """Bronze to fact, and the day measures of every day a batch changes."""
+def parse_flights(lake: Lake, max_files: int | None = None) -> None:
     flows.bronze_to_parsed(
         lake.spark,
         lake.bronze_flights,
@@ -42,6 +41,10 @@ def refine_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) -
         max_files,
     ).awaitTermination()
 
+
+def merge_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) -> None:
+    """Complete rows into the fact, then the day measures of every day a batch changed."""
+
     def merge(batch: DataFrame) -> None:
         changed_days = lake.fact.upsert(batch)
         if changed_days:
@@ -54,7 +57,8 @@ def refine_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) -
 
 def daily(lake: Lake, landing: str, hub: Hub = Hub(), max_files: int | None = None) -> None:
     ingest_flights(lake, landing, max_files)
-    refine_flights(lake, hub, max_files)
+    parse_flights(lake, max_files)
+    merge_flights(lake, hub, max_files)
     gold.publish(lake)
 
 

@@ -67,7 +67,9 @@ class KeyedTable:
 
         On a table that does not exist yet this is the initial load.
         """
-        touched = [row[0] for row in source.select(self._part_column()).distinct().collect()]
+        touched = [WHOLE]
+        if self.part is not None:
+            touched = [row[0] for row in source.select(self._part_column()).distinct().collect()]
         if touched:
             merged = keyed.upsert(self.read(touched), source, self.keys, self.sequence, keep)
             self.replace(merged, touched)

@@ -72,6 +72,12 @@ def landing_to_bronze(
     return append_table(bronze_pages(pages), table, checkpoint, name)
 
 
+def parsed_rows(pages: DataFrame) -> DataFrame:
+    """Good flight pages as rows with a ``route``: whether their key is complete."""
+    rows = flight_items(pages, ["fetched_at", "file_name"])
+    return with_route(rows.withColumn("silver_processed_at", F.current_timestamp()), FLIGHT_KEYS)
+
+
 def bronze_to_parsed(
     spark: SparkSession,
     bronze: str,
@@ -79,12 +85,9 @@ def bronze_to_parsed(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Flatten flight pages once, into a table split by whether the key is complete."""
+    """Flatten flight pages once, into a table split by route."""
     pages = good_pages(read_table(spark, bronze, BRONZE_PAGES, max_files_per_trigger))
-    rows = flight_items(pages, ["fetched_at", "file_name"])
-    stamped = rows.withColumn("silver_processed_at", F.current_timestamp())
-    routed = with_route(stamped, FLIGHT_KEYS)
-    return append_table(routed, table, checkpoint, "parsed_flights", ["route"])
+    return append_table(parsed_rows(pages), table, checkpoint, "parsed_flights", ["route"])
 
 
 def quarantine(spark: SparkSession, parsed: str) -> DataFrame:
