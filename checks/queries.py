@@ -91,7 +91,7 @@ def json_flatten_events(spark, sf_dir):
 
 def singleton_array(spark, sf_dir):
     pages = landing.classify(views.flight_pages(spark, sf_dir))
-    items = items_at(F.col("payload"), FLIGHT_ITEMS_PATH, FLIGHT_ITEM)
+    items = items_at(F.col("page_text"), FLIGHT_ITEMS_PATH, FLIGHT_ITEM)
     return pages.select("page_id", "event_type", F.size(items).cast("bigint").alias("n_items"))
 
 

@@ -1,8 +1,4 @@
-"""Column expressions over one API response page.
-
-A page is parsed once, into a VARIANT; everything else is a lookup in it.
-Variant paths are case-sensitive, which the error keys need.
-"""
+"""Column expressions over the text of one API response page."""
 
 from __future__ import annotations
 
@@ -16,74 +12,81 @@ from tarmac.settings import (
     ERROR_TYPE_DEFAULT,
     META,
     PROXY_ERROR_KEYS,
+    TOTAL_COUNT,
 )
 
 
-def at(payload: Column, path: str) -> Column:
-    """The value at ``path`` as a variant; SQL null when the path is absent."""
-    return F.try_variant_get(payload, path, "variant")
-
-
-def text_at(payload: Column, path: str) -> Column:
-    return F.try_variant_get(payload, path, "string")
+def items_at(page_text: Column, path: str, item_type: str) -> Column:
+    """The array at ``path``, which must be a literal JSON path.
 
-
-def items_at(payload: Column, path: str, item_type: str) -> Column:
-    """The array at ``path``; a lone object counts as an array of one."""
-    several = F.try_variant_get(payload, path, f"array<{item_type}>")
-    single = F.try_variant_get(payload, path, item_type)
-    return F.coalesce(several, F.when(single.isNotNull(), F.array(single)))
+    ``from_json`` with an array schema takes a lone object as an array of one,
+    but only at the top of its input, hence the cut-out first. One item of a
+    wrong kind makes the whole array null; then items are parsed one by one.
+    """
+    body = F.get_json_object(page_text, path)
+    together = F.from_json(body, f"array<{item_type}>")
+    singly = F.transform(
+        F.from_json(body, "array<string>"), lambda item: F.from_json(item, item_type)
+    )
+    return F.coalesce(together, singly)
 
 
-def english_name(names: Column) -> Column:
+def english_name(name_text: Column) -> Column:
     """The text under ``$`` of a name object, or of the first one when there are several."""
-    return F.coalesce(text_at(names, '$["$"]'), text_at(names, '$[0]["$"]'))
+    return F.get(F.from_json(name_text, "array<struct<`$`: string>>"), 0).getField("$")
 
 
 def _has_content(value: Column) -> Column:
-    """True unless the value is absent, null, false, zero or empty."""
+    """True unless the variant is absent, null, false, zero or empty."""
     text = F.to_json(value)
     blank = text.isin("null", "false", '""', "[]", "{}") | text.try_cast("double").eqNullSafe(0)
     return F.coalesce(~blank, F.lit(False))
 
 
-def _present(payload: Column, key: str) -> Column:
-    return at(payload, f"$.{key}").isNotNull()
+def _carries_proxy_message(page_text: Column) -> Column:
+    """A proxy's message needs its type looked at, so these few small pages become variants."""
+    members = F.try_variant_get(F.try_parse_json(page_text), "$", "map<string, variant>")
+    messages = F.map_filter(members, lambda key, _: key.isin(*PROXY_ERROR_KEYS))
+    return F.exists(F.map_values(messages), _has_content)
 
 
-def page_status(page_text: Column, payload: Column) -> Column:
-    """``ok``, ``api_error``, ``proxy_error`` or ``malformed``; ``payload`` is the parsed text.
+def page_status(page_text: Column, keys: Column) -> Column:
+    """``ok``, ``api_error``, ``proxy_error`` or ``malformed``.
 
-    A proxy error is a response that claims success but carries neither data
-    nor an API error, only a message under one of several spellings.
+    ``keys`` are the page's top-level keys, null unless it is a JSON object. A
+    proxy error is a response that claims success but carries neither data nor
+    an API error, only a message under one of several spellings.
     """
-    is_object = payload.isNotNull() & page_text.rlike(r"^\s*\{")
-    messages = F.array(*(at(payload, f"$.{key}") for key in PROXY_ERROR_KEYS))
+    suspect = ~F.array_contains(keys, META) & F.arrays_overlap(
+        keys, F.array(*(F.lit(key) for key in PROXY_ERROR_KEYS))
+    )
     return (
-        F.when(~is_object, "malformed")
-        .when(_present(payload, ERROR_ROOT), "api_error")
-        .when(~_present(payload, META) & F.exists(messages, _has_content), "proxy_error")
+        F.when(keys.isNull(), "malformed")
+        .when(F.array_contains(keys, ERROR_ROOT), "api_error")
+        .when(suspect & _carries_proxy_message(page_text), "proxy_error")
         .otherwise("ok")
     )
 
 
-def _error_detail(payload: Column, field: str, default: str) -> Column:
-    """A field of the first reported error, wherever the API put it.
+def first_error(page_text: Column) -> Column:
+    """The first reported error as a struct of ``Type`` and ``Description``.
 
     Errors come as one object or a list, directly under the root key or one
     level further down.
     """
-    root = f"$.{ERROR_ROOT}"
-    nested = f"{root}.{ERROR_ITEM}"
-    first = F.coalesce(
-        at(payload, f"{nested}[0]"), at(payload, nested), at(payload, f"{root}[0]"), at(payload, root)
+    root = F.get_json_object(page_text, f"$.{ERROR_ROOT}")
+    errors = F.coalesce(F.get_json_object(root, f"$.{ERROR_ITEM}"), root)
+    first = F.get(F.from_json(errors, "array<struct<Type: string, Description: string>>"), 0)
+    return F.struct(
+        F.coalesce(first.getField("Type"), F.lit(ERROR_TYPE_DEFAULT)).alias("Type"),
+        F.coalesce(first.getField("Description"), F.lit(ERROR_DESCRIPTION_DEFAULT)).alias(
+            "Description"
+        ),
     )
-    return F.coalesce(text_at(first, f"$.{field}"), F.lit(default))
-
-
-def error_type(payload: Column) -> Column:
-    return _error_detail(payload, "Type", ERROR_TYPE_DEFAULT)
 
 
-def error_description(payload: Column) -> Column:
-    return _error_detail(payload, "Description", ERROR_DESCRIPTION_DEFAULT)
+def total_count(page_text: Column, keys: Column, resources: list[str]) -> Column:
+    """The record count a page reports for its whole request, under whichever resource it has."""
+    resource = F.get(F.array_intersect(keys, F.array(*(F.lit(name) for name in resources))), 0)
+    path = F.concat(F.lit("$."), resource, F.lit(f".{META}.{TOTAL_COUNT}"))
+    return F.call_function("get_json_object", page_text, path).try_cast("bigint")

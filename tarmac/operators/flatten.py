@@ -11,10 +11,10 @@ from tarmac.schemas import FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH, REFEREN
 
 
 def explode_items(
-    pages: DataFrame, path: str, item_type: str, carry: list[str] = (), payload: str = "payload"
+    pages: DataFrame, path: str, item_type: str, carry: list[str] = ()
 ) -> DataFrame:
     """One row per item, as struct ``item``; a page without items gives one null item."""
-    items = items_at(F.col(payload), path, item_type)
+    items = items_at(F.col("page_text"), path, item_type)
     return pages.select(*carry, F.explode_outer(items).alias("item"))
 
 

@@ -25,9 +25,9 @@ FLIGHT_ITEM = (
 )
 FLIGHT_ITEMS_PATH = f"$.{FLIGHT_RESOURCE}.Flights.Flight"
 
-# Name stays a variant: it is one object when a single language was asked for
+# Name is taken as text: it is one object when a single language was asked for
 # and an array of objects otherwise.
-_NAMES = "Names: struct<Name: variant>"
+_NAMES = "Names: struct<Name: string>"
 
 REFERENCE_ITEMS = {
     "airports": (
@@ -69,7 +69,7 @@ FACT_FLIGHTS = (
 FACT_COLUMNS = [field.split()[0] for field in FACT_FLIGHTS.split(",")]
 
 BRONZE_PAGES = (
-    "payload variant, rejected_text string, page_status string,"
+    "page_text string, page_status string,"
     " error_type string, error_description string,"
     " file_name string, fetched_at timestamp_ntz, endpoint string, hub string,"
     " flight_type string, slot_start timestamp_ntz, page_offset bigint, page_limit bigint,"

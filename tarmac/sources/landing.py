@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.lineage import lineage_columns
-from tarmac.functions.pages import error_description, error_type, page_status
-from tarmac.settings import FLIGHT_RESOURCE, META, REFERENCE_RESOURCES, TOTAL_COUNT
+from tarmac.functions.pages import first_error, page_status, total_count
+from tarmac.settings import FLIGHT_RESOURCE, REFERENCE_RESOURCES
 
 RESOURCES = [FLIGHT_RESOURCE, *REFERENCE_RESOURCES.values()]
 
@@ -33,34 +33,23 @@ def _named(files: DataFrame) -> DataFrame:
     )
 
 
-def total_count(payload: Column) -> Column:
-    """The record count a page reports for its whole request, whatever its resource."""
-    paths = [f"$.{resource}.{META}.{TOTAL_COUNT}" for resource in RESOURCES]
-    return F.coalesce(*(F.try_variant_get(payload, path, "bigint") for path in paths))
-
-
 def classify(pages: DataFrame) -> DataFrame:
-    """Parse ``page_text`` once and say whether it is data.
+    """Say of each page whether it is data, and keep its text either way.
 
-    The text itself is kept for pages that are not, so nothing is lost. The
-    parse sits in a generator because Spark copies a projected expression into
-    every filter above it, and a filter on the status names it many times.
+    The keys are listed in a generator because Spark copies a projected
+    expression into every filter above it, and a filter on the status names
+    them many times.
     """
-    payload = F.col("payload")
-    once = F.inline(F.array(F.struct(F.try_parse_json("page_text").alias("payload"))))
-    judged = pages.select("*", once).withColumn(
-        "page_status", page_status(F.col("page_text"), payload)
+    text, keys = F.col("page_text"), F.col("page_keys")
+    once = F.inline(F.array(F.struct(F.json_object_keys(text).alias("page_keys"))))
+    judged = pages.select("*", once).withColumns(
+        {"page_status": page_status(text, keys), "total_count": total_count(text, keys, RESOURCES)}
     )
-    failed = F.col("page_status") == "api_error"
-    others = [name for name in pages.columns if name != "page_text"]
-    return judged.select(
-        F.when(F.col("page_status") == "ok", payload).alias("payload"),
-        F.when(F.col("page_status") != "ok", F.col("page_text")).alias("rejected_text"),
-        "page_status",
-        F.when(failed, error_type(payload)).alias("error_type"),
-        F.when(failed, error_description(payload)).alias("error_description"),
-        total_count(payload).alias("total_count"),
-        *others,
+    error = F.when(F.col("page_status") == "api_error", first_error(text))
+    return (
+        judged.withColumn("error", error)
+        .withColumns({"error_type": F.col("error.Type"), "error_description": F.col("error.Description")})
+        .drop("page_keys", "error")
     )
 
 
@@ -68,8 +57,7 @@ def bronze_pages(pages: DataFrame) -> DataFrame:
     """Pages with status, lineage and ingest time: the bronze table's rows."""
     lineage = lineage_columns(F.col("file_name"))
     return classify(pages).select(
-        "payload",
-        "rejected_text",
+        "page_text",
         "page_status",
         "error_type",
         "error_description",

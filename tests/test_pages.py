@@ -61,13 +61,12 @@ def test_page_status(spark):
     assert got == {i: status for i, (_, status) in enumerate(STATUSES)}
 
 
-def test_rejected_pages_keep_their_text_and_good_ones_their_payload(spark):
-    pages = classified(spark, {"message": "x"}, flight_page([flight()]), "oops").orderBy("i")
-    rows = pages.select(F.col("payload").isNotNull(), "rejected_text", "page_status").collect()
-    assert [tuple(r) for r in rows] == [
-        (False, '{"message": "x"}', "proxy_error"),
-        (True, None, "ok"),
-        (False, "oops", "malformed"),
+def test_every_page_keeps_its_text(spark):
+    pages = classified(spark, {"message": "x"}, {"a": "b"}, "oops").orderBy("i")
+    assert [(r.page_text, r.page_status) for r in pages.collect()] == [
+        ('{"message": "x"}', "proxy_error"),
+        ('{"a": "b"}', "ok"),
+        ("oops", "malformed"),
     ]
 
 
@@ -174,7 +173,7 @@ def test_lineage(spark, any_zone, name, expected):
 def test_files_are_read_whole_with_their_names(spark, tmp_path):
     path = land(str(tmp_path), flight_page([flight(), flight("2")]), "20250310040506")
     bronze = landing.bronze_pages(landing.read_pages(spark, str(tmp_path)))
-    row = bronze.drop("payload").first()
+    row = bronze.first()
     assert path.endswith(row.file_name)
     assert (row.page_status, row.total_count, row.page_limit) == ("ok", 2, 50)
     assert flatten.flight_items(bronze).count() == 2
@@ -199,7 +198,15 @@ def test_schema_discovery_sees_through_types(spark):
     assert ddl == "STRUCT<a: STRING, b: BIGINT, c: ARRAY<STRUCT<d: DOUBLE>>>"
 
 
-def test_page_is_parsed_once_even_under_a_filter(spark):
+def test_page_keys_are_listed_once_even_under_a_filter(spark):
     pages = landing.good_pages(classified(spark, flight_page([flight()])))
     plan = flatten.flight_items(pages)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("json_object_keys") + plan.count("jsonObjectKeys") == 1
+
+
+def test_an_item_of_a_wrong_kind_costs_only_itself(spark):
+    odd = flight("3", Departure__Terminal="none")
+    rows = flatten.flight_items(classified(spark, flight_page([flight("1"), 7, odd]))).collect()
+    assert [r.flight_number for r in rows] == ["1", None, "3"]
+    assert [r.dep_gate for r in rows] == ["B22", None, None]
+    assert rows[2].dep_time_status_code == "OT"
