@@ -199,3 +199,13 @@ def test_rolled_up_days_equal_one_pass(spark):
         assert sorted(map(tuple, whole.collect()), key=str) == sorted(
             map(tuple, parts.select(*whole.columns).collect()), key=str
         )
+
+
+def test_outcome_filter_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    spark.createDataFrame([row(dep_late=5)], SCHEMA).write.parquet(path)
+    report = metrics.airport_hourly(features.business_features(spark.read.parquet(path)))
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan
+    assert "aircraft_code" not in plan and "airline_id" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
