@@ -87,3 +87,17 @@ class Lake:
     def flight_performance(self) -> KeyedTable:
         root = self.path("gold", "flight_performance")
         return KeyedTable(self.spark, root, PERFORMANCE_REPORT, PERFORMANCE_KEYS)
+
+    def register_views(self) -> list[str]:
+        """Temporary views of the current tables, for SQL. Call again to see a later run."""
+        tables = {
+            "fact_flights": self.fact,
+            "dim_airports": self.dim_airports,
+            "dim_airlines": self.reference("airlines"),
+            "dim_aircraft": self.reference("aircraft"),
+            "gold_airport_hourly_operations": self.airport_hourly,
+            "gold_flight_performance": self.flight_performance,
+        }
+        for name, table in tables.items():
+            table.read().createOrReplaceTempView(name)
+        return list(tables)

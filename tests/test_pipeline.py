@@ -8,9 +8,10 @@ import pytest
 from pages import flight, flight_page, land, named, reference_page
 from pyspark.sql import functions as F
 
-from tarmac.plans import gold, runs
+from tarmac.plans import audit, gold, runs
 from tarmac.plans.lake import Lake
 from tarmac.schemas import BRONZE_PAGES, FACT_COLUMNS
+from tarmac.settings import REFERENCE_RESOURCES
 from tarmac.sources import landing
 from tarmac.streaming import flows
 
@@ -73,6 +74,12 @@ def test_daily_run_in_three_batches(spark, lake, tmp_path):
     full = gold.flight_performance(fact).drop("gold_processed_at")
     assert as_rows(full) == gold_without_stamp(lake.flight_performance)
 
+    # SQL users see the same tables.
+    lake.register_views()
+    query = "select sum(total_flights) from gold_airport_hourly_operations"
+    assert spark.sql(query).first()[0] == 2
+    assert spark.sql("select count(*) from fact_flights").first()[0] == fact.count()
+
     # Nothing new: nothing changes.
     before = as_rows(lake.fact.read())
     runs.daily(lake, folder)
@@ -274,3 +281,48 @@ def test_unfinished_write_is_invisible(spark, lake):
     assert fact.read().count() == 1
     fact.upsert(other)
     assert fact.read().count() == 2
+
+
+def test_audits_over_bronze(spark, lake, tmp_path):
+    folder = str(tmp_path / "landing")
+    numbers = [str(n) for n in range(120)]
+
+    def page(start, stop):
+        return flight_page([flight(n) for n in numbers[start:stop]], total=120)
+
+    # The first page comes twice under different offsets, the last one only in part.
+    land(folder, page(0, 50), "20250310040000", offset=0, limit=50)
+    land(folder, page(0, 50), "20250310040001", offset=50, limit=50)
+    land(folder, page(100, 112), "20250310040002", offset=100, limit=12)
+    land(folder, page(0, 50), "20250310040003", "X_Y_arrivals_2025-03-10T0800")
+    land(folder, {"message": "busy"}, "20250310040004", "FRA_departures_2025-03-10T0800")
+    runs.ingest_flights(lake, folder)
+
+    gaps = sorted(tuple(r) for r in audit.missing_flight_pages(lake).collect())
+    slot, other = dt.datetime(2025, 3, 10, 4), dt.datetime(2025, 3, 10, 8)
+    assert gaps == [
+        ("FRA", "departures", slot, 100, 20, 12),
+        ("X_Y", "arrivals", other, 50, 50, 0),
+        ("X_Y", "arrivals", other, 100, 20, 0),
+    ]
+    later = audit.missing_flight_pages(lake, since=dt.datetime(2025, 3, 10, 4, 0, 3))
+    assert {r.hub for r in later.collect()} == {"X_Y"}
+
+    dupes = {r.hub: r for r in audit.flight_page_duplicates(lake).collect()}
+    assert (dupes["FRA"].repeated_keys, dupes["FRA"].missing_records) == (50, 58)
+    assert (dupes["X_Y"].repeated_keys, dupes["X_Y"].missing_records) == (0, 70)
+
+    missing = audit.missing_slots(lake, dt.date(2025, 3, 10))
+    assert missing.count() == 83
+    assert missing.filter("day = '2025-03-10' and slot = '04:00'").count() == 1
+
+
+def test_reference_audit(spark, lake, tmp_path):
+    folder = str(tmp_path / "reference")
+    page = reference_page("CityResource", "Cities", "City", [named("CityCode", "A", "B")])
+    page["CityResource"]["Meta"]["TotalCount"] = 250
+    for endpoint in REFERENCE_RESOURCES:
+        land(f"{folder}/{endpoint}", page, "20250301020000", f"ref_{endpoint}", 100, 100)
+    runs.ingest_reference(lake, folder)
+    gaps = sorted(tuple(r) for r in audit.missing_reference_pages(lake, "cities").collect())
+    assert gaps == [("cities", 0, 100, 0), ("cities", 200, 50, 0)]
