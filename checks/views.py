@@ -6,7 +6,7 @@ repeats, ties, skew) becomes the irregularity the operators have to cope with.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.schemas import FACT_COLUMNS
@@ -158,22 +158,27 @@ def as_text(ts: str):
     )
 
 
-def _page_text(items, count, open_text: str, close_text: str):
-    """A response body: an array of items, or the bare item when there is one."""
-    joined = F.array_join(items, ",")
-    body = F.when(F.size(items) == 1, joined).otherwise(F.concat(F.lit("["), joined, F.lit("]")))
-    meta = F.concat(F.lit(',"Meta":{"TotalCount":'), count.cast("string"), F.lit("}}}"))
-    return F.concat(F.lit(open_text), body, F.lit(close_text), meta)
+def pages_of(
+    rows: DataFrame, item: Column, page_keys: list[str], opening: str, as_json: bool = True
+) -> DataFrame:
+    """Rows packed into pages: an array of items, or the bare item when there is one.
 
-
-def pages_of(rows: DataFrame, item_json, page_keys: list, open_text: str, close_text: str):
-    """Rows packed into pages; ``page_keys`` bound how many rows share a page."""
-    return (
-        rows.select(*page_keys, item_json.alias("item_json"))
-        .groupBy(*[key if isinstance(key, str) else "page_id" for key in page_keys])
-        .agg(F.collect_list("item_json").alias("items"))
-        .withColumn("page_text", _page_text(F.col("items"), F.size("items"), open_text, close_text))
+    ``page_keys`` bound how many rows share a page. ``item`` is a struct, or
+    JSON text already where ``as_json`` is false.
+    """
+    packed = (
+        rows.select(*page_keys, item.alias("item"))
+        .groupBy(*page_keys)
+        .agg(F.collect_list("item").alias("items"))
     )
+    items, alone = F.col("items"), F.size("items") == 1
+    if as_json:
+        body = F.when(alone, F.to_json(items[0])).otherwise(F.to_json(items))
+    else:
+        joined = F.array_join(items, ",")
+        body = F.when(alone, joined).otherwise(F.concat(F.lit("["), joined, F.lit("]")))
+    total = F.concat(F.lit('},"Meta":{"TotalCount":'), F.size(items).cast("string"), F.lit("}}}"))
+    return packed.select(*page_keys, F.concat(F.lit(opening), body, total).alias("page_text"))
 
 
 def _leg(prefix: str, airport: str, scheduled: str, actual: str):
@@ -191,27 +196,25 @@ def _leg(prefix: str, airport: str, scheduled: str, actual: str):
     )
 
 
-def flight_json():
-    return F.to_json(
+def flight_item() -> Column:
+    return F.struct(
         F.struct(
-            F.struct(
-                F.col("airline_id").alias("AirlineID"), F.col("flight_number").alias("FlightNumber")
-            ).alias("OperatingCarrier"),
-            _leg(
-                "dep", "dep_airport_code", "scheduled_departure_utc", "actual_departure_utc"
-            ).alias("Departure"),
-            _leg("arr", "arr_airport_code", "scheduled_arrival_utc", "actual_arrival_utc").alias(
-                "Arrival"
-            ),
-            F.struct(
-                F.col("aircraft_code").alias("AircraftCode"),
-                F.col("aircraft_registration").alias("AircraftRegistration"),
-            ).alias("Equipment"),
-            F.struct(
-                F.col("flight_status_code").alias("Code"),
-                F.col("flight_status_desc").alias("Definition"),
-            ).alias("FlightStatus"),
-        )
+            F.col("airline_id").alias("AirlineID"), F.col("flight_number").alias("FlightNumber")
+        ).alias("OperatingCarrier"),
+        _leg(
+            "dep", "dep_airport_code", "scheduled_departure_utc", "actual_departure_utc"
+        ).alias("Departure"),
+        _leg("arr", "arr_airport_code", "scheduled_arrival_utc", "actual_arrival_utc").alias(
+            "Arrival"
+        ),
+        F.struct(
+            F.col("aircraft_code").alias("AircraftCode"),
+            F.col("aircraft_registration").alias("AircraftRegistration"),
+        ).alias("Equipment"),
+        F.struct(
+            F.col("flight_status_code").alias("Code"),
+            F.col("flight_status_desc").alias("Definition"),
+        ).alias("FlightStatus"),
     )
 
 
@@ -220,14 +223,8 @@ FLIGHT_PAGE_OPEN = '{"FlightStatusResource":{"Flights":{"Flight":'
 
 def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights as API pages: at most 50 of one event type, a lone one as a bare object."""
-    page_id = F.expr("event_id div 50").alias("page_id")
-    return pages_of(
-        flights_with_id(spark, sf_dir),
-        flight_json(),
-        [page_id, "event_type"],
-        FLIGHT_PAGE_OPEN,
-        "}",
-    )
+    rows = flights_with_id(spark, sf_dir).withColumn("page_id", F.expr("event_id div 50"))
+    return pages_of(rows, flight_item(), ["page_id", "event_type"], FLIGHT_PAGE_OPEN)
 
 
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -243,7 +240,7 @@ def streamed_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "fetched_at",
         F.concat(F.lit("flight_"), F.col("event_id").cast("string")).alias("file_name"),
-        F.concat(F.lit(FLIGHT_PAGE_OPEN), flight_json(), close).alias("page_text"),
+        F.concat(F.lit(FLIGHT_PAGE_OPEN), F.to_json(flight_item()), close).alias("page_text"),
     )
 
 
@@ -264,8 +261,8 @@ def without_some_keys(flights: DataFrame) -> DataFrame:
     )
 
 
-def _reference_json(code_field: str, code, name, plural, extra=()):
-    """An item whose name is one object, or a list of them where ``plural``."""
+def _reference_json(code_field: str, code, name, plural, extra=()) -> Column:
+    """JSON of an item whose name is one object, or a list of them where ``plural``."""
     english = F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$"))
     german = F.struct(F.lit("DE").alias("@LanguageCode"), F.lit("Name").alias("$"))
 
@@ -341,10 +338,11 @@ def _reference_item(endpoint: str, key: str):
 def reference_pages(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
     """One endpoint's items, at most 100 to a page."""
     source, key = REFERENCE_SOURCES[endpoint]
-    page_id = F.expr(f"cast({key} as bigint) div 100").alias("page_id")
+    rows = table(spark, sf_dir, source).withColumn(
+        "page_id", F.expr(f"cast({key} as bigint) div 100")
+    )
     item = _reference_item(endpoint, key)
-    opening = REFERENCE_PAGE_OPEN[endpoint]
-    return pages_of(table(spark, sf_dir, source), item, [page_id], opening, "}")
+    return pages_of(rows, item, ["page_id"], REFERENCE_PAGE_OPEN[endpoint], as_json=False)
 
 
 def streamed_airport_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

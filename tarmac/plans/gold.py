@@ -46,5 +46,11 @@ def publish(lake: Lake) -> None:
     lake.flight_performance.replace(_stamped(metrics.performance_report(flights)))
 
 
+def rebuild(lake: Lake, hub: Hub = Hub()) -> None:
+    """Both gold tables from the whole fact, after the hub or a rule has changed."""
+    refresh_days(lake, sorted(lake.fact.versions()), hub)
+    publish(lake)
+
+
 def _stamped(report: DataFrame) -> DataFrame:
     return report.withColumn("gold_processed_at", F.current_timestamp())
