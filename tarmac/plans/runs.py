@@ -11,8 +11,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators.dimensions import coded_rows, join_airports
+from tarmac.operators.dimensions import join_airports
 from tarmac.operators.flatten import reference_items
+from tarmac.operators.quality import valid_rows
 from tarmac.plans import gold
 from tarmac.plans.lake import Lake
 from tarmac.schemas import BRONZE_PAGES
@@ -84,8 +85,8 @@ def refine_reference(lake: Lake, endpoint: str, max_files: int | None = None) ->
     rows = reference_items(pages, endpoint, ["fetched_at"])
 
     def merge(batch: DataFrame) -> None:
-        latest = coded_rows(batch, ["fetched_at"])
-        table.upsert(latest.withColumn("silver_processed_at", F.current_timestamp()))
+        coded = valid_rows(batch, table.keys)
+        table.upsert(coded.withColumn("silver_processed_at", F.current_timestamp()))
 
     flows.each_batch(
         rows, merge, lake.checkpoint(f"silver_{endpoint}"), f"silver_{endpoint}"
