@@ -32,8 +32,9 @@ WHOLE = "all"
 class KeyedTable:
     """``part`` names a text column derived from the keys; without it the table is one part.
 
-    Part values become directory names and their number is held on the driver,
-    so a part is a coarse unit such as a day, never an entity.
+    Part values become directory names, so they are plain words, and the driver
+    holds one entry per part, so a part is a coarse unit such as a day, never an
+    entity.
     """
 
     spark: SparkSession
@@ -86,6 +87,8 @@ class KeyedTable:
         placed.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(path)
         stored = self.spark.read.schema(f"{self.schema}, part string").parquet(path)
         present = {row.part for row in stored.select("part").distinct().collect()}
+        if present - set(parts):
+            raise ValueError(f"rows outside the replaced parts: {sorted(present - set(parts))}")
         entries = [(version, part, part in present) for part in parts]
         commit = self.spark.createDataFrame(entries, _COMMITS).coalesce(1)
         commit.write.mode("append").parquet(f"{self.root}/commits")
@@ -102,7 +105,7 @@ class KeyedTable:
 
     def _part_column(self) -> Column:
         part = F.lit(WHOLE) if self.part is None else self.part.cast("string")
-        return part.alias("part")
+        return F.coalesce(part, F.lit("none")).alias("part")
 
     def _part_path(self, version: int, part: str) -> str:
         return f"{self.root}/data/version={version}/part={part}"

@@ -6,12 +6,14 @@ import datetime as dt
 
 import pytest
 from pages import flight, flight_page, land, named, reference_page
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from tarmac.operators.metrics import SUMMED
 from tarmac.plans import audit, gold, runs
 from tarmac.plans.lake import Lake
 from tarmac.schemas import BRONZE_PAGES, FACT_COLUMNS
-from tarmac.settings import REFERENCE_RESOURCES
+from tarmac.settings import REFERENCE_RESOURCES, Hub
 from tarmac.sources import landing
 from tarmac.streaming import flows
 
@@ -326,3 +328,46 @@ def test_reference_audit(spark, lake, tmp_path):
     runs.ingest_reference(lake, folder)
     gaps = sorted(tuple(r) for r in audit.missing_reference_pages(lake, "cities").collect())
     assert gaps == [("cities", 0, 100, 0), ("cities", 200, 50, 0)]
+
+
+def test_run_that_dies_between_fact_and_gold_is_made_good(spark, lake, tmp_path, monkeypatch):
+    folder = str(tmp_path / "landing")
+    done = flight(actual="2025-03-10T08:20Z", status="Landed")
+    land(folder, flight_page([done, flight("2", actual="2025-03-10T08:01Z")]), "20250310100000")
+
+    def die(*_):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(gold, "refresh_days", die)
+        with pytest.raises(StreamingQueryException):
+            runs.daily(lake, folder)
+    assert lake.fact.read().count() == 2 and not lake.airport_hourly.exists()
+
+    runs.daily(lake, folder)
+    assert lake.fact.read().count() == 2
+    full = gold.airport_hourly(lake.fact.read()).drop("gold_processed_at")
+    assert as_rows(full) == gold_without_stamp(lake.airport_hourly)
+    assert lake.airport_hourly.read().first().total_flights == 2
+
+
+def test_rebuild_for_another_hub(spark, lake, tmp_path):
+    folder = str(tmp_path / "landing")
+    arrived = {"Arrival__ActualTimeUTC": {"DateTime": "2025-03-10T16:40Z"}}
+    land(folder, flight_page(flight(actual="2025-03-10T08:00Z", **arrived)), "20250310200000")
+    runs.daily(lake, folder)
+    assert lake.airport_hourly.read().first().direction == "Departure"
+    gold.rebuild(lake, Hub("JFK", "America/New_York"))
+    row = lake.airport_hourly.read().first()
+    assert (row.direction, row.scheduled_hour, row.total_delay_minutes) == ("Arrival", 12, 10)
+
+
+def test_replacing_parts_takes_only_their_rows(spark, lake):
+    row = spark.createDataFrame(
+        [(dt.date(2025, 3, 1), dt.date(2025, 3, 1), 8, "Arrival")],
+        "flight_day date, scheduled_date date, scheduled_hour int, direction string",
+    )
+    zero = {name: F.lit(0).cast("bigint") for name in (*SUMMED, "max_delay_minutes")}
+    with pytest.raises(ValueError, match="2025-03-01"):
+        lake.hourly_parts.replace(row.withColumns(zero), ["2025-03-02"])
+    assert lake.hourly_parts.versions() == {}
