@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import flights as rules
 from tarmac.functions.times import is_morning_wave, is_weekend, to_zone
-from tarmac.settings import Hub
+from tarmac.settings import ARRIVAL, Hub
 
 LOCAL_COLUMNS = {
     "local_scheduled_dep": "scheduled_departure_utc",
@@ -35,7 +35,7 @@ def with_calendar(flights: DataFrame, hub: Hub = Hub()) -> DataFrame:
     first and only that one is converted.
     """
     at_hub = F.when(
-        F.col("direction") == "Arrival", F.col("scheduled_arrival_utc")
+        F.col("direction") == ARRIVAL, F.col("scheduled_arrival_utc")
     ).otherwise(F.col("scheduled_departure_utc"))
     dated = flights.withColumn("reference_time", to_zone(at_hub, hub.timezone)).withColumns(
         {

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.times import is_morning_wave, is_weekend
-from tarmac.settings import HOURLY_KEYS, PERFORMANCE_KEYS, RIPPLE_HOURS
+from tarmac.settings import CANCELLED, HOURLY_KEYS, ON_TIME, PERFORMANCE_KEYS, RIPPLE_HOURS
 
 SUMMED = [
     "total_flights",
@@ -26,8 +26,8 @@ def measure(features: DataFrame, keys: list[str]) -> DataFrame:
     status = F.col("status_category")
     return features.groupBy(*keys).agg(
         F.count("flight_number").alias("total_flights"),
-        F.count_if(status == "On_time").alias("on_time_flights"),
-        F.count_if(status == "Cancelled").alias("cancelled_flights"),
+        F.count_if(status == ON_TIME).alias("on_time_flights"),
+        F.count_if(status == CANCELLED).alias("cancelled_flights"),
         F.sum("delay_minutes").alias("total_delay_minutes"),
         F.count("delay_minutes").alias("measured_flights"),
         F.max("delay_minutes").alias("max_delay_minutes"),

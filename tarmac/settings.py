@@ -40,7 +40,11 @@ PERFORMANCE_KEYS = ["flight_number", "direction", "airline_id", "aircraft_code"]
 
 MORNING_WAVE_HOURS = (6, 9)
 WEEKEND_DAYS = (1, 7)  # dayofweek(): 1 = Sunday, 7 = Saturday
-MAJOR_DELAY_MINUTES = 15
+DEPARTURE, ARRIVAL, UNKNOWN = "Departure", "Arrival", "Unknown"
+CANCELLED = "Cancelled"
+ON_TIME = "On_time"
+DELAY_BANDS = [(1, ON_TIME), (15, "Minor_Delay")]  # fewer whole minutes than this
+WORST_BAND = "Major_Delay"
 RIPPLE_HOURS = 3
 
 # --- End of fixed values. ---
