@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, language_id, mixing, ngram_join, secrets
+from tarmac.llm import decontaminate, language_id, mixing, ngram_join, secrets, substring_dedup
 from tarmac.llm.common import ship
 
 
@@ -27,6 +27,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the words of 35-word windows that occur more than once."""
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot, release time and deadline of each document's block in a mix by tempered source sizes."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -57,6 +62,7 @@ MIX_POWER = 0.9
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op6_secret_scan": op6_secret_scan,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mix": op8_source_mix,
     "op9_language_id": op9_language_id,
     "op10_ngram_jaccard": op10_ngram_jaccard,
