@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import decontaminate, language_id, mixing, ngram_join, secrets, substring_dedup
+from tarmac.llm import (
+    decontaminate,
+    language_id,
+    mixing,
+    ngram_join,
+    secrets,
+    substring_dedup,
+    token_files,
+    warc,
+)
 from tarmac.llm.common import ship
 
 
@@ -22,6 +32,16 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page as its WARC record says, and its number in the merged capture history."""
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document's token ids, read back from the files."""
+    return token_files.digest(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Assignments, access keys, hexadecimal strings and high-entropy strings in each document."""
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
@@ -56,11 +76,15 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 #: Share of a source in the mix: its size to this power.
 MIX_POWER = 0.9
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op4_warc_archives": op4_warc_archives,
+    "op5_token_files": op5_token_files,
     "op6_secret_scan": op6_secret_scan,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_source_mix": op8_source_mix,
