@@ -4,7 +4,7 @@ A document's set holds the fingerprints of its runs of five words. Two documents
 sets' Jaccard similarity reaches the threshold. All links count; the result is the connected
 components they make, not the list of pairs.
 
-1. Equal sets are one class, whatever its size; only the smallest document of a class goes on.
+1. Equal sets are one class, whatever its size; a task passes a class on once.
 2. N-grams are counted over all classes, by ranges of fingerprints. An n-gram of one class
    only can be in no intersection; a class with too few others can link with nothing and is done.
 3. N-grams get one global order, rare first. Two linked sets share an n-gram among the first
@@ -43,11 +43,11 @@ from tarmac.llm.common import LOWER, WordHashes, documents_of, shingle_hashes, s
 GRAM = 5
 #: The threshold as a fraction: 75 / 100.
 SHARE, WHOLE = 75, 100
-RANGE_GRAMS = 1_000_000
+RANGE_GRAMS = 2_000_000
 BLOCK_SETS = 2000
 HOT_GRAMS = 1_000_000
 HOT_LEAST = 200
-_ROWS = 2000
+_ROWS = 5000
 
 
 def gram_set(words: list[bytes], hashes: WordHashes, size: int = GRAM) -> np.ndarray:
@@ -81,7 +81,6 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "doc_id": part.column("doc_id"),
-                "text_hash": part.column("text_hash"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "class": pa.array(ids, pa.int64()),
                 "gram": pa.nulls(len(sets), pa.int64()),
@@ -94,7 +93,6 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "doc_id": nulls,
-                "text_hash": nulls,
                 "n": pa.array(counts[often], pa.int64()),
                 "class": nulls,
                 "gram": pa.array(grams[often].view(np.int64)),
@@ -102,38 +100,55 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-_PACK = "range long, class long, grams binary, classes binary, df binary"
+_PACK = "range long, class long, grams binary, classes binary, owners binary, df binary"
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Sorted values as differences, one byte plane after the other: the upper ones are mostly zero."""
+    return np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
 def _by_range(ranges: int, hot):
-    """Packs of (fingerprint, class) by range of fingerprints; the hot ones of a class go straight on."""
+    """Packs of (fingerprint, class) by range of fingerprints; the hot ones of a class go past that.
+
+    Those are in ranges of their own, behind the others, which pass them on as they are.
+    """
     shift = np.uint64(65 - ranges.bit_length())
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_df = hot.value
         for _, sets in _sets(batches, "text"):
-            ids = np.array([_class_id(s) for s in sets], np.int64)
+            by_class = {_class_id(s): s for s in sets}
+            ids, sets = np.array(list(by_class), np.int64), list(by_class.values())
             rows = []
             for i, grams in enumerate(sets):
                 place = np.searchsorted(known, grams)
                 place[place == len(known)] = 0
                 is_hot = known[place] == grams if len(known) else np.zeros(len(grams), bool)
                 if is_hot.any():
-                    rows.append((-1, int(ids[i]), grams[is_hot].tobytes(), b"", known_df[place[is_hot]].tobytes()))
+                    number, df = ranges + int(ids[i] % ranges), known_df[place[is_hot]]
+                    rows.append((number, int(ids[i]), grams[is_hot].tobytes(), b"", b"", df.tobytes()))
                 sets[i] = grams[~is_hot]
             grams = np.concatenate(sets)
             order = np.argsort(grams)
-            owner = np.repeat(ids, [len(s) for s in sets])[order]
+            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])[order]
             grams = grams[order]
             number = (grams >> shift).astype(np.int64) if ranges > 1 else np.zeros(len(grams), np.int64)
             cuts = np.flatnonzero(np.diff(number, prepend=-1))
             for low, high in zip(cuts, np.append(cuts[1:], len(grams))):
-                rows.append((int(number[low]), None, grams[low:high].tobytes(), owner[low:high].tobytes(), b""))
-            columns = list(zip(*rows)) or [()] * 5
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                present, mine = np.unique(owner[low:high], return_inverse=True)
+                parts = ids[present].tobytes(), mine.astype(np.uint16).tobytes()
+                rows.append((int(number[low]), None, _packed(grams[low:high]), *parts, b""))
+            columns = list(zip(*rows)) or [()] * 6
+            types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types)],
-                ["range", "class", "grams", "classes", "df"],
+                ["range", "class", "grams", "classes", "owners", "df"],
             )
 
     return pack
@@ -141,11 +156,18 @@ def _by_range(ranges: int, hot):
 
 def _shared_grams(packs: pd.DataFrame) -> pd.DataFrame:
     """From the packs of one range: for each class, its fingerprints that others have too."""
-    grams = np.frombuffer(b"".join(packs["grams"]), np.uint64)
-    docs = np.frombuffer(b"".join(packs["classes"]), np.int64)
+    if packs["class"].notna().any():
+        return packs[["class", "grams", "df"]].drop_duplicates("class")
+    grams = np.concatenate([_unpacked(g) for g in packs["grams"]])
+    docs = np.concatenate(
+        [
+            np.frombuffer(ids, np.int64)[np.frombuffer(mine, np.uint16)]
+            for ids, mine in zip(packs["classes"], packs["owners"])
+        ]
+    )
     order = np.lexsort((docs, grams))
     grams, docs = grams[order], docs[order]
-    # Rows that repeat with their id bring the same pair twice.
+    # Copies in several tasks bring the same pair more than once.
     fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (docs[1:] != docs[:-1])])[: len(grams)]
     grams, docs = grams[fresh], docs[fresh]
     starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
@@ -381,16 +403,11 @@ def near_duplicates(
     whole: int = WHOLE,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document; links at ``share / whole`` similarity or more."""
-    docs = documents_of(documents, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")
-    )
+    docs = documents_of(documents, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
     spark = documents.sparkSession
-    read = stored(
-        docs.mapInArrow(_classes, "doc_id long, text_hash long, n long, class long, gram long"), "sets"
-    )
-    members = read.where("class is not null").select("doc_id", "text_hash", "n", "class")
-    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    classes = stored(members.where("n > 0").groupBy("class", "n").agg(first, F.min("doc_id").alias("doc")), "classes")
+    read = stored(docs.mapInArrow(_classes, "doc_id long, n long, class long, gram long"), "sets")
+    members = read.where("class is not null").select("doc_id", "n", "class")
+    classes = stored(members.where("n > 0").groupBy("class", "n").agg(F.min("doc_id").alias("doc")), "classes")
 
     # Frequent n-grams: sums of the counts of those that repeat within a task's batch.
     heavy = read.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("df"))
@@ -399,21 +416,14 @@ def near_duplicates(
     order = np.argsort(grams)
     hot = spark.sparkContext.broadcast((grams[order], df[order]))
 
-    # One document of each class goes on.
-    copies = members.join(
-        classes.select(F.col("class").alias("of"), "first"), F.col("class") == F.col("of")
-    ).where(~F.struct("doc_id", "text_hash").eqNullSafe(F.col("first")))
-    copies = copies.select(F.col("doc_id").alias("copy_id"), F.col("text_hash").alias("copy_hash"))
-    is_copy = F.col("doc_id").eqNullSafe(F.col("copy_id")) & (F.col("text_hash") == F.col("copy_hash"))
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     ranges = 1 << int(total // RANGE_GRAMS).bit_length()
-    packs = docs.join(copies, is_copy, "left_anti").mapInArrow(_by_range(ranges, hot), _PACK)
-    packs = stored(packs, "packs") if len(grams) else packs
-    shared = packs.where("range >= 0").groupBy("range").applyInPandas(
-        _shared_grams, "class long, grams binary, df binary"
+    shared = (
+        docs.select("text")
+        .mapInArrow(_by_range(ranges, hot), _PACK)
+        .groupBy("range")
+        .applyInPandas(_shared_grams, "class long, grams binary, df binary")
     )
-    if len(grams):
-        shared = shared.union(packs.where("range < 0").select("class", "grams", "df"))
     enough = whole * F.col("m") >= share * F.col("n")
     sets = (
         shared.groupBy("class")
