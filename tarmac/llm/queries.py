@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (
+    ann,
     decontaminate,
     language_id,
     mixing,
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors nearest to every twentieth one, by inner product."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in a ten-word window of the benchmark."""
     found = decontaminate.decontaminate(
@@ -82,6 +88,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 MIX_POWER = 0.9
 
 QUERIES = {
+    "op1_ann_search": op1_ann_search,
     "op2_decontaminate": op2_decontaminate,
     "op4_warc_archives": op4_warc_archives,
     "op5_token_files": op5_token_files,
