@@ -3,12 +3,14 @@
 Each tree splits space by hyperplanes between two random centres until a leaf stands for about
 ``LEAF_ROWS`` rows. The splits are fitted on a bounded sample (``SAMPLE_ROWS``); all rows are then sent down every tree.
 A query searches all trees through one priority queue: the side of a split it lies on first, the
-other side at the priority of its distance to the plane, so that the closest missed leaf of any tree comes next. It stops
-after leaves with ``SEARCH_ROWS`` rows, which is at least ``trees * (k + 1)``, so that k other rows are found.
+other side by the sum of squared distances to the planes it lies beyond, so that the closest
+missed leaf of any tree comes next. It stops after leaves with ``SEARCH_ROWS`` rows, which is at
+least ``trees * (k + 1)``, so that k other rows are found.
 
-Leaves meet their queries by a join on (leaf, part): a leaf with very many rows is cut into parts of
-``PART_ROWS``. A part scores its rows against its queries exactly, in double precision, and passes
-on the best of each query, which are merged per query at the end.
+Neighbouring leaves of a tree form a bucket. Buckets meet their queries by a grouped join: one with
+very many rows is cut into parts of ``PART_ROWS``, one with very many queries into shares. Each scores
+the leaves that a query chose exactly, in double precision, and passes on one row with the query's
+best, which are merged per query at the end.
 
 Inner products are not distances, so all vectors get one more component that makes them equally
 long (queries get zero); then the largest inner product is the smallest angle.
@@ -38,9 +40,10 @@ from tarmac.llm.common import stored
 K = 20
 TREES = 10
 LEAF_ROWS = 100
-SEARCH_ROWS = 6000
+SEARCH_ROWS = 30_000
+BUCKET_LEAVES = 128
 SAMPLE_ROWS = 20_000
-PART_ROWS = 20_000
+PART_ROWS = 50_000
 PART_QUERIES = 4000
 _SEED = 20
 
@@ -119,7 +122,9 @@ class Forest:
     longest: float  # length to which vectors are brought
 
     def first_leaves(self) -> np.ndarray:
-        return np.concatenate([[0], np.cumsum([t.leaves for t in self.trees])])
+        """First leaf number of each tree; no bucket holds leaves of two trees."""
+        buckets = [-(-t.leaves // BUCKET_LEAVES) for t in self.trees]
+        return np.concatenate([[0], np.cumsum(buckets)]) * BUCKET_LEAVES
 
     def points(self, vectors: np.ndarray) -> np.ndarray:
         rest = np.maximum(self.longest**2 - (vectors**2).sum(1), 0)
@@ -135,15 +140,14 @@ class Forest:
         query = np.append(vector / np.linalg.norm(vector), 0.0)
         margins = [t.normals @ query - t.offsets / self.longest for t in self.trees]
         first, found, rows = self.first_leaves(), [], 0
-        queue = [(-np.inf, i, 0 if len(t.children) else -1) for i, t in enumerate(self.trees)]
-        heapq.heapify(queue)
+        queue = [(0.0, i, 0 if len(t.children) else -1) for i, t in enumerate(self.trees)]
         while queue and rows < enough:
             missed, i, node = heapq.heappop(queue)
             children = self.trees[i].children
             while node >= 0:
                 margin = margins[i][node]
                 near, far = (1, 0) if margin > 0 else (0, 1)
-                heapq.heappush(queue, (max(missed, abs(margin)), i, children[node, far]))
+                heapq.heappush(queue, (missed + margin * margin, i, children[node, far]))
                 node = children[node, near]
             leaf = int(first[i] - 1 - node)
             if sizes[leaf]:
@@ -159,7 +163,7 @@ def _matrix(column) -> np.ndarray:
 def fit(points: DataFrame, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> tuple[Forest, int]:
     """A forest from a bounded sample of (id, vector), and the number of points."""
     count, longest = points.agg(
-        F.count("*"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+        F.count("*"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     ).first()
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     sample = points.where(draw < min(1.0, SAMPLE_ROWS / max(count, 1)) * (1 << 30)).orderBy("id")
@@ -184,41 +188,61 @@ def _index(forest):
                 leaves = forest.value.leaves_of(vectors)
                 for tree in range(leaves.shape[1]):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(leaves[:, tree], pa.int64()), *[batch.column(c) for c in ("id", "ids", "vector")]],
-                        ["leaf", "id", "ids", "vector"],
+                        [pa.array(leaves[:, tree], pa.int64()), *[batch.column(c) for c in ("id", "vector")]],
+                        ["leaf", "id", "vector"],
                     )
 
     return index
 
 
 def _probe(forest, sizes, enough: int):
-    """A row for each query and leaf to look into."""
+    """A row for each query and bucket to look into, with the bucket's leaves."""
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            vectors = _matrix(rows["vector"]) if len(rows) else []
-            leaves = [forest.value.search(v, sizes.value, enough) for v in vectors]
-            yield rows.assign(leaf=leaves).explode("leaf").astype({"leaf": "int64"})[["leaf", "id", "vector"]]
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for i in range(0, whole.num_rows, 500):
+                batch = whole.slice(i, 500)
+                take, buckets, leaves = [], [], []
+                for row, vector in enumerate(_matrix(batch.column("vector").to_numpy(zero_copy_only=False))):
+                    found = np.sort(forest.value.search(vector, sizes.value, enough))
+                    bucket, first = np.unique(found // BUCKET_LEAVES, return_index=True)
+                    take += [row] * len(bucket)
+                    buckets.append(bucket)
+                    leaves += np.split(found, first[1:])
+                take = pa.array(take, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(buckets)),
+                        pa.array(leaves, pa.list_(pa.int64())),
+                        *[batch.column(c).take(take) for c in ("id", "vector")],
+                    ],
+                    ["bucket", "leaves", "id", "vector"],
+                )
 
     return probe
 
 
 def _score(k: int):
-    """The best k points of a part for each of its queries."""
+    """For each query of a part the best k points in the leaves it chose, and those that tie with the last."""
 
     def score(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(points) and len(queries):
-            points = points.sort_values("id")
-            vectors, ids = _matrix(points["vector"]), points["ids"].to_numpy()
-            for i in range(0, len(queries), 256):
-                part = queries.iloc[i : i + 256]
-                scores = _matrix(part["vector"]) @ vectors.T
-                least = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(part), -np.inf)
-                # Points that tie with the last one all stay; the merge decides by id.
-                q, p = np.nonzero(scores >= least[:, None])
-                out.append(pd.DataFrame({"query": part["id"].to_numpy()[q], "id": points["id"].to_numpy()[p], "ids": ids[p], "score": scores[q, p]}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "id": [], "ids": [], "score": []}).astype({"query": "int64", "id": "int64", "score": "float64"})
+            points = points.sort_values(["leaf", "id"])
+            vectors, ids = _matrix(points["vector"]), points["id"].to_numpy()
+            leaves, column = np.unique(points["leaf"].to_numpy(), return_inverse=True)
+            for i in range(0, len(queries), 128):
+                part = queries.iloc[i : i + 128]
+                asked = _matrix(part["vector"])
+                chosen = np.stack([np.isin(leaves, x) for x in part["leaves"]])
+                scores = np.where(chosen[:, column], asked @ vectors.T, -np.inf)
+                for query, vector, row in zip(part["id"], asked, scores):
+                    least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+                    best = np.flatnonzero((row >= least - 1e-9) & (row > -np.inf))
+                    # One sum per pair, so that a point scores the same in every tree.
+                    exact = (vectors[best] * vector).sum(1)
+                    out.append((query, ids[best], exact))
+        return pd.DataFrame(out, columns=["query", "ids", "scores"])
 
     return score
 
@@ -237,7 +261,7 @@ def nearest(
     spark = vectors.sparkSession
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"),
-        F.col(vector_col).cast("array<double>").alias("vector"),
+        F.col(vector_col).alias("vector"),
         is_query.alias("is_query"),
     ).where(valid(F.col("vector")) & F.col("id").isNotNull())
     lengths = rows.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
@@ -256,48 +280,52 @@ def nearest(
     forest, _ = fit(points, trees, leaf_rows)
     shared = spark.sparkContext.broadcast(forest)
     # Read twice: for the leaf sizes and for the search.
-    indexed = points.select("id", "ids", "vector").mapInArrow(
-        _index(shared), "leaf long, id long, ids array<long>, vector array<double>"
-    )
+    vector_type = dict(points.dtypes)["vector"]
+    indexed = points.select("id", "vector").mapInArrow(_index(shared), f"leaf long, id long, vector {vector_type}")
     counts = indexed.groupBy("leaf").count().collect()  # one number per leaf of the fitted forest
     sizes = np.zeros(int(forest.first_leaves()[-1]), np.int64)
     for leaf, n in counts:
         sizes[leaf] = n
-    wide = {int(i): -(-int(n) // PART_ROWS) for i, n in enumerate(sizes) if n > PART_ROWS}
-    parts = F.coalesce(*[F.when(F.col("leaf") == i, n) for i, n in wide.items()], F.lit(1))
+    counts = np.add.reduceat(sizes, np.arange(0, len(sizes), BUCKET_LEAVES))
+    wide = {i: -(-int(n) // PART_ROWS) for i, n in enumerate(counts) if n > PART_ROWS}
+    parts = F.coalesce(*[F.when(F.col("bucket") == i, n) for i, n in wide.items()], F.lit(1))
 
     enough = max(search_rows, trees * (k + 1))
-    probes = groups.mapInPandas(
-        _probe(shared, spark.sparkContext.broadcast(sizes), enough), "leaf long, id long, vector array<double>"
+    probes = groups.select("id", "vector").mapInArrow(
+        _probe(shared, spark.sparkContext.broadcast(sizes), enough),
+        f"bucket long, leaves array<long>, id long, vector {vector_type}",
     )
-    points = indexed.withColumn("part", F.pmod(F.xxhash64("id"), parts))
+    rows = indexed.withColumn("bucket", F.floor(F.col("leaf") / BUCKET_LEAVES))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), parts))
     probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    # Both sides of a leaf that very many queries ask for are cut by the queries as well.
-    asks = probes.groupBy("leaf").agg(F.ceil(F.count("*") / PART_QUERIES).alias("shares")).where("shares > 1")
+    # A bucket that very many queries ask for is cut by the queries as well.
+    asks = probes.groupBy("bucket").agg(F.ceil(F.count("*") / PART_QUERIES).alias("shares")).where("shares > 1")
     asks = stored(asks, "asks")
-    cut = lambda name: asks.select(F.col("leaf").alias(f"{name}_leaf"), F.col("shares").alias(name))
+    cut = lambda name: asks.select(F.col("bucket").alias(f"{name}_bucket"), F.col("shares").alias(name))
     probes = (
-        probes.join(cut("q"), F.col("leaf") == F.col("q_leaf"), "left")
+        probes.join(cut("q"), F.col("bucket") == F.col("q_bucket"), "left")
         .withColumn("share", F.pmod(F.xxhash64("id", F.lit("q")), F.coalesce("q", F.lit(1))))
-        .select("leaf", "part", "share", "id", "vector")
+        .select("bucket", "part", "share", "leaves", "id", "vector")
     )
     all_shares = F.sequence(F.lit(0).cast("long"), F.coalesce("p", F.lit(1)) - 1)
-    points = (
-        points.join(cut("p"), F.col("leaf") == F.col("p_leaf"), "left")
+    rows = (
+        rows.join(cut("p"), F.col("bucket") == F.col("p_bucket"), "left")
         .withColumn("share", F.explode(all_shares))
-        .select("leaf", "part", "share", "id", "ids", "vector")
+        .select("bucket", "part", "share", "leaf", "id", "vector")
     )
-    keys = ["leaf", "part", "share"]
+    keys = ["bucket", "part", "share"]
     found = (
-        points.groupBy(*keys)
+        rows.groupBy(*keys)
         .cogroup(probes.groupBy(*keys))
-        .applyInPandas(_score(k + 1), "query long, id long, ids array<long>, score double")
-        .groupBy("query", "id")
-        .agg(F.max("score").alias("score"), F.first("ids").alias("ids"))
+        .applyInPandas(_score(k + 1), "query long, ids array<long>, scores array<double>")
+    )
+    pairs = F.zip_with("scores", "ids", lambda s, i: F.struct((-s).alias("less"), i.alias("id")))
+    best = found.groupBy("query").agg(F.flatten(F.collect_list(pairs)).alias("all"))
+    best = best.select("query", F.explode(F.slice(F.array_sort(F.array_distinct("all")), 1, k + 1)).alias("best"))
+    copies = points.select("id", "ids")
+    listed = best.join(copies, F.col("best.id") == F.col("id")).select(
+        "query", (-F.col("best.less")).alias("score"), F.explode("ids").alias("vec_id")
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    best = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-    listed = best.select("query", "score", F.explode("ids").alias("vec_id"))
     members = asked.join(groups, "vector").select("query_id", F.col("id").alias("query"))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
