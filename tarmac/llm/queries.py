@@ -10,6 +10,7 @@ from tarmac.llm import (
     ann,
     decontaminate,
     language_id,
+    licenses,
     mixing,
     ngram_join,
     secrets,
@@ -38,6 +39,20 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of each document, its own or the one of the nearest directory above it.
+
+    The table has no paths. A document's source is its repository; the hexadecimal digits of its id
+    are its directories; ids that end in 0 are the licence files of their directory.
+    """
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    digits = F.array_join(F.split(F.lower(F.hex("doc_id")), "(?<=.)(?=.)"), "/")
+    files = documents.select("doc_id", "text", F.concat_ws("/", "source", digits).alias("path"))
+    return licenses.scan(files, F.col("doc_id") % 16 == 0).select(
+        F.col("row.doc_id").alias("doc_id"), F.col("row.path").alias("path"), "own", "cosine", "licence", "inherited_from"
+    )
+
+
 def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each page as its WARC record says, and its number in the merged capture history."""
     return warc.digest(table(spark, sf_dir, "pages"))
@@ -90,6 +105,7 @@ MIX_POWER = 0.9
 QUERIES = {
     "op1_ann_search": op1_ann_search,
     "op2_decontaminate": op2_decontaminate,
+    "op3_license_scan": op3_license_scan,
     "op4_warc_archives": op4_warc_archives,
     "op5_token_files": op5_token_files,
     "op6_secret_scan": op6_secret_scan,
