@@ -167,7 +167,7 @@ def fit(points: DataFrame, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> tu
     ).first()
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     sample = points.where(draw < min(1.0, SAMPLE_ROWS / max(count, 1)) * (1 << 30)).orderBy("id")
-    rows = sample.limit(2 * SAMPLE_ROWS).select("vector").toPandas()
+    rows = sample.limit(2 * SAMPLE_ROWS).select("vector").toArrow().to_pandas()
     if not len(rows):
         return Forest([Tree(np.zeros((0, 1)), np.zeros(0), np.zeros((0, 2), np.int64), 1)] * trees, 1.0), count
     forest = Forest([], float(np.sqrt(longest)))

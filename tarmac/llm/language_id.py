@@ -178,7 +178,7 @@ def train(
     rows = rows.where(r"lang is not null and text is not null and text rlike '\\p{L}'")
     sample = training_sample(rows, per_language)
     sums = sample.mapInArrow(_sum_grams, "lang string, slot int, n long")
-    found = sums.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+    found = sums.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow().to_pandas()
 
     languages = sorted(found["lang"].unique())
     code = codewords(len(languages))

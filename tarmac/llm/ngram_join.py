@@ -411,8 +411,8 @@ def near_duplicates(
 
     # Frequent n-grams: sums of the counts of those that repeat within a task's batch.
     heavy = read.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("df"))
-    heavy = heavy.where(F.col("df") >= HOT_LEAST).orderBy(F.desc("df")).limit(HOT_GRAMS).toPandas()
-    grams, df = heavy["gram"].to_numpy(np.int64).view(np.uint64), heavy["df"].to_numpy(np.int64)
+    heavy = heavy.where(F.col("df") >= HOT_LEAST).orderBy(F.desc("df")).limit(HOT_GRAMS).toArrow()
+    grams, df = heavy["gram"].to_numpy().astype(np.int64).view(np.uint64), heavy["df"].to_numpy()
     order = np.argsort(grams)
     hot = spark.sparkContext.broadcast((grams[order], df[order]))
 
