@@ -39,6 +39,12 @@ HEADLINE = [
     "page_gaps",
     "coverage_gaps",
     "page_dupes",
+    "keyed_table_upsert",
+    "stream_quarantine",
+    "stream_fact_flights",
+    "stream_gold_hourly",
+    "stream_gold_performance",
+    "stream_landing",
 ]
 
 

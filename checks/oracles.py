@@ -299,5 +299,12 @@ select {', '.join(FACT_COLUMNS)}, fetched_at from fact""",
     "stream_gold_hourly": f"with {FACT_FEATURES_SQL}, {HOURLY_STEPS_SQL} select * from ripple",
     "stream_gold_performance": f"with {FACT_FEATURES_SQL} {PERFORMANCE_SELECT}",
     "stream_dim_airports": AIRPORTS_SELECT,
+    "stream_landing": f"with {REFERENCE_SQL} select * from aircraft",
+    "sql_views": f"""with {FACT_SQL}
+select airline_id, count_if(valid)::bigint valid_flights, count_if(not valid)::bigint quarantined_flights,
+  0::bigint without_stamp
+from (select airline_id, true valid from fact union all
+  select airline_id, false from incomplete where not {IS_VALID})
+group by airline_id""",
     "stream_first_seen": "select distinct user_id, event_type from events",
 }

@@ -15,7 +15,7 @@ from tarmac.operators import audits, dimensions, flatten, keyed, metrics, qualit
 from tarmac.operators import features as feat
 from tarmac.plans import gold, runs
 from tarmac.plans.lake import Lake
-from tarmac.schemas import FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH
+from tarmac.schemas import BRONZE_PAGES, FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH
 from tarmac.settings import (
     FLIGHT_KEYS,
     FLIGHT_PAGE_LIMIT,
@@ -169,7 +169,7 @@ def _finished_and_open(spark, sf_dir):
     lines = views.table(spark, sf_dir, "lineitem")
     finished = lines.filter("l_linestatus = 'F'")
     return keyed.latest_per_key(finished, LINE_KEYS, ["l_shipdate"]), lines.filter(
-        "l_linestatus = 'O'"
+        "not l_linestatus <=> 'F'"
     )
 
 
@@ -187,7 +187,8 @@ def cdc_latest(spark, sf_dir):
     events = views.table(spark, sf_dir, "events").drop("props")
     order = ["ts", "event_id"]
     first = keyed.latest_per_key(events.filter("value >= 250"), ["user_id"], order)
-    return keyed.upsert(first, events.filter("value < 250"), ["user_id"], order)
+    rest = events.filter("coalesce(value < 250, true)")
+    return keyed.upsert(first, rest, ["user_id"], order)
 
 
 def page_gaps(spark, sf_dir):
@@ -272,6 +273,36 @@ def _stream_result(spark, stream, schema):
     return spark.read.schema(schema).parquet(f"{folder}/out")
 
 
+def stream_landing(spark, sf_dir):
+    """Reference pages as one JSON file each, taken by the file stream into bronze, then as rows."""
+    folder, pages = shared_folder(spark), views.reference_pages(spark, sf_dir, "aircraft")
+    writer = pages.select("page_text").write.option("maxRecordsPerFile", 1)
+    writer.text(f"{folder}/landing")
+    flows.landing_to_bronze(
+        spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/chk", "landed", 64
+    ).awaitTermination()
+    bronze = spark.read.schema(BRONZE_PAGES).parquet(f"{folder}/bronze")
+    stamped = bronze.filter(F.col("fetched_at").isNotNull() & F.col("bronze_ingested_at").isNotNull())
+    rows = flatten.reference_items(landing.good_pages(stamped), "aircraft")
+    return dimensions.coded_rows(rows)
+
+
+def sql_views(spark, sf_dir):
+    """Valid and quarantined flights per airline, by SQL over the lake's views."""
+    lake = _merged_lake(spark, sf_dir)
+    gold.publish(lake)
+    lake.register_views()
+    return spark.sql("""
+        select airline_id, count_if(valid) as valid_flights,
+          count_if(not valid) as quarantined_flights,
+          count_if(stamp is null) as without_stamp
+        from (
+          select airline_id, true as valid, silver_processed_at as stamp from fact_flights
+          union all
+          select airline_id, false, quarantined_at from quarantine_flights)
+        group by airline_id""")
+
+
 def stream_dim_airports(spark, sf_dir):
     """Airports as a stream, joined with the stored names."""
     pages = landing.good_pages(landing.classify(views.streamed_airport_pages(spark, sf_dir)))
@@ -325,5 +356,7 @@ QUERIES = {
     "stream_gold_hourly": stream_gold_hourly,
     "stream_gold_performance": stream_gold_performance,
     "stream_dim_airports": stream_dim_airports,
+    "stream_landing": stream_landing,
+    "sql_views": sql_views,
     "stream_first_seen": stream_first_seen,
 }

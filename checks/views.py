@@ -269,7 +269,8 @@ def _reference_json(code_field: str, code, name, plural, extra=()) -> Column:
     def item(names):
         return F.to_json(F.struct(code.alias(code_field), F.struct(names.alias("Name")).alias("Names"), *extra))
 
-    return F.when(plural, item(F.array(english, german))).otherwise(item(english))
+    both = F.when(F.length(name) % 2 == 0, F.array(german, english)).otherwise(F.array(english, german))
+    return F.when(plural, item(both)).otherwise(item(english))
 
 
 def _position():

@@ -32,8 +32,10 @@ def items_at(page_text: Column, path: str, item_type: str) -> Column:
 
 
 def english_name(name_text: Column) -> Column:
-    """The text under ``$`` of a name object, or of the first one when there are several."""
-    return F.get(F.from_json(name_text, "array<struct<`$`: string>>"), 0).getField("$")
+    """The text under ``$`` of a name object; of several the English one, else the first."""
+    names = F.from_json(name_text, "array<struct<`@LanguageCode`: string, `$`: string>>")
+    english = F.filter(names, lambda name: name.getField("@LanguageCode") == "EN")
+    return F.coalesce(F.get(english, 0).getField("$"), F.get(names, 0).getField("$"))
 
 
 def _has_content(value: Column) -> Column:

@@ -37,6 +37,13 @@ def as_instant(utc: Column) -> Column:
     return F.timestamp_seconds(since_epoch.cast("interval second").cast("decimal(20, 6)"))
 
 
+def as_utc(instant: Column) -> Column:
+    """The UTC clock of a TIMESTAMP as TIMESTAMP_NTZ, whatever the session zone."""
+    seconds = F.unix_micros(instant).cast("decimal(18, 0)") / F.lit(1_000_000)
+    since_epoch = F.make_dt_interval(secs=seconds.cast("decimal(18, 6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since_epoch
+
+
 def is_weekend(day: Column) -> Column:
     return F.coalesce(F.dayofweek(day).isin(*WEEKEND_DAYS), F.lit(False))
 

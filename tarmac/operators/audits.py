@@ -41,13 +41,14 @@ def expected_pages(totals: DataFrame, group: list[str], limit: int) -> DataFrame
 def page_coverage(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
     """Records landed per full-size page, counting overlapping pieces once.
 
+    Pages with a larger limit than ``limit`` do not count, see ``odd_limits``.
     A page that failed may have landed in pieces of smaller limits. The pieces
     of one page are few once repeats are gone, so the window over them is small
     however often a page was fetched again.
     """
     piece_end = F.col("page_offset") + F.col("page_limit")
     pieces = (
-        pages.filter(F.col("page_limit") > 0)
+        pages.filter((F.col("page_limit") > 0) & (F.col("page_limit") <= limit))
         .select(*group, "page_offset", piece_end.alias("piece_end"))
         .distinct()
     )
@@ -74,6 +75,12 @@ def page_coverage(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
     )
 
 
+def odd_limits(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
+    """Pages whose name states a limit that no request has."""
+    odd = (F.col("page_limit") <= 0) | (F.col("page_limit") > limit)
+    return pages.filter(odd).select(*group, "page_offset", "page_limit").distinct()
+
+
 def page_gaps(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
     """Expected pages that landed in part or not at all."""
     expected = expected_pages(latest_totals(pages, group), group, limit)

@@ -21,13 +21,22 @@ from tarmac.settings import (
 )
 from tarmac.sources.landing import good_pages
 
-FLIGHT_REQUEST = ["hub", "flight_type", "slot_start"]
-REFERENCE_REQUEST = ["endpoint"]
+# Every fetch run is audited on its own: a page that an earlier run brought does not fill a
+# later run's hole, and a flight that moves to another page between runs is no repeat.
+FLIGHT_REQUEST = ["fetch_run", "hub", "flight_type", "slot_start"]
+REFERENCE_REQUEST = ["fetch_run", "endpoint"]
+RUN_STARTS_HOUR = 12
+
+
+def _fetch_run():
+    """The day of a run. Runs start in the evening or at night, so a run's day lasts from noon to noon UTC."""
+    return F.to_date(F.col("fetched_at") - F.make_dt_interval(hours=F.lit(RUN_STARTS_HOUR)))
 
 
 def _pages(lake: Lake, bronze: str, request: list[str], since: dt.datetime | None) -> DataFrame:
     """Good pages whose name tells their request, fetched from ``since`` on."""
     pages = good_pages(lake.spark.read.schema(BRONZE_PAGES).parquet(bronze))
+    pages = pages.withColumn("fetch_run", _fetch_run())
     traced = valid_rows(pages, [*request, "fetched_at", "page_offset", "page_limit"])
     if since is None:
         return traced
@@ -46,12 +55,23 @@ def missing_reference_pages(
     return audits.page_gaps(pages, REFERENCE_REQUEST, REFERENCE_PAGE_LIMIT)
 
 
+def odd_flight_limits(lake: Lake, since: dt.datetime | None = None) -> DataFrame:
+    """Flight pages whose name states a limit that no request has; the other audits leave them out."""
+    pages = _pages(lake, lake.bronze_flights, FLIGHT_REQUEST, since)
+    return audits.odd_limits(pages, FLIGHT_REQUEST, FLIGHT_PAGE_LIMIT)
+
+
 def missing_slots(
     lake: Lake, last_day: dt.date, days: int = LOOKBACK_DAYS, hub: Hub = Hub()
 ) -> DataFrame:
     """Requests of the last days that no page answers."""
     clock = F.col("slot_start").cast("string")
-    landed = _pages(lake, lake.bronze_flights, FLIGHT_REQUEST, None).select(
+    pages = _pages(lake, lake.bronze_flights, FLIGHT_REQUEST, None)
+    # Plain comparisons on the stored column, so that the scan can skip other days.
+    first, after = last_day - dt.timedelta(days - 1), last_day + dt.timedelta(1)
+    at = lambda day: F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+    pages = pages.filter((F.col("slot_start") >= at(first)) & (F.col("slot_start") < at(after)))
+    landed = pages.select(
         "hub",
         F.to_date("slot_start").alias("day"),
         F.substring(clock, 12, 5).alias("slot"),

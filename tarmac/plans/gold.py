@@ -9,6 +9,7 @@ from tarmac.operators import metrics
 from tarmac.operators.features import business_features
 from tarmac.plans.lake import Lake
 from tarmac.settings import HOURLY_KEYS, PERFORMANCE_KEYS, Hub
+from tarmac.sources.keyed_table import part_name
 
 
 def airport_hourly(fact: DataFrame, hub: Hub = Hub()) -> DataFrame:
@@ -26,26 +27,53 @@ def day_measures(fact: DataFrame, keys: list[str], hub: Hub = Hub()) -> DataFram
     return metrics.measure(featured, ["flight_day", *keys])
 
 
-def refresh_days(lake: Lake, days: list[str], hub: Hub = Hub()) -> None:
-    """Measure the given fact days again and swap the result in.
+def refresh_days(lake: Lake, days: list[str], hub: Hub = Hub()) -> list[str]:
+    """Measure the given fact days again, swap the result in and return the hub dates it touches.
 
     A flight that moved to another hour or aircraft takes its old counts with
-    it, because a day is replaced and not added to.
+    it, because a day is replaced and not added to; so the dates are those of
+    the old measures and of the new ones.
     """
     rows = lake.fact.read(days)
+    dates = _hub_dates(lake, days)
     lake.hourly_parts.replace(day_measures(rows, HOURLY_KEYS, hub), days)
     lake.performance_parts.replace(day_measures(rows, PERFORMANCE_KEYS, hub), days)
+    return sorted(dates | _hub_dates(lake, days))
 
 
-def publish(lake: Lake) -> None:
-    """Roll the stored day measures up into the two gold tables. Reads no flights."""
-    hourly = metrics.roll_up(lake.hourly_parts.read(), HOURLY_KEYS)
-    report = metrics.with_ripple(metrics.hourly_report(hourly))
-    lake.airport_hourly.replace(_stamped(report))
+def _hub_dates(lake: Lake, days: list[str] | None = None) -> set[str]:
+    """Hub dates of the measures of some fact days: a few per day."""
+    dates = lake.hourly_parts.read(days).select(part_name(F.col("scheduled_date"))).distinct()
+    return {row[0] for row in dates.collect()}
+
+
+def publish_hourly(lake: Lake, dates: list[str] | None = None) -> None:
+    """Write the hourly report anew for the given hub dates, or for all. Reads no flights.
+
+    The ripple column looks back within a date, so a date stands on its own.
+    """
+    measures = lake.hourly_parts.read()
+    if dates is None:
+        dates = sorted(_hub_dates(lake) | lake.airport_hourly.versions().keys())
+    else:
+        measures = measures.filter(part_name(F.col("scheduled_date")).isin(dates))
+    hourly = metrics.hourly_report(metrics.roll_up(measures, HOURLY_KEYS))
+    if dates:
+        lake.airport_hourly.replace(_stamped(metrics.with_ripple(hourly)), dates)
+
+
+def publish_performance(lake: Lake) -> None:
+    """Roll the stored day measures up into the punctuality report. Reads no flights."""
     flights = metrics.roll_up(lake.performance_parts.read(), PERFORMANCE_KEYS)
     lake.flight_performance.replace(_stamped(metrics.performance_report(flights)))
 
 
+def publish(lake: Lake) -> None:
+    """Both gold tables in full from the stored day measures."""
+    publish_hourly(lake)
+    publish_performance(lake)
+
+
 def rebuild(lake: Lake, hub: Hub = Hub()) -> None:
     """Both gold tables from the whole fact, after the hub or a rule has changed."""
     refresh_days(lake, sorted(lake.fact.versions()), hub)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarmac.schemas import HOURLY_PARTS, HOURLY_REPORT, PERFORMANCE_PARTS, PERFORMANCE_REPORT
 from tarmac.settings import HOURLY_KEYS, PERFORMANCE_KEYS
 from tarmac.sources.keyed_table import KeyedTable
-from tarmac.streaming.flows import fact_table
+from tarmac.streaming.flows import fact_table, quarantine
 
 REFERENCE_TABLES = {
     "airports": "airport_code string, airport_name string, city_code string,"
@@ -81,7 +81,8 @@ class Lake:
     @property
     def airport_hourly(self) -> KeyedTable:
         root = self.path("gold", "airport_hourly_operations")
-        return KeyedTable(self.spark, root, HOURLY_REPORT, HOURLY_KEYS)
+        date = F.col("scheduled_date")
+        return KeyedTable(self.spark, root, HOURLY_REPORT, HOURLY_KEYS, part=date)
 
     @property
     def flight_performance(self) -> KeyedTable:
@@ -100,4 +101,5 @@ class Lake:
         }
         for name, table in tables.items():
             table.read().createOrReplaceTempView(name)
-        return list(tables)
+        quarantine(self.spark, self.parsed_flights).createOrReplaceTempView("quarantine_flights")
+        return [*tables, "quarantine_flights"]

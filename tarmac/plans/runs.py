@@ -22,7 +22,9 @@ from tarmac.sources.landing import good_pages
 from tarmac.streaming import flows
 
 
-def ingest_flights(lake: Lake, landing: str, max_files: int | None = None) -> None:
+def ingest_flights(
+    lake: Lake, landing: str, max_files: int | None = None, archive: str | None = None
+) -> None:
     flows.landing_to_bronze(
         lake.spark,
         landing,
@@ -30,6 +32,7 @@ def ingest_flights(lake: Lake, landing: str, max_files: int | None = None) -> No
         lake.checkpoint("bronze_flight_status"),
         "bronze_flight_status",
         max_files,
+        archive,
     ).awaitTermination()
 
 
@@ -44,23 +47,33 @@ def parse_flights(lake: Lake, max_files: int | None = None) -> None:
 
 
 def merge_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) -> None:
-    """Complete rows into the fact, then the day measures of every day a batch changed."""
+    """Complete rows into the fact, then what follows from every day a batch changed.
+
+    Measures and hourly report are written within the batch, so a batch that is repeated after
+    a failure writes them again.
+    """
 
     def merge(batch: DataFrame) -> None:
         changed_days = lake.fact.upsert(batch)
         if changed_days:
-            gold.refresh_days(lake, changed_days, hub)
+            gold.publish_hourly(lake, gold.refresh_days(lake, changed_days, hub))
 
     flows.parsed_to_fact(
         lake.spark, lake.parsed_flights, merge, lake.checkpoint("fact_flights"), max_files
     ).awaitTermination()
 
 
-def daily(lake: Lake, landing: str, hub: Hub = Hub(), max_files: int | None = None) -> None:
-    ingest_flights(lake, landing, max_files)
+def daily(
+    lake: Lake,
+    landing: str,
+    hub: Hub = Hub(),
+    max_files: int | None = None,
+    archive: str | None = None,
+) -> None:
+    ingest_flights(lake, landing, max_files, archive)
     parse_flights(lake, max_files)
     merge_flights(lake, hub, max_files)
-    gold.publish(lake)
+    gold.publish_performance(lake)
 
 
 def ingest_reference(lake: Lake, landing: str, max_files: int | None = None) -> None:
@@ -118,11 +131,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--hub", default=Hub.airport)
     parser.add_argument("--timezone", default=Hub.timezone)
     parser.add_argument("--max-files", type=int, help="pages or files per micro-batch")
+    parser.add_argument("--archive", help="folder to which landed flight pages move once taken")
     options = parser.parse_args(argv)
     lake = Lake(SparkSession.builder.getOrCreate(), options.lake)
     if options.run == "daily":
         hub = Hub(options.hub, options.timezone)
-        daily(lake, options.landing, hub, options.max_files)
+        daily(lake, options.landing, hub, options.max_files, options.archive)
     else:
         monthly(lake, options.landing, options.max_files)
 

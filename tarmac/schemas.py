@@ -76,11 +76,10 @@ BRONZE_PAGES = (
     " total_count bigint, bronze_ingested_at timestamp"
 )
 
-FACT_STORED = FACT_FLIGHTS + ", fetched_at timestamp_ntz, silver_processed_at timestamp"
-PARSED_FLIGHTS = (
-    FACT_FLIGHTS
-    + ", fetched_at timestamp_ntz, file_name string, silver_processed_at timestamp, route string"
+FACT_STORED = (
+    FACT_FLIGHTS + ", fetched_at timestamp_ntz, file_name string, silver_processed_at timestamp"
 )
+PARSED_FLIGHTS = FACT_STORED + ", route string"
 
 _HOURLY_KEYS = "scheduled_date date, scheduled_hour int, direction string"
 _PERFORMANCE_KEYS = (

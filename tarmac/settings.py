@@ -43,8 +43,9 @@ WEEKEND_DAYS = (1, 7)  # dayofweek(): 1 = Sunday, 7 = Saturday
 DEPARTURE, ARRIVAL, UNKNOWN = "Departure", "Arrival", "Unknown"
 CANCELLED = "Cancelled"
 ON_TIME = "On_time"
-DELAY_BANDS = [(1, ON_TIME), (15, "Minor_Delay")]  # fewer whole minutes than this
-WORST_BAND = "Major_Delay"
+MINOR_DELAY, MAJOR_DELAY = "Minor_Delay", "Major_Delay"
+ON_TIME_MINUTES = 0  # at most
+MINOR_DELAY_MINUTES = 15  # fewer than
 RIPPLE_HOURS = 3
 
 # --- End of fixed values. ---

@@ -28,6 +28,11 @@ _COMMITS = "version bigint, part string, present boolean"
 WHOLE = "all"
 
 
+def part_name(part: Column) -> Column:
+    """A part's value as it is written in directory names and commits."""
+    return F.coalesce(part.cast("string"), F.lit("none"))
+
+
 @dataclass
 class KeyedTable:
     """``part`` names a text column derived from the keys; without it the table is one part.
@@ -78,21 +83,27 @@ class KeyedTable:
 
     def replace(self, rows: DataFrame, parts: list[str] = (WHOLE,)) -> None:
         """Make ``rows`` the whole content of ``parts``; a part without rows becomes empty."""
-        version = (self._commits().agg(F.max("version")).first()[0] or 0) + 1
+        version = self._newest() + 1
         path = f"{self.root}/data/version={version}"
         columns = StructType.fromDDL(self.schema).names
         placed = rows.select(*columns, self._part_column())
         # Rebalancing splits a part with too many rows over several writers and
         # keeps a small one in one file.
-        placed.hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(path)
+        balanced = placed.hint("rebalance") if self.part is None else placed.hint("rebalance", "part")
+        balanced.write.mode("overwrite").partitionBy("part").parquet(path)
         stored = self.spark.read.schema(f"{self.schema}, part string").parquet(path)
         present = {row.part for row in stored.select("part").distinct().collect()}
         if present - set(parts):
             raise ValueError(f"rows outside the replaced parts: {sorted(present - set(parts))}")
+        if self._newest() >= version:
+            raise RuntimeError(f"another writer committed to {self.root} meanwhile")
         entries = [(version, part, part in present) for part in parts]
         commit = self.spark.createDataFrame(entries, _COMMITS).coalesce(1)
         commit.write.mode("append").parquet(f"{self.root}/commits")
 
+    def _newest(self) -> int:
+        return self._commits().agg(F.max("version")).first()[0] or 0
+
     def stale_paths(self) -> list[str]:
         """Directories no current version uses, for whoever cleans up storage."""
         current = self.versions()
@@ -104,8 +115,7 @@ class KeyedTable:
         )
 
     def _part_column(self) -> Column:
-        part = F.lit(WHOLE) if self.part is None else self.part.cast("string")
-        return F.coalesce(part, F.lit("none")).alias("part")
+        return part_name(F.lit(WHOLE) if self.part is None else self.part).alias("part")
 
     def _part_path(self, version: int, part: str) -> str:
         return f"{self.root}/data/version={version}/part={part}"

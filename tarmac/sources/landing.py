@@ -7,21 +7,37 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.lineage import lineage_columns
 from tarmac.functions.pages import first_error, page_status, total_count
+from tarmac.functions.times import as_utc
 from tarmac.settings import FLIGHT_RESOURCE, REFERENCE_RESOURCES
 
 RESOURCES = [FLIGHT_RESOURCE, *REFERENCE_RESOURCES.values()]
 
 
+# Files count whatever their age. By default a stream would pass over files that are a week
+# older than the newest one it has seen.
+ANY_AGE = "36500d"
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Page files as rows of ``page_text`` and ``file_name``."""
+    """Page files as rows of ``page_text``, ``file_name`` and ``landed_at``."""
     return _named(spark.read.text(path, wholetext=True))
 
 
 def stream_pages(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """The same as a stream that takes each file once."""
-    reader = spark.readStream
+    """The same as a stream that takes each file once, however old it is.
+
+    The driver lists the folder and remembers every file in it. With ``archive``, a folder
+    outside ``path``, files that were taken are moved there, so both stay small; or let ``path``
+    be a pattern over dated folders of which old ones are taken out of it.
+    """
+    reader = spark.readStream.option("maxFileAge", ANY_AGE)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _named(reader.text(path, wholetext=True))
@@ -29,7 +45,9 @@ def stream_pages(
 
 def _named(files: DataFrame) -> DataFrame:
     return files.select(
-        F.col("value").alias("page_text"), F.col("_metadata.file_name").alias("file_name")
+        F.col("value").alias("page_text"),
+        F.col("_metadata.file_name").alias("file_name"),
+        as_utc(F.col("_metadata.file_modification_time")).alias("landed_at"),
     )
 
 
@@ -41,7 +59,11 @@ def classify(pages: DataFrame) -> DataFrame:
     them many times.
     """
     text, keys = F.col("page_text"), F.col("page_keys")
-    once = F.inline(F.array(F.struct(F.json_object_keys(text).alias("page_keys"))))
+    # json_object_keys stops at the closing brace. As the one element of an array the text is read
+    # to its end, and anything behind the brace makes the array invalid or longer.
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    whole = F.when(alone, F.json_object_keys(text))
+    once = F.inline(F.array(F.struct(whole.alias("page_keys"))))
     judged = pages.select("*", once).withColumns(
         {"page_status": page_status(text, keys), "total_count": total_count(text, keys, RESOURCES)}
     )
@@ -54,8 +76,14 @@ def classify(pages: DataFrame) -> DataFrame:
 
 
 def bronze_pages(pages: DataFrame) -> DataFrame:
-    """Pages with status, lineage and ingest time: the bronze table's rows."""
+    """Pages with status, lineage and ingest time: the bronze table's rows.
+
+    A file whose name does not say when it was fetched counts as fetched when it landed, so
+    that what it brings can still replace older rows.
+    """
     lineage = lineage_columns(F.col("file_name"))
+    if "landed_at" in pages.columns:
+        lineage["fetched_at"] = F.coalesce(lineage["fetched_at"], F.col("landed_at"))
     return classify(pages).select(
         "page_text",
         "page_status",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,12 +10,8 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session, which has no other machine to share with, may do
-    without that setting.
+    Where that is unset it lies under the warehouse, which executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/tarmac-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="tarmac-")
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    return f"{base.rstrip('/')}/tarmac-{uuid.uuid4().hex}"

@@ -19,7 +19,7 @@ from tarmac.operators.quality import with_route
 from tarmac.schemas import BRONZE_PAGES, FACT_STORED, PARSED_FLIGHTS
 from tarmac.settings import FLIGHT_KEYS
 from tarmac.sources.keyed_table import KeyedTable
-from tarmac.sources.landing import bronze_pages, good_pages, stream_pages
+from tarmac.sources.landing import ANY_AGE, bronze_pages, good_pages, stream_pages
 
 
 def append_table(
@@ -53,8 +53,8 @@ def each_batch(
 def read_table(
     spark: SparkSession, path: str, schema: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A Parquet table as a stream of the rows appended to it."""
-    reader = spark.readStream.schema(schema)
+    """A Parquet table as a stream of the rows appended to it, however long ago."""
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
@@ -67,8 +67,9 @@ def landing_to_bronze(
     checkpoint: str,
     name: str,
     max_files_per_trigger: int | None = None,
+    archive: str | None = None,
 ) -> StreamingQuery:
-    pages = stream_pages(spark, landing, max_files_per_trigger)
+    pages = stream_pages(spark, landing, max_files_per_trigger, archive)
     return append_table(bronze_pages(pages), table, checkpoint, name)
 
 
@@ -91,12 +92,17 @@ def bronze_to_parsed(
 
 
 def quarantine(spark: SparkSession, parsed: str) -> DataFrame:
-    """Rows whose key is incomplete; reads only their part of the table."""
+    """Rows whose key is incomplete, with the missing columns; reads only their part of the table.
+
+    ``quarantined_at`` is the time at which the row was routed here.
+    """
     rows = spark.read.schema(PARSED_FLIGHTS).parquet(parsed)
+    missing = F.array_compact(F.array(*(F.when(F.col(key).isNull(), key) for key in FLIGHT_KEYS)))
     return (
         rows.filter(F.col("route") == "quarantine")
         .drop("route")
         .withColumnRenamed("silver_processed_at", "quarantined_at")
+        .withColumn("quarantine_reason", F.concat(F.lit("no "), F.array_join(missing, ", ")))
     )
 
 
@@ -107,7 +113,7 @@ def fact_table(spark: SparkSession, root: str) -> KeyedTable:
         root,
         FACT_STORED,
         FLIGHT_KEYS,
-        ["fetched_at"],
+        ["fetched_at", "file_name"],  # the name decides between pages of the same second
         F.to_date("scheduled_departure_utc"),
     )
 
@@ -121,7 +127,7 @@ def parsed_to_fact(
 ) -> StreamingQuery:
     """Hand complete rows to ``apply``, normally a merge into the fact."""
     rows = read_table(spark, parsed, PARSED_FLIGHTS, max_files_per_trigger)
-    valid = rows.filter(F.col("route") == "valid").drop("route", "file_name")
+    valid = rows.filter(F.col("route") == "valid").drop("route")
     return each_batch(valid, apply, checkpoint, "fact_flights")
 
 
