@@ -19,6 +19,7 @@ from tarmac.llm import (
     warc,
 )
 from tarmac.llm.common import ship
+from tarmac.llm.oracles import ORACLES as ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,5 +115,3 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
-
-ORACLES: dict[str, str] = {}
