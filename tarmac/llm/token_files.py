@@ -20,9 +20,10 @@ keep an order by their text's hash; an empty table gives no files. Only id and t
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -48,52 +49,101 @@ _ROWS = 1000
 _NULL_ID = -(2**63)
 _INDEX = np.dtype([("id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("tokens", "<i8")])
 
-# A space between two other characters always starts a new piece of the tokenizer. A space beside
-# another white space may not.
-_PIECE = re.compile(r"(?<=\S)(?= \S)")
-_BESIDE = ("  ", " \n", "\n ", " \t", "\t ", " \r", "\r ")
-_OTHER_SPACE = re.compile(
-    "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-)
+# Behind a letter or digit, these always start a piece of their own.
+_PUNCTUATION = ".,;:!?"
 
 
 class Encoder:
-    """Encodes texts by pieces, keeping what frequent pieces became."""
+    """Encodes texts by parts between spaces, keeping what they became.
 
-    LIMIT = 400_000
+    A space between two other characters always starts a new piece of the tokenizer; beside another
+    white space it may not, and a text with such a place is encoded as it is. New parts are encoded
+    many at a time, as one text: each starts with a token that begins with a space.
+    """
+
+    LIMIT = 300_000
+    TOGETHER = 200
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.opens[i] = token.startswith("\u0120")  # a space, as byte-level vocabularies write it
+        # Parts, which stand behind a space; false for one that begins or ends with white space.
+        self.known: dict[str, bytes | bool] = {}
+        self.tails: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+
+    def _part_ids(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each part with its serialized ids behind a space."""
+        groups = [parts[i : i + self.TOGETHER] for i in range(0, len(parts), self.TOGETHER)]
+        texts = [" " + " ".join(g) for g in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, self.dtype)
+            cuts = np.flatnonzero(self.opens[ids])
+            if len(cuts) != len(group):
+                yield from zip(group, self._ids([" " + p for p in group]))
+                continue
+            data, ends = ids.tobytes(), np.append(cuts, len(ids)) * self.dtype.itemsize
+            yield from zip(group, [data[a:b] for a, b in itertools.pairwise(ends.tolist())])
+
+    def _learn(self, parts: set[str]) -> None:
+        if len(self.known) > self.LIMIT:
+            self.known.clear()
+        known, tails, bare, split = self.known, self.tails, [], []
+        for part in parts:
+            core = part.rstrip(_PUNCTUATION)
+            if not part or part != part.strip():
+                known[part] = False
+            elif core and core != part and core[-1].isalnum():
+                split.append((part, core, part[len(core) :]))
+            else:
+                bare.append(part)
+        cores = {core for _, core, _ in split}.difference(known, bare)
+        known.update(self._part_ids([*bare, *cores]))
+        new = list({tail for _, _, tail in split}.difference(tails))
+        tails.update(zip(new, self._ids(new)))
+        known.update((part, known[core] + tails[tail]) for part, core, tail in split)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialized ids of each text."""
-        pieces = []
-        for text in texts:
-            plain = not any(x in text for x in _BESIDE) and not _OTHER_SPACE.search(text)
-            if plain and text and text[0] != " " and text[-1] != " ":
-                first, *rest = text.split(" ")
-                pieces.append([first, *map(" ".__add__, rest)])
+        parts = [text.split(" ") for text in texts]
+        heads = [p.pop(0) for p in parts]
+        found = [list(map(self.known.get, p)) for p in parts]
+        lacking = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
+        self._learn({p[k] for p, places in zip(parts, lacking) for k in places})
+        out, odd = [], []
+        for i, (p, f, places) in enumerate(zip(parts, found, lacking)):
+            for k in places:
+                f[k] = self.known[p[k]]
+            if heads[i][-1:].isspace() or False in f:
+                odd.append(i)
+                out.append(b"")
             else:
-                pieces.append(_PIECE.split(text) if text else [])
-        new = {p for part in pieces for p in part} - self.known.keys()
-        if len(self.known) + len(new) > self.LIMIT:
-            self.known.clear()
-            new = {p for part in pieces for p in part}
-        new = list(new)
-        for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, self.dtype).tobytes()
-        return [b"".join(map(self.known.__getitem__, part)) for part in pieces]
+                out.append(b"".join(f))
+        out = [head + rest for head, rest in zip(self._ids(heads), out)]
+        for i, ids in zip(odd, self._ids([texts[i] for i in odd])):
+            out[i] = ids
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """One tokenizer per Python worker, as it takes long to load."""
+    return Encoder(path)
 
 
 def _encoded(path: str, end_id: int, dictionary):
     """(doc_id, file, text_hash, tokens, frame); without a dictionary the ids as they are."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         end = np.array([end_id], encoder.dtype).tobytes()
         pack = (lambda data: data) if dictionary is None else compressor(dictionary.value).compress
         for batch in batches:
@@ -108,6 +158,7 @@ def _encoded(path: str, end_id: int, dictionary):
                     ],
                     ["doc_id", "file", "text_hash", "tokens", "frame"],
                 )
+        encoder.known.clear()  # the worker goes on to other tasks
 
     return encode
 
@@ -205,7 +256,7 @@ def write(
     with system.open_output_stream(f"{root}/dictionary-{hashlib.sha256(dictionary).hexdigest()}") as out:
         out.write(dictionary)
     shared = spark.sparkContext.broadcast(dictionary)
-    width = Encoder(tokenizer_path).dtype.itemsize
+    width = encoder_of(tokenizer_path).dtype.itemsize
     frames = docs.mapInArrow(_encoded(tokenizer_path, end_id, shared), _ENCODED)
     # By range of the file number: neighbouring files share a task, never one file two tasks.
     files = (
