@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import tempfile
@@ -9,7 +10,8 @@ import uuid
 import zipfile
 
 import numpy as np
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,19 +75,13 @@ def documents_of(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-class WordHashes(dict):
-    """64-bit fingerprints of words, kept while they are few enough."""
+def row_field(batch: pa.RecordBatch, name: str, start: int, rows: int) -> list[bytes | None]:
+    """Some rows' values of a text field of the struct ``row``, as UTF-8 bytes.
 
-    LIMIT = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    Reading it there spares a second copy of the texts beside the rows that are passed on.
+    """
+    part = pc.struct_field(batch.column("row").slice(start, rows), name)
+    return pc.cast(pc.cast(part, pa.string()), pa.binary()).to_pylist()
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -97,12 +93,64 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+# ASCII white space separates words, as bytes.split() has it.
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+_CHUNK_WORDS = 100_000
+
+
+@functools.lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64."""
+    tables = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        table = np.full(size, base, np.uint64)
+        table[0] = 1
+        tables.append(np.cumprod(table, dtype=np.uint64))
+    return tables[0], tables[1]
+
+
+def word_hashes(texts: list[bytes | None], fold: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the words of all texts, one text after the other, and each text's number of words.
+
+    A word's fingerprint is a polynomial of its bytes: the difference of two prefix sums.
+    """
+    data = b" ".join([t or b"" for t in texts]) + b" "
+    data = np.frombuffer(data.translate(fold) if fold else data, np.uint8)
+    edge = np.diff(_SPACE[data].astype(np.int8), prepend=np.int8(1))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    text_ends = np.cumsum([len(t or b"") + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, text_ends), prepend=0)
+    hashes = np.empty(len(starts), np.uint64)
+    for low in range(0, len(starts), _CHUNK_WORDS):
+        part = slice(low, low + _CHUNK_WORDS)
+        first, start, end = starts[part][0], starts[part], ends[part]
+        size = int(end[-1] - first)
+        power, inverse = _powers(1 << max(20, size.bit_length()))
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((data[first : first + size] + np.uint64(1)) * power[:size], out=sums[1:])
+        hashes[part] = (sums[end - first] - sums[start - first]) * inverse[start - first]
+        hashes[part] = mix(hashes[part] + (end - start).astype(np.uint64))
+    return hashes, counts
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Fingerprint of each run of ``size`` words; none if there are fewer words."""
+    """Fingerprint of each run of ``size`` words; none if there are fewer words.
+
+    Runs are put together from runs of half their length.
+    """
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for i in range(size):
-        total = mix(total + words[i : i + n]) + np.uint64(i + 1)
-    return total
+    runs, length = words, 1
+    total, covered = None, 0
+    while True:
+        if size & length:
+            part = runs[covered : covered + n]
+            total = part if total is None else mix(total * np.uint64(_BASE) + part)
+            covered += length
+        if covered == size:
+            return total
+        runs = mix(runs[:-length] * np.uint64(_BASE) + runs[length:])
+        length *= 2

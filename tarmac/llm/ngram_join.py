@@ -29,6 +29,7 @@ and of sets have 64 bits.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,34 +39,40 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import LOWER, WordHashes, documents_of, shingle_hashes, stored
+from tarmac.llm.common import LOWER, documents_of, mix, shingle_hashes, stored, word_hashes
 
 GRAM = 5
 #: The threshold as a fraction: 75 / 100.
 SHARE, WHOLE = 75, 100
-RANGE_GRAMS = 2_000_000
-BLOCK_SETS = 2000
+RANGE_GRAMS = 1_000_000
+BLOCK_SETS = 1000
 HOT_GRAMS = 1_000_000
 HOT_LEAST = 200
-_ROWS = 5000
+_ROWS = 1500
 
 
-def gram_set(words: list[bytes], hashes: WordHashes, size: int = GRAM) -> np.ndarray:
-    """Sorted distinct fingerprints of the runs of ``size`` words."""
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < size:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    return np.unique(shingle_hashes(hashes.array(words), size))
+def gram_sets(texts: list[bytes | None], size: int = GRAM) -> list[np.ndarray]:
+    """Of each text, the sorted distinct fingerprints of its runs of ``size`` words.
+
+    Fewer words are one run; no words are none.
+    """
+    words, counts = word_hashes(texts, LOWER)
+    runs = shingle_hashes(words, size)
+    sets, at = [], 0
+    for n in counts.tolist():
+        if n >= size:
+            sets.append(np.unique(runs[at : at + n - size + 1]))
+        else:
+            sets.append(mix(shingle_hashes(words[at : at + n], n) + np.uint64(n)) if n else words[:0])
+        at += n
+    return sets
 
 
 def _sets(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    hashes = WordHashes()
     for batch in batches:
         for i in range(0, batch.num_rows, _ROWS):
             part = batch.slice(i, _ROWS)
-            texts = part.column(column).to_pylist()
-            yield part, [gram_set(t.translate(LOWER).split() if t else [], hashes) for t in texts]
+            yield part, gram_sets(part.column(column).to_pylist())
 
 
 def _class_id(grams: np.ndarray) -> int:
@@ -228,46 +235,64 @@ class Components:
 
 
 class PrefixTree:
-    """Sets as paths of fingerprints in the global order; nodes know what lies below them."""
+    """Sets as paths of fingerprints in the global order; nodes know what lies below them.
 
-    def __init__(self) -> None:
-        self.children: list[dict] = [{}]
-        self.below: list[int] = [0]  # most fingerprints on a path below
-        self.least: list[int] = [1 << 60]  # smallest set below, by full size
-        self.member: list[int] = [-1]  # one set below
-        self.ends: list[list[int]] = [[]]
+    Most nodes have one child, so a node's first child is kept in arrays and only others in a dict.
+    """
 
-    def insert(self, path: list[int], n: int, member: int) -> None:
+    def __init__(self) -> None:
+        self.first_gram, self.first_child = array("Q"), array("q")
+        self.others: dict[int, dict[int, int]] = {}
+        self.below = array("q")  # most fingerprints on a path below
+        self.least = array("q")  # smallest set below, by full size
+        self.ends: dict[int, list[int]] = {}  # sets that end here
+        self._add()
+
+    def _add(self) -> int:
+        self.first_gram.append(0)
+        self.first_child.append(-1)
+        self.below.append(0)
+        self.least.append(1 << 60)
+        return len(self.below) - 1
+
+    def children(self, node: int) -> list[tuple[int, int]]:
+        if (child := self.first_child[node]) < 0:
+            return []
+        first = [(self.first_gram[node], child)]
+        return first + list(self.others[node].items()) if node in self.others else first
+
+    def _child(self, node: int, gram: int) -> int:
+        if self.first_child[node] < 0:
+            self.first_gram[node], self.first_child[node] = gram, self._add()
+            return self.first_child[node]
+        if self.first_gram[node] == gram:
+            return self.first_child[node]
+        more = self.others.setdefault(node, {})
+        if gram not in more:
+            more[gram] = self._add()
+        return more[gram]
+
+    def insert(self, path: np.ndarray, n: int, member: int) -> None:
         node = 0
-        for depth in range(len(path) + 1):
-            self.below[node] = max(self.below[node], len(path) - depth)
+        for left, gram in zip(range(len(path), 0, -1), path.tolist()):
+            self.below[node] = max(self.below[node], left)
             self.least[node] = min(self.least[node], n)
-            if self.member[node] < 0:
-                self.member[node] = member
-            if depth == len(path):
-                self.ends[node].append(member)
-                return
-            child = self.children[node].get(path[depth])
-            if child is None:
-                child = len(self.children)
-                self.children[node][path[depth]] = child
-                self.children.append({})
-                self.below.append(0)
-                self.least.append(1 << 60)
-                self.member.append(-1)
-                self.ends.append([])
-            node = child
-
-    def uniform(self, parts: Components) -> list[int]:
+            node = self._child(node, gram)
+        self.least[node] = min(self.least[node], n)
+        self.ends.setdefault(node, []).append(member)
+
+    def uniform(self, parts: Components) -> array:
         """For each node the one component of all sets below it, or -1."""
-        same = [-2] * len(self.children)
-        for node in range(len(self.children) - 1, -1, -1):
-            roots = {parts.find(m) for m in self.ends[node]} | {same[c] for c in self.children[node].values()}
-            same[node] = roots.pop() if len(roots) == 1 else -1
+        same = array("q", bytes(8 * len(self.below)))
+        for node in range(len(self.below) - 1, -1, -1):
+            found = -2
+            for root in [parts.find(m) for m in self.ends.get(node, ())] + [same[c] for _, c in self.children(node)]:
+                found = root if found in (-2, root) else -1
+            same[node] = found
         return same
 
 
-def join_block(sets: list[list[int]], sizes: list[int], known: int, share: int = SHARE, whole: int = WHOLE) -> list[tuple[int, int]]:
+def join_block(sets: list[np.ndarray], sizes: list[int], known: int, share: int = SHARE, whole: int = WHOLE) -> list[tuple[int, int]]:
     """Links that make the components of a block's sets.
 
     With ``known``, the first so many sets make the tree and only the others walk it, besides the
@@ -277,13 +302,13 @@ def join_block(sets: list[list[int]], sizes: list[int], known: int, share: int =
     tree = PrefixTree()
     for i, path in enumerate(sets[: known or len(sets)]):
         tree.insert(path, sizes[i], i)
-    children, below, least, member, ends = tree.children, tree.below, tree.least, tree.member, tree.ends
+    below, least, ends = tree.below, tree.least, tree.ends
     both = share + whole
     same, stale = tree.uniform(parts), 0
     for q in [0, *range(known, len(sets))] if known else range(len(sets)):
         if stale > 32 + len(sets) // 16:
             same, stale = tree.uniform(parts), 0
-        place = {gram: k for k, gram in enumerate(sets[q])}
+        place = {gram: k for k, gram in enumerate(sets[q].tolist())}
         length, size, mine = len(sets[q]), sizes[q], parts.find(q)
         # A node, the overlap so far, and the place in q up to which its fingerprints are used.
         stack = [(0, 0, 0)]
@@ -291,13 +316,13 @@ def join_block(sets: list[list[int]], sizes: list[int], known: int, share: int =
             node, overlap, used = stack.pop()
             if same[node] >= 0 and parts.find(same[node]) == mine:
                 continue
-            for other in ends[node]:
+            for other in ends.get(node, ()):
                 if other != q and both * overlap >= share * (size + sizes[other]) and parts.find(other) != mine:
                     parts.link(other, q)
                     links.append((other, q))
                     mine = parts.find(q)
                     stale += 1
-            for gram, child in children[node].items():
+            for gram, child in tree.children(node):
                 at = place.get(gram)
                 if at is None:
                     more, next_used = overlap, used
@@ -313,7 +338,7 @@ def _join(share: int, whole: int):
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         # The most central set comes first; then the part that makes the tree, then the other one.
         rows = rows.sort_values(["side", "weight", "class"], ascending=[True, False, True])
-        sets = [np.frombuffer(s, np.uint64).tolist() for s in rows["set"]]
+        sets = [np.frombuffer(s, np.uint64) for s in rows["set"]]
         known = int((rows["side"] < 1).sum()) if (rows["side"] == 1).any() else 0
         links = join_block(sets, rows["n"].tolist(), known, share, whole)
         ids = rows["class"].to_numpy()
