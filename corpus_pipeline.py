@@ -33,13 +33,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component.
 
-    Rows with this id stay once per text; rows without id stay.
+    A row goes if a document with its id is in a component of a smaller one; rows without id stay.
     """
     ship(spark)
     found = ngram_join.near_duplicates(docs)
     gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"))
-    rest = docs.join(gone.distinct(), F.col("doc_id") == F.col("gone"), "left_anti")
-    return rest
+    return docs.join(gone.distinct(), F.col("doc_id") == F.col("gone"), "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,10 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.llm.common import row_field
+
 WINDOW = 10
 BLOCK_WORDS = 500_000
 SHARD_WORDS = 1_000_000
 SAMPLE_STEP = 8
+_ROWS = 2000
 
 # A-Z become a-z; digits, a-z and bytes of non-ASCII characters form words; the rest separates.
 _FOLD = bytes(
@@ -256,33 +259,34 @@ def decontaminate(
         F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    text = F.col(f"row.`{text_col}`").cast("string").cast("binary").alias("text")
     schema = T.StructType(out.schema.fields)
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for block in item_blocks(benchmark, item_col, item_text_col, block_words):
         shared = documents.sparkSession.sparkContext.broadcast(windows_of(block, window))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                words = [words_of(t) for t in batch.column("text").to_pylist()]
-                spans = [[[s["start"], s["end"]] for s in x] for x in batch.column("spans").to_pylist()]
-                items = batch.column("items").to_pylist()
-                for shard in shards(words):
-                    found = find(shared.value, words[shard])
-                    spans[shard] = [merge(a + b) for a, b in zip(spans[shard], found[0])]
-                    items[shard] = [sorted({*a, *b}) for a, b in zip(items[shard], found[1])]
-                spans = [[{"start": a, "end": b} for a, b in x] for x in spans]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("row"),
-                        pa.array([len(w) for w in words], pa.int64()),
-                        pa.array(spans, span_type),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    ["row", "n_words", "spans", "items"],
-                )
-
-        out = out.select("row", text, "n_words", "spans", "items").mapInArrow(search, schema)
+            for whole in batches:
+                for i in range(0, whole.num_rows, _ROWS):
+                    batch = whole.slice(i, _ROWS)
+                    words = [words_of(t) for t in row_field(whole, text_col, i, _ROWS)]
+                    spans = [[[s["start"], s["end"]] for s in x] for x in batch.column("spans").to_pylist()]
+                    items = batch.column("items").to_pylist()
+                    for shard in shards(words):
+                        found = find(shared.value, words[shard])
+                        spans[shard] = [merge(a + b) for a, b in zip(spans[shard], found[0])]
+                        items[shard] = [sorted({*a, *b}) for a, b in zip(items[shard], found[1])]
+                    spans = [[{"start": a, "end": b} for a, b in x] for x in spans]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("row"),
+                            pa.array([len(w) for w in words], pa.int64()),
+                            pa.array(spans, span_type),
+                            pa.array(items, pa.list_(pa.string())),
+                        ],
+                        ["row", "n_words", "spans", "items"],
+                    )
+
+        out = out.mapInArrow(search, schema)
     return out
 
 

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarmac.llm.common import row_field
+
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 SIZES = (1, 2, 3)
@@ -40,7 +42,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = bytes(
     b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
 )
-_ROWS = 128
+_ROWS = 64
 
 
 def gram_counts(texts: list[str]) -> np.ndarray:
@@ -226,13 +228,20 @@ def identify(documents: DataFrame, model: Model, text_col: str = "text") -> Data
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores, unsure = predict_texts(shared.value, batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(langs, pa.string()), pa.array(scores), pa.array(unsure)],
-                ["row", "lang_pred", "score", "ambiguous"],
-            )
+            for i in range(0, batch.num_rows, 4 * _ROWS):
+                texts = [None if t is None else t.decode() for t in row_field(batch, text_col, i, 4 * _ROWS)]
+                langs, scores, unsure = predict_texts(shared.value, texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("row").slice(i, 4 * _ROWS),
+                        pa.array(langs, pa.string()),
+                        pa.array(scores),
+                        pa.array(unsure),
+                    ],
+                    ["row", "lang_pred", "score", "ambiguous"],
+                )
 
-    rows = documents.select(F.struct("*").alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = documents.select(F.struct("*").alias("row"))
     schema = T.StructType(
         [
             rows.schema["row"],

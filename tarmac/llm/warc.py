@@ -250,7 +250,7 @@ def _lines(system, path: str, blocks: list[tuple[int, int]], low: str, high: str
 def _merge_runs(folder: str):
     """All of some runs into one longer run."""
 
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+    def merge(rows):
         system, root = open_folder(folder)
         rows = rows.sort_values(["run", "block"])
         sources = [
@@ -269,7 +269,7 @@ _HISTORY = "range int, number long, key string, captured long, page_id long, arc
 
 
 def _merge_range(folder: str, bounds: list[str]):
-    def merge(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def merge(key, rows):
         number = int(key[0])
         system, root = open_folder(folder)
         low = bounds[number - 1] if number else ""
