@@ -3,12 +3,14 @@
 A source's documents are cut into blocks of equal size in the order of their ids. With weight w (a
 share of all), its block j = 1, 2, ... is released at slot ``floor((j-1)/w)`` and due at slot
 ``ceil(j/w)``. Every slot goes to the released block with the earliest deadline, ties to the source
-that comes first by name. One block a slot and weights that sum to one are a feasible Pfair system,
+that comes first by name (sources of equal weight stand together under their first name). One block a slot and weights that sum to one are a feasible Pfair system,
 so every deadline is met and each source is at any time less than one block off its share.
 
 Weights are whole parts of a period (their sum). Such a schedule repeats after each period, when
-all sources are exactly on target. So one period is computed, whose size is a parameter, and every
-block finds its slot from its number alone: slot = period number * period + slot in the period.
+all sources are exactly on target. So one period is computed, or its part before the mix ends, and every
+block finds its slot from its number alone: slot = period number * period + slot in the period. The
+period grows with the number of sources, so that the one part that every source has at least is no
+more than a hundredth of the mean share. Sources of equal weight have equal windows and are scheduled as one.
 
 The schedule runs until each source was read to its end once. A source that ends earlier starts
 again (a new epoch), as that is how a scarce source reaches its weight. No document is dropped.
@@ -25,20 +27,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 64
+#: Least parts of a period, in all and a source.
 PERIOD = 1000
+SOURCE_PARTS = 100
 #: Ids in one numbering step. No task sorts more than one step's rows.
 ID_STEP = 1 << 14
+#: Slots in one list while a period is scheduled, as a list is copied for every slot put to it.
+STRETCH = 256
 
 
-def tempered_parts(counts: DataFrame, power: float, period: int = PERIOD) -> DataFrame:
+def tempered_parts(counts: DataFrame, power: float, period: int | None = None) -> DataFrame:
     """(source, n, parts): shares of ``n ** power`` as whole parts of the period, each at least one.
 
     Parts are rounded down and the rest goes to the largest remainders, then names.
-    There must be no more sources than parts.
+    Without a period, there are ``SOURCE_PARTS`` times as many parts as sources, at least ``PERIOD``.
+    A given period must have a part for each source; the query fails otherwise.
     """
     everything = Window.partitionBy()
     share = F.pow("n", F.lit(power))
-    spare = F.lit(period) - F.count("*").over(everything)
+    sources = F.count("*").over(everything)
+    if period is None:
+        spare = F.greatest(F.lit(PERIOD).cast("long"), SOURCE_PARTS * sources) - sources
+    else:
+        too_many = F.raise_error(F.lit(f"more sources than the {period} parts of a period"))
+        spare = F.when(sources <= period, F.lit(period) - sources).otherwise(too_many.cast("long"))
     exact = spare * F.round(share / F.sum(share).over(everything), 12)
     order = Window.orderBy(F.desc("rest"), F.asc_nulls_first("source"))
     return (
@@ -64,39 +76,87 @@ def due(j: Column, parts: Column, period: Column) -> Column:
 def period_schedule(parts: DataFrame) -> DataFrame:
     """(source, j, slot) of one period: earliest deadline first among the released blocks.
 
-    One row per slot; its size is the sum of the parts, whatever the number of documents.
+    One row per slot; its size is the sum of the parts, whatever the number of documents. A column
+    ``slots`` of the sources, if there is one, ends it earlier.
+
+    Sources with equal parts are one class: its blocks are the first blocks of its members by name,
+    then their second ones, and so on. So a slot costs a step per class. Classes have different
+    parts, so there are fewer than the root of twice the period.
     """
-    listed = parts.agg(
-        F.sort_array(F.collect_list(F.struct("source", "parts"))).alias("sources"),
-        F.sum("parts").alias("period"),
+    by_name = Window.partitionBy("parts").orderBy(F.asc_nulls_first("source"))
+    members = parts.select(
+        "source", F.col("parts").alias("of_parts"), (F.row_number().over(by_name) - 1).alias("member")
+    )
+    horizon = F.max("slots") if "slots" in parts.columns else F.max(F.lit(None).cast("long"))
+    ends = parts.agg(F.sum("parts").alias("period"), horizon.alias("slots"))
+    classes = parts.groupBy("parts").agg(F.min(F.struct("source")).alias("first"), F.count("*").alias("m"))
+    listed = (
+        classes.agg(F.sort_array(F.collect_list(F.struct("first", "parts", "m"))).alias("classes"))
+        .crossJoin(ends)
+        .where("period > 0")
+        .withColumn("last", F.least(F.col("period"), F.col("slots")) - 1)
     )
-    done = F.transform("sources", lambda s: F.lit(0).cast("long"))
-    seed = F.struct(done.alias("done"), F.array().cast("array<int>").alias("picked"))
+    # Of every class the release of its next block, its deadline with the class's place, and the number of blocks done.
+    size = F.size("classes").cast("long")
+
+    def window(place: Column, d: Column) -> Column:
+        c = F.get("classes", place)
+        j = F.floor(d / c["m"]) + 1
+        return F.struct(
+            released(j, c["parts"], F.col("period")).alias("from"),
+            (due(j, c["parts"], F.col("period")) * size + place).alias("due"),
+            d.alias("done"),
+        )
+
+    state = F.transform("classes", lambda c, place: window(place, F.lit(0).cast("long")))
+    none = F.array().cast("array<int>")
 
     def slot(acc: Column, t: Column) -> Column:
-        ready = F.zip_with(
-            F.col("sources"),
-            acc["done"],
-            lambda s, d: F.when(
-                (d < s["parts"]) & (released(d + 1, s["parts"], F.col("period")) <= t),
-                due(d + 1, s["parts"], F.col("period")),
+        ready = F.transform(acc["state"], lambda s: F.when(s["from"] <= t, s["due"]))
+        pick = (F.array_min(ready) % size).cast("int")
+        # The step after finding the class, so that it is found once and not for every class.
+        return F.get(
+            F.transform(
+                F.array(pick),
+                lambda found: F.struct(
+                    F.concat(
+                        F.slice(acc["state"], F.lit(1), found),
+                        F.array(window(found, F.get(acc["state"], found)["done"] + 1)),
+                        F.slice(acc["state"], found + 2, F.size("classes")),
+                    ).alias("state"),
+                    F.array_append(acc["picked"], found).alias("picked"),
+                ),
             ),
+            0,
         )
-        pick = (F.array_position(ready, F.array_min(ready)) - 1).cast("int")
-        return F.struct(
-            F.transform(acc["done"], lambda d, i: d + (i == pick).cast("long")).alias("done"),
-            F.array_append(acc["picked"], pick).alias("picked"),
+
+    def stretch(acc: Column, start: Column) -> Column:
+        end = F.least(start + STRETCH - 1, F.col("last"))
+        ran = F.aggregate(F.sequence(start, end), F.struct(acc["state"].alias("state"), none.alias("picked")), slot)
+        return F.get(
+            F.transform(
+                F.array(ran),
+                lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["picked"], r["picked"]).alias("picked")),
+            ),
+            0,
         )
 
     picked = F.aggregate(
-        F.sequence(F.lit(0).cast("long"), F.col("period") - 1), seed, slot, lambda acc: acc["picked"]
+        F.sequence(F.lit(0).cast("long"), F.col("last"), F.lit(STRETCH).cast("long")),
+        F.struct(state.alias("state"), F.array().cast("array<array<int>>").alias("picked")),
+        stretch,
+        lambda acc: F.flatten(acc["picked"]),
     )
-    mine = Window.partitionBy("source").orderBy("slot")
-    return (
-        listed.where("period > 0")
-        .select("sources", F.posexplode(picked).alias("slot", "pick"))
-        .select(F.get("sources", F.col("pick"))["source"].alias("source"), F.col("slot").cast("long"))
-        .withColumn("j", F.row_number().over(mine).cast("long"))
+    mine = Window.partitionBy("class_parts").orderBy("slot")
+    taken = (
+        listed.select("classes", F.posexplode(picked).alias("slot", "pick"))
+        .select(F.get("classes", F.col("pick")).alias("class"), F.col("slot").cast("long"))
+        .select(F.col("class.parts").alias("class_parts"), F.col("class.m").alias("m"), "slot")
+        .withColumn("done", F.row_number().over(mine) - 1)
+    )
+    same = (F.col("class_parts") == F.col("of_parts")) & (F.col("done") % F.col("m") == F.col("member"))
+    return taken.join(members, same).select(
+        "source", "slot", (F.floor(F.col("done") / F.col("m")) + 1).cast("long").alias("j")
     )
 
 
@@ -147,7 +207,7 @@ def mix(
         .withColumn("slots", F.max("ends").over(total))
         .select(F.col("source").alias("of"), "parts", "period", "blocks", "slots")
     )
-    slots = period_schedule(parts).select(F.col("source").alias("slot_of"), "j", F.col("slot").alias("at"))
+    slots = period_schedule(plan.withColumnRenamed("of", "source")).select(F.col("source").alias("slot_of"), "j", F.col("slot").alias("at"))
 
     # Number of every run of a block: its first, and again each time its source starts anew.
     most = F.ceil(F.col("slots") * F.col("parts") / F.col("period"))

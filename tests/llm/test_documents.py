@@ -252,6 +252,34 @@ def test_mix_reaches_target_weights(spark):
         assert abs(order[:t].count("small") - t / 2) < 1
 
 
+@pytest.mark.parametrize("n", [900, 1500])
+def test_mix_of_many_sources(spark, n):
+    """One source holds a third of the rows; nothing is lost, and it has its share at all times."""
+    data = [(i, "hot" if i % 3 == 0 else f"s{i % (n - 1):04d}" if i % 3 == 1 else f"s{i * 7 % (n - 1):04d}") for i in range(30_000)]
+    frame = spark.createDataFrame(data, "doc_id long, source string")
+    parts = mixing.tempered_parts(mixing.source_counts(frame), 0.9).collect()
+    total = sum(p["n"] ** 0.9 for p in parts)
+    assert len(parts) == n and min(p["parts"] for p in parts) > 0
+    for p in parts:
+        share = p["n"] ** 0.9 / total
+        assert abs(p["parts"] / sum(p["parts"] for p in parts) - share) <= 0.01 * share + 1 / (100 * n)
+    parts = spark.createDataFrame(parts)
+    mixed = mixing.mix(frame, parts, block_rows=4).select("slot", "source", "epoch", "released", "due", "row.doc_id").collect()
+    assert {r["doc_id"] for r in mixed if r["epoch"] == 0} == set(range(30_000))
+    assert all(r["released"] <= r["slot"] < r["due"] for r in mixed)
+    order = dict(sorted((r["slot"], r["source"]) for r in mixed))
+    assert list(order) == list(range(len(order))) and len(order) < 3 * 30_000 / 4
+    hot = {p["source"]: p["parts"] for p in parts.collect()}["hot"] / sum(p["parts"] for p in parts.collect())
+    seen = np.cumsum([s == "hot" for s in order.values()])
+    assert np.abs(seen - hot * np.arange(1, len(seen) + 1)).max() < 1
+
+
+def test_mix_fails_with_a_period_too_short(spark):
+    counts = spark.createDataFrame([(f"s{i}", 5) for i in range(11)], "source string, n long")
+    with pytest.raises(Exception, match="more sources"):
+        mixing.tempered_parts(counts, 0.9, period=10).collect()
+
+
 def test_mix_without_rows(odd_documents):
     none = odd_documents.limit(0)
     assert mixing.mix(none, mixing.tempered_parts(mixing.source_counts(none), 0.9)).count() == 0
