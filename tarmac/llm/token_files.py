@@ -14,6 +14,8 @@ are read; texts are encoded where they lie, and only compressed frames are shuff
 A task that runs again writes a new file; readers follow the stored list of files, which names
 one file per range, so nothing half-written is ever read.
 
+Ids are those of the library's ``encode`` without special tokens; an added token's string in a text is that token.
+
 Odd input: a null text is empty and has the end id alone; null ids come first; rows with equal ids
 keep an order by their text's hash; an empty table gives no files. Only id and text are read.
 """
@@ -24,6 +26,7 @@ import functools
 import hashlib
 import itertools
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -67,7 +70,9 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text here
+        # An added token is found anywhere in a text, also within and across parts.
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
@@ -113,12 +118,15 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Serialized ids of each text."""
+        whole = [i for i, text in enumerate(texts) if self.added and self.added.search(text)]
         parts = [text.split(" ") for text in texts]
+        for i in whole:
+            parts[i] = [""]
         heads = [p.pop(0) for p in parts]
         found = [list(map(self.known.get, p)) for p in parts]
         lacking = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
         self._learn({p[k] for p, places in zip(parts, lacking) for k in places})
-        out, odd = [], []
+        out, odd = [], list(whole)
         for i, (p, f, places) in enumerate(zip(parts, found, lacking)):
             for k in places:
                 f[k] = self.known[p[k]]

@@ -368,6 +368,18 @@ def test_parts_encode_like_whole_texts():
         assert np.frombuffer(ids, encoder.dtype).tolist() == want
 
 
+def test_added_tokens_encode_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    encoder, tokenizer = token_files.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(6)
+    bits = [" ", "a", "<|endoftext|>", "<|endof", "text|>", ".", "word", " two"]
+    texts = ["one <|endoftext|> two", "x<|endoftext|>", *["".join(rng.choices(bits, k=9)) for _ in range(500)]]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(texts[:1])[0], encoder.dtype).tolist() == [505, 220, 50256, 734]
+
+
 # Licences
 
 
