@@ -4,8 +4,11 @@ Each tree splits space by hyperplanes between two random centres until a leaf st
 ``LEAF_ROWS`` rows. The splits are fitted on a bounded sample (``SAMPLE_ROWS``); all rows are then sent down every tree.
 A query searches all trees through one priority queue: the side of a split it lies on first, the
 other side by the sum of squared distances to the planes it lies beyond, so that the closest
-missed leaf of any tree comes next. It stops after leaves with ``SEARCH_ROWS`` rows, which is at
-least ``trees * (k + 1)``, so that k other rows are found.
+missed leaf of any tree comes next. It stops after leaves with ``SEARCH_SHARE`` of the rows of all trees,
+at least ``SEARCH_ROWS`` and ``trees * (k + 1)``, so that k other rows are found, and not before it has
+seen a leaf of every tree. So the work of a query grows with the table: vectors without structure
+need a share of it, whatever its size. Leaves that get more than ``LEAF_ROWS`` in a table far larger than the
+sample only make the share coarser: a tree has about ten thousand leaves then.
 
 Neighbouring leaves of a tree form a bucket. Buckets meet their queries by a grouped join: one with
 very many rows is cut into parts of ``PART_ROWS``, one with very many queries into shares. Each scores
@@ -26,6 +29,7 @@ fewer than k candidates all are returned; without any, no rows are. Only the id
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +45,8 @@ K = 20
 TREES = 10
 LEAF_ROWS = 100
 SEARCH_ROWS = 30_000
+#: Of the rows of all trees. Recall measured for it is in the README.
+SEARCH_SHARE = 0.06
 BUCKET_LEAVES = 128
 SAMPLE_ROWS = 20_000
 PART_ROWS = 50_000
@@ -136,13 +142,14 @@ class Forest:
         return np.stack([t.leaf_of(points) + n for t, n in zip(self.trees, self.first_leaves())], 1)
 
     def search(self, vector: np.ndarray, sizes: np.ndarray, enough: int) -> list[int]:
-        """Leaves in the order of the shared queue until they hold enough rows."""
+        """Leaves in the order of the shared queue until they hold enough rows, one of each tree at least."""
         query = np.append(vector / np.linalg.norm(vector), 0.0)
         margins = [t.normals @ query - t.offsets / self.longest for t in self.trees]
-        first, found, rows = self.first_leaves(), [], 0
+        first, found, rows, seen = self.first_leaves(), [], 0, 0
         queue = [(0.0, i, 0 if len(t.children) else -1) for i, t in enumerate(self.trees)]
-        while queue and rows < enough:
+        while queue and (rows < enough or seen < len(self.trees)):  # roots come first
             missed, i, node = heapq.heappop(queue)
+            seen += 1
             children = self.trees[i].children
             while node >= 0:
                 margin = margins[i][node]
@@ -156,6 +163,11 @@ class Forest:
         return found
 
 
+def budget(points: int, trees: int, k: int, search_rows: int, search_share: float) -> int:
+    """Leaf rows that a query looks at, over all trees."""
+    return max(search_rows, trees * (k + 1), math.ceil(search_share * trees * points))
+
+
 def _matrix(column) -> np.ndarray:
     return np.stack(column).astype(np.float64)
 
@@ -256,6 +268,7 @@ def nearest(
     trees: int = TREES,
     leaf_rows: int = LEAF_ROWS,
     search_rows: int = SEARCH_ROWS,
+    search_share: float = SEARCH_SHARE,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest other rows found for each row with ``is_query``."""
     spark = vectors.sparkSession
@@ -277,7 +290,7 @@ def nearest(
     groups = asked.groupBy("vector").agg(F.min("query_id").alias("id"))
     groups = stored(groups, "queries")
 
-    forest, _ = fit(points, trees, leaf_rows)
+    forest, count = fit(points, trees, leaf_rows)
     shared = spark.sparkContext.broadcast(forest)
     # Read twice: for the leaf sizes and for the search.
     vector_type = dict(points.dtypes)["vector"]
@@ -290,7 +303,7 @@ def nearest(
     wide = {i: -(-int(n) // PART_ROWS) for i, n in enumerate(counts) if n > PART_ROWS}
     parts = F.coalesce(*[F.when(F.col("bucket") == i, n) for i, n in wide.items()], F.lit(1))
 
-    enough = max(search_rows, trees * (k + 1))
+    enough = budget(count, trees, k, search_rows, search_share)
     probes = groups.select("id", "vector").mapInArrow(
         _probe(shared, spark.sparkContext.broadcast(sizes), enough),
         f"bucket long, leaves array<long>, id long, vector {vector_type}",

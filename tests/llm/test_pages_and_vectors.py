@@ -122,6 +122,30 @@ def test_recall(spark, monkeypatch, part_rows, part_queries):
     assert hits / 1500 >= 0.9
 
 
+def test_search_grows_with_the_table(spark):
+    """Vectors without structure and a small least budget: the share of the table keeps recall up."""
+    vectors = np.random.default_rng(4).normal(size=(8000, 24))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = ann.nearest(frame, F.col("vec_id") % 80 == 0, k=10, search_rows=1000).collect()
+    hits = 0
+    for q in range(0, 8000, 80):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len({r["vec_id"] for r in found if r["query_id"] == q} & set(np.argsort(-scores)[:10].tolist()))
+    assert hits / 1000 >= 0.9
+
+
+def test_search_sees_every_tree():
+    """Also where one leaf alone has enough rows."""
+    points = np.random.default_rng(5).normal(size=(300, 6))
+    forest = ann.Forest([], 9.0)
+    forest.trees = [ann.grow(forest.points(points), 50, np.random.default_rng(i)) for i in range(4)]
+    sizes = np.full(int(forest.first_leaves()[-1]), 10_000)
+    found = np.array(forest.search(points[0], sizes, 500))
+    assert set(np.searchsorted(forest.first_leaves(), found, "right") - 1) == {0, 1, 2, 3}
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(300)]
