@@ -24,9 +24,15 @@ from tarmac.llm.queries import MIX_POWER, TOKENIZER, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language could be told. ``lang`` stays as it was labelled."""
+    """Documents whose language could be told. ``lang`` stays as it was labelled.
+
+    Where no language could be learned, none can be told; texts with a letter stay all the same.
+    """
     ship(spark)
-    known = language_id.identify(docs, language_id.train(docs))
+    model = language_id.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    known = language_id.identify(docs, model)
     return known.where(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
 
 

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tarmac.llm import decontaminate, language_id, licenses, mixing, ngram_join, secrets, substring_dedup, token_files
 from tarmac.llm.queries import TOKENIZER
 from tests.llm import brute
@@ -314,6 +315,13 @@ def test_language_learned_from_nothing(odd_documents):
     assert language_id.identify(odd_documents.limit(0), model).count() == 0
 
 
+def test_pipeline_keeps_texts_without_labels(spark, odd_documents):
+    unlabelled = odd_documents.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, unlabelled, "")
+    assert kept.columns == unlabelled.columns
+    same(kept, ["doc_id", "text"], [(r["doc_id"], r["text"]) for r in unlabelled.collect() if (r["text"] or "").strip()])
+
+
 @pytest.mark.parametrize("n", [1, 2, 4, 6, 7, 30])
 def test_codewords_differ(n):
     code = language_id.codewords(n)
