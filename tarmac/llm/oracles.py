@@ -6,7 +6,84 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 _WORDS = r"[^\x20\x09-\x0D]+"
 _PLAIN_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes; needs the CTE ``crc_table``."""
+    octets = f"list_transform(range(0, strlen({text})), lambda i: cast('0x' || substr(hex(encode({text})), cast(2 * i + 1 as int), 2) as bigint))"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b:"
+        " xor(c >> 8, crcs[cast((xor(c, b) & 255) + 1 as int)])), 4294967295)"
+    )
+
+
+_CRC_TABLE = """crc_steps(i, c, k) as (
+  select range, range, 0 from range(256) union all
+  select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from crc_steps where k < 8),
+crc_table as (select list(c order by i) crcs from crc_steps where k = 8)"""
+
+
+def _merkle_levels(nodes: str, name: str, levels: int) -> str:
+    """CTEs ``name``1 to ``name``<levels>: every node's parents. A tree that is down to one node stays as it is.
+
+    The columns of ``nodes``: tree, pos, n, h.
+    """
+    return ",\n".join(
+        f"""{name}{k} as (
+  select tree, case when n > 1 then pos // 8 else 0 end pos, cast(any_value(case when n > 1 then (n + 7) // 8 else n end) as bigint) n,
+    case when any_value(n) > 1 then sha256(string_agg(h, '' order by pos)) else any_value(h) end h
+  from {nodes if k == 1 else f"{name}{k - 1}"} q group by q.tree, case when n > 1 then q.pos // 8 else 0 end)"""
+        for k in range(1, levels + 1)
+    )
+
+
+def _merkle_way(start: str, nodes: str, name: str, levels: int, column: str) -> str:
+    """CTEs that follow every row of ``start`` (id, tree, pos, n, h, proof) up through the levels, with h folded anew."""
+    steps = []
+    for k in range(1, levels + 1):
+        level = nodes if k == 1 else f"{name}{k - 1}"
+        steps.append(f"""{column}{k} as (
+  select s.id, s.tree, case when s.n > 1 then s.pos // 8 else 0 end pos, case when s.n > 1 then (s.n + 7) // 8 else s.n end n,
+    case when s.n > 1 then sha256(string_agg(case when q.pos = s.pos then s.h else q.h end, '' order by q.pos)) else s.h end h,
+    case when s.n > 1 then s.proof || coalesce(string_agg(q.h, '' order by q.pos) filter (q.pos <> s.pos), '') else s.proof end proof
+  from {start if k == 1 else f"{column}{k - 1}"} s join {level} q
+    on q.tree = s.tree and (q.pos // 8 = s.pos // 8 and s.n > 1 or s.n = 1 and q.pos = s.pos)
+  group by s.id, s.tree, s.pos, s.n, s.h, s.proof)""")
+    return ",\n".join(steps)
+
+
+def _merkle_field(name: str) -> str:
+    return f"coalesce(strlen(cast({name} as varchar)) || ':' || {name}, '-')"
+
+
+# Trees of up to 8 ** 7 leaves and 8 ** 3 groups.
+_MERKLE_UP, _MERKLE_TOP = 7, 3
+_MERKLE_SQL = f"""
+with recursive {_CRC_TABLE},
+docs as (
+  select row_number() over () id, *, {" || ".join(map(_merkle_field, ["doc_id", "source", "lang", "n_chars"]))} front,
+    case when {_crc32("cast(doc_id as varchar)")} % 3 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+      else text end held
+  from documents, crc_table),
+hashed as (
+  select id, doc_id, coalesce('=' || lang, '') tree, sha256(front || {_merkle_field("text")}) leaf,
+    sha256(front || {_merkle_field("held")}) held_leaf
+  from docs),
+leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf, id) - 1 pos, count(*) over (partition by tree) n, leaf h
+  from hashed),
+{_merkle_levels("leaves", "up", _MERKLE_UP)},
+subroots as (
+  select '' tree, tree grp, row_number() over (order by tree) - 1 pos, count(*) over () n, h from up{_MERKLE_UP}),
+{_merkle_levels("subroots", "top", _MERKLE_TOP)},
+held as (select id, tree, pos, n, held_leaf h, '' proof from leaves),
+{_merkle_way("held", "leaves", "up", _MERKLE_UP, "held")},
+high as (
+  select w.id, s.tree, s.pos, s.n, w.h, w.proof from held{_MERKLE_UP} w join subroots s on s.grp = w.tree),
+{_merkle_way("high", "subroots", "top", _MERKLE_TOP, "high")}
+select l.doc_id, l.leaf, s.h subroot, t.h root, sha256(g.proof) proof_sha256, g.h folded_root, g.h = t.h verified
+from leaves l join subroots s on s.grp = l.tree join high{_MERKLE_TOP} g on g.id = l.id, top{_MERKLE_TOP} t"""
+
 ORACLES = {
+    "op11_merkle_manifest": _MERKLE_SQL,
     "op2_decontaminate": rf"""
 with docs as (select doc_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORDS}') ws from documents),
 items as (select item_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORDS}') ws from benchmark),

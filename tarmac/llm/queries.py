@@ -11,6 +11,7 @@ from tarmac.llm import (
     decontaminate,
     language_id,
     licenses,
+    merkle,
     mixing,
     ngram_join,
     secrets,
@@ -98,6 +99,20 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of each document, and whether it still proves after a third were tampered with."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hit = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    text = F.when(hit, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    held = merkle.leaf_hash([*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text])
+    proven = merkle.manifest(documents, "lang", "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], {"held": held})
+    root = merkle.folded(F.col("held"), F.col("proof")).alias("folded_root")
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("proof")).alias("proof_sha256"), root
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Share of a source in the mix: its size to this power.
@@ -114,4 +129,5 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_language_id": op9_language_id,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
