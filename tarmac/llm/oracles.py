@@ -84,6 +84,36 @@ from leaves l join subroots s on s.grp = l.tree join high{_MERKLE_TOP} g on g.id
 
 ORACLES = {
     "op11_merkle_manifest": _MERKLE_SQL,
+    # A deleted place is marked, so that equal marks are a replacement and an unmarked equal is an insertion.
+    "op13_spelling_variants": rf"""
+with recursive {_CRC_TABLE},
+runs as (select doc_id, unnest(regexp_extract_all({_LOWER}, '[a-zÀ-ÿ]+')) run from documents),
+counted as (select doc_id, run, count(*) n, cast(doc_id as varchar) || ':' || run k from runs group by all),
+coded as (select run, n, {_crc32("k")} h from counted, crc_table),
+spelled as (
+  select n, case when h % 97 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+      else run end word
+  from coded),
+words as (
+  select word, cast(sum(n) as bigint) n from spelled where length(word) >= 5 group by word having sum(n) >= 3),
+cut as (
+  select word, n, i, substr(word, 1, i) || substr(word, i + 2) rest
+  from words, unnest(range(length(word))) t(i)),
+near as (
+  select a.word, b.word other, b.n from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select c.word, w.word, w.n from cut c join words w on w.word = c.rest
+  union select w.word, c.word, c.n from cut c join words w on w.word = c.rest),
+best as (
+  select word, count(*) n_near, first(other order by n desc, other) other, max(n) most from near group by word),
+found as (
+  select w.word, case when b.most >= 2 * w.n then other end form, w.n, coalesce(n_near, 0) n_near,
+    case when b.most >= 2 * w.n then most end form_n
+  from words w left join best b using (word)),
+followed as (
+  select word, word root, form next from found union all
+  select f.word, f.next, g.form from followed f join found g on g.word = f.next)
+select word, form, root, n, n_near, form_n from found join (select word, root from followed where next is null)
+  using (word)""",
     "op2_decontaminate": rf"""
 with docs as (select doc_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORDS}') ws from documents),
 items as (select item_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORDS}') ws from benchmark),

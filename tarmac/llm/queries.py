@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import (
     ann,
+    bpe,
     decontaminate,
     language_id,
     licenses,
@@ -15,11 +16,12 @@ from tarmac.llm import (
     mixing,
     ngram_join,
     secrets,
+    spelling,
     substring_dedup,
     token_files,
     warc,
 )
-from tarmac.llm.common import ship
+from tarmac.llm.common import documents_of, ship, stored
 from tarmac.llm.oracles import ORACLES as ORACLES
 
 
@@ -113,7 +115,26 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document and the bytes they decode to, as checksums."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(documents, RANKS).select(F.col("row.doc_id").alias("doc_id"), "ids")
+    return bpe.decode(encoded, RANKS).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        bpe.joined_hash(F.col("ids")).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each word of the documents with its spelling neighbours, the form it is a variant of, and that form's root."""
+    counts = spelling.word_counts(documents_of(table(spark, sf_dir, "documents")))
+    return spelling.variants(stored(counts, "words"))
+
+
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 #: Share of a source in the mix: its size to this power.
 MIX_POWER = 0.9
@@ -130,4 +151,6 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_spelling_variants": op13_spelling_variants,
 }
