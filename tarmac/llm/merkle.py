@@ -166,6 +166,8 @@ def manifest(
             leaf.alias("hash"), F.col(order).alias("key"), *(value.alias(f"carried_{name}") for name, value in carry.items())
         ).alias("node"),
     )
+    # Stored, as dealing by ranges first samples its input: texts are read and hashed once.
+    leaves = stored(leaves, "merkle-leaves")
     leaves = leaves.select("tree", F.col("node.key").alias("key"), F.col("node.hash").alias("leaf"), "node")
     leaves = _placed(leaves, ["key", "leaf"])
     levels = _levels(leaves, fanout)
