@@ -10,9 +10,9 @@ pattern, whose parts are tried in this order:
     's | 't | 're | 've | 'm | 'll | 'd | space? letters+ | space? numbers+ | space? others+
     | white space not before a visible character | white space
 
-Pieces are slices of the text's bytes. What a piece becomes is kept in a cache bounded by its bytes; a new
-piece is merged pair by pair, lowest rank first and leftmost among equals (long pieces with a heap, so that a
-word of a megabyte takes no quadratic time). A token's end offset in the text's bytes is kept, so any run of tokens can be decoded on
+Pieces are slices of the text's bytes. What a piece becomes is kept in a cache bounded by its bytes. New
+pieces are merged pair by pair, lowest rank first and leftmost among equals: those of similar length side by side, a pair of each
+per round, and long ones on their own with a heap, so that a word of a megabyte takes no quadratic time. A token's end offset in the text's bytes is kept, so any run of tokens can be decoded on
 its own; decoding gathers the bytes of all tokens of a batch at once.
 
 Texts are encoded whole, in slices of bounded size, each on its own row: there is no shuffle, and a lost task is
@@ -43,6 +43,8 @@ CACHE_BYTES = 48 << 20
 SLICE_BYTES = 2 << 20
 PIECES = 200_000
 LONG = 64
+#: New pieces that are merged side by side.
+TOGETHER = 20_000
 
 # Classes of code points.
 LETTER, NUMBER, SPACE, OTHER = range(4)
@@ -168,32 +170,99 @@ def piece_starts(points: np.ndarray, firsts: np.ndarray, classes: np.ndarray) ->
     return starts[before, symbols] | firsts
 
 
+class Pairs:
+    """Which two ids merge into which: a table of all splits of all tokens, looked up for many pairs at once."""
+
+    NONE = np.iinfo(np.int32).max
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.base = max(ranks.values()) + 1
+        keys, values = [], []
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    keys.append(left * self.base + right)
+                    values.append(rank)
+        self.bits = max(8, (4 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, self.NONE, np.int32)
+        key, value = np.array(keys, np.int64), np.array(values, np.int32)
+        place = self._place(key)
+        while len(key):
+            free = self.keys[place] == -1
+            self.keys[place[free]] = key[free]  # of several keys for one place the last stays
+            self.values[place[free]] = value[free]
+            left = self.keys[place] != key
+            key, value, place = key[left], value[left], (place[left] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id of each merged pair, ``NONE`` where two ids do not merge."""
+        key = left.astype(np.int64) * self.base + right
+        place = self._place(key)
+        there = self.keys[place]
+        out = np.where(there == key, self.values[place], self.NONE)
+        open_ = np.flatnonzero((there != key) & (there != -1))
+        while len(open_):
+            place[open_] = (place[open_] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[place[open_]]
+            hit = there == key[open_]
+            out[open_[hit]] = self.values[place[open_[hit]]]
+            open_ = open_[~hit & (there != -1)]
+        return out
+
+
 class Merger:
     """Turns pieces into ids, keeping what they became."""
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        self.pairs = Pairs(self.ranks)
         self.cache: dict[bytes, tuple[int, ...]] = {}
         self.cached = 0
 
-    def _short(self, piece: bytes) -> tuple[int, ...]:
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        ranks = self.ranks
-        costs = [ranks.get(a + b) for a, b in itertools.pairwise(parts)]
+    def _short(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Pieces of similar length side by side: every round merges each one's best pair."""
+        none = Pairs.NONE
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(sizes.max())
+        inside = np.arange(width) < sizes[:, None]
+        parts = np.zeros((len(pieces), width), np.int32)
+        parts[inside] = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
+        costs = np.full((len(pieces), width), none, np.int32)
+        joint = inside[:, 1:]
+        costs[:, :-1][joint] = self.pairs(parts[:, :-1][joint], parts[:, 1:][joint])
+        rows = np.arange(len(pieces))
+        column = np.arange(width)
         while True:
-            least, at = None, -1
-            for i, cost in enumerate(costs):
-                if cost is not None and (least is None or cost < least):
-                    least, at = cost, i
-            if least is None:
-                return tuple(ranks[p] for p in parts)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del costs[at]
-            if at:
-                costs[at - 1] = ranks.get(parts[at - 1] + parts[at])
-            if at < len(costs):
-                costs[at] = ranks.get(parts[at] + parts[at + 1])
+            # Only rows that still merge are looked at; the others lie finished behind them.
+            best = costs[rows].argmin(axis=1)
+            merged = costs[rows, best]
+            going = merged != none
+            rows, best, merged = rows[going], best[going], merged[going]
+            if not len(rows):
+                break
+            shift = column[:-1] > best[:, None]
+            for table in (parts, costs):
+                part = table[rows]
+                part[:, :-1] = np.where(shift, part[:, 1:], part[:, :-1])
+                table[rows] = part
+            parts[rows, best] = merged
+            sizes[rows] -= 1
+            costs[rows, sizes[rows]] = none
+            for at, valid in ((best - 1, best > 0), (best, best + 1 < sizes[rows])):
+                r, c = rows[valid], at[valid]
+                costs[r, c] = self.pairs(parts[r, c], parts[r, c + 1])
+            last = ~(best + 1 < sizes[rows])
+            costs[rows[last], best[last]] = none
+        flat = parts[column < sizes[:, None]].tolist()
+        ends = np.cumsum(sizes).tolist()
+        return [tuple(flat[end - size : end]) for end, size in zip(ends, sizes.tolist())]
 
     def _long(self, piece: bytes) -> tuple[int, ...]:
         """The same with a heap of pairs and links between neighbours; a part is named by its start."""
@@ -225,27 +294,44 @@ class Merger:
             at = ends[at]
         return tuple(out)
 
+    def _new(self, pieces: list[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """The ids of pieces that the cache lacks."""
+        found = {}
+        widths: dict[int, list[bytes]] = {}
+        for piece in pieces:
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                found[piece] = (whole,)
+            elif len(piece) > LONG:
+                found[piece] = self._long(piece)
+            else:
+                widths.setdefault(max(8, 1 << (len(piece) - 1).bit_length()), []).append(piece)
+        for similar in widths.values():
+            for low in range(0, len(similar), TOGETHER):
+                part = similar[low : low + TOGETHER]
+                found.update(zip(part, self._short(part)))
+        return found
+
+    def _keep(self, found: dict[bytes, tuple[int, ...]]) -> None:
+        for piece, ids in found.items():
+            size = 200 + len(piece) + 8 * len(ids)  # about what the entry takes
+            if size >= CACHE_BYTES // 100:
+                continue
+            if self.cached + size > CACHE_BYTES:
+                self.cache.clear()
+                self.cached = 0
+            self.cache[piece] = ids
+            self.cached += size
+
     def ids(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """The ids of each piece."""
-        cache = self.cache
-        found = list(map(cache.get, pieces))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is not None:
-                    continue
-                piece = pieces[i]
-                ids = cache.get(piece)
-                if ids is None:
-                    whole = self.ranks.get(piece)
-                    ids = (whole,) if whole is not None else (self._short if len(piece) < LONG else self._long)(piece)
-                    size = 200 + len(piece) + 8 * len(ids)  # about what the entry takes
-                    if size < CACHE_BYTES // 100:
-                        if self.cached + size > CACHE_BYTES:
-                            cache.clear()
-                            self.cached = 0
-                        cache[piece] = ids
-                        self.cached += size
-                found[i] = ids
+        found = list(map(self.cache.get, pieces))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        if lacking:
+            new = self._new(list(dict.fromkeys(pieces[i] for i in lacking)))
+            for i in lacking:
+                found[i] = new[pieces[i]]
+            self._keep(new)
         return found
 
 
