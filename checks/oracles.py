@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.views import FEATURES_SQL, FEATURE_STEPS_SQL, FLIGHTS_SQL, RESPONSE_TEXT
+from checks.views import FEATURES_SQL, FEATURE_STEPS_SQL, FETCH_RUNS_SQL, FLIGHTS_SQL, RESPONSE_TEXT
 from tarmac.schemas import FACT_COLUMNS
 
 
@@ -294,8 +294,66 @@ from per_group join totals using (request_id)""",
     "keyed_table_upsert": MERGED_SELECT,
     "stream_quarantine": f"""with {INCOMPLETE_SQL}
 select {', '.join(FACT_COLUMNS)} from incomplete where not {IS_VALID}""",
-    "stream_fact_flights": f"""with {FACT_SQL}
+    "stream_fact_flights": f"""with {INCOMPLETE_SQL},
+versions as (
+  select * replace (fetched_at + to_hours(v) as fetched_at, 'V' || v as dep_gate)
+  from incomplete, (values (0), (1), (2)) t(v) where {IS_VALID}),
+fact as (
+  select * from versions
+  qualify row_number() over (
+    partition by airline_id, flight_number, scheduled_departure_utc order by fetched_at desc) = 1)
 select {', '.join(FACT_COLUMNS)}, fetched_at from fact""",
+    "stream_route_counts": f"""with {INCOMPLETE_SQL}
+select count(*) parsed, count(*) filter ({IS_VALID}) valid, count(*) filter (not {IS_VALID}) quarantined
+from incomplete""",
+    "batch_by_name": f"""with {REFERENCE_SQL}
+select a.*, city_name, country_name from airports a
+  left join cities using (city_code) left join countries using (country_code)
+where airport_code is not null""",
+    "stream_by_name": f"""with {FLIGHTS_SQL}
+select {', '.join(FACT_COLUMNS)},
+  make_timestamp(2024, 1, 1 + event_id // 50 % 3, 4, 0, 0) fetched_at, 'valid' route
+from (select * exclude (fetched_at) from flights)""",
+    # Brute force: every record number that a run fetched is listed and counted.
+    "run_page_gaps": f"""with {FETCH_RUNS_SQL},
+totals as (
+  select fetch_run, hub, flight_type, slot_start, total_count from pages
+  qualify row_number() over (partition by fetch_run, hub, flight_type, slot_start
+    order by fetched_at desc, total_count desc) = 1),
+expected as (select * exclude (total_count), total_count, unnest(range(0, total_count, 50)) page_offset from totals),
+landed as (
+  select fetch_run, hub, flight_type, slot_start, record_no // 50 * 50 page_offset, count(*) landed_records
+  from (select distinct fetch_run, hub, flight_type, slot_start, unnest(range(page_offset, page_offset + 50)) record_no
+    from pages)
+  group by all)
+select fetch_run, hub, flight_type, slot_start, page_offset,
+  least(50, total_count - page_offset) expected_records, coalesce(landed_records, 0) landed_records
+from expected left join landed using (fetch_run, hub, flight_type, slot_start, page_offset)
+where coalesce(landed_records, 0) < least(50, total_count - page_offset)""",
+    "run_coverage_gaps": f"""with {FETCH_RUNS_SQL},
+grid as (
+  select distinct fetch_run, hub, cast(fetch_run as date) - cast(d as int) "day", slot, flight_type
+  from (select distinct fetch_run, hub from pages), range(7) r(d),
+    (values ('00:00'), ('04:00'), ('08:00'), ('12:00'), ('16:00'), ('20:00')) s(slot),
+    (values ('arrivals'), ('departures')) f(flight_type))
+select * from grid except
+select fetch_run, hub, cast(slot_start as date), strftime(slot_start, '%H:%M'), flight_type from pages""",
+    # Counted from the rows the items are made of, without looking at JSON.
+    "schema_drift": f"""with {FLIGHTS_SQL}
+select '$' path, 'MarketingCarrier' field, 'object' kind, cast(null as varchar) declared_kind, count(*) items
+from flights where event_type = 'click'
+union all select '$', 'Codeshares', 'array', null, count(*) from flights where event_type = 'click'
+union all select '$.FlightStatus', 'Updated', 'boolean', null, count(*) from flights where event_id % 9 = 0
+union all select '$.Departure.Terminal', 'Gate', 'number', 'string', count(*) from flights where dep_gate = 'G1'""",
+    # Late events are dropped; of the others every part has its own first ones, as the state of the part before is gone.
+    "stream_first_seen_within": """
+with parts as (
+  select event_id % 3 part, event_id, user_id, event_type,
+    event_id = max(event_id) over (partition by event_id % 3) final
+  from events)
+select user_id, event_type from (
+  select distinct part, case when final then -1 - part else user_id end user_id, event_type
+  from parts where final or part = 0 or event_id % 5 <> 0)""",
     "stream_gold_hourly": f"with {FACT_FEATURES_SQL}, {HOURLY_STEPS_SQL} select * from ripple",
     "stream_gold_performance": f"with {FACT_FEATURES_SQL} {PERFORMANCE_SELECT}",
     "stream_dim_airports": AIRPORTS_SELECT,

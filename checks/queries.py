@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,20 +12,21 @@ from checks import views
 from tarmac.functions.lineage import lineage_columns
 from tarmac.functions.pages import items_at
 from tarmac.functions.times import parse_utc_minute
-from tarmac.operators import audits, dimensions, flatten, keyed, metrics, quality
+from tarmac.operators import audits, dimensions, drift, flatten, keyed, metrics, quality
 from tarmac.operators import features as feat
 from tarmac.plans import gold, runs
 from tarmac.plans.lake import Lake
-from tarmac.schemas import BRONZE_PAGES, FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH
+from tarmac.schemas import FACT_COLUMNS, FLIGHT_ITEM, FLIGHT_ITEMS_PATH
 from tarmac.settings import (
     FLIGHT_KEYS,
     FLIGHT_PAGE_LIMIT,
+    LOOKBACK_DAYS,
     REFERENCE_PAGE_LIMIT,
     REFERENCE_RESOURCES,
 )
 from tarmac.sources import landing
-from tarmac.sources.keyed_table import KeyedTable
 from tarmac.sources.shared import shared_folder
+from tarmac.sources.tables import KeyedTable
 from tarmac.streaming import flows
 
 
@@ -214,9 +216,11 @@ def page_dupes(spark, sf_dir):
 def keyed_table_upsert(spark, sf_dir):
     """The stored form of ``upsert_scd1``: initial load, then a merge, in 16 parts."""
     finished, still_open = _finished_and_open(spark, sf_dir)
+    folder = shared_folder(spark)
     table = KeyedTable(
         spark,
-        f"{shared_folder(spark)}/lines",
+        f"tarmac_checks.lines_{os.path.basename(folder)[-32:]}",
+        f"{folder}/lines",
         ", ".join(f"{name} {kind}" for name, kind in finished.dtypes),
         LINE_KEYS,
         part=F.pmod(F.hash("l_orderkey"), F.lit(16)),
@@ -227,32 +231,76 @@ def keyed_table_upsert(spark, sf_dir):
 
 
 def _parsed_lake(spark, sf_dir):
-    """A new lake whose flattened flights come from a stream of pages."""
+    """A new lake whose flattened flights come from a stream of pages, and that stream."""
     lake = Lake(spark, shared_folder(spark))
     pages = landing.good_pages(landing.classify(views.streamed_flight_pages(spark, sf_dir)))
-    flows.append_table(
-        flows.parsed_rows(pages),
-        lake.parsed_flights,
-        lake.checkpoint("parsed_flights"),
-        "parsed_flights",
-        ["route"],
-    ).awaitTermination()
-    return lake
+    query = lake.parsed_flights.append(flows.parsed_rows(pages), lake.checkpoint("parsed_flights"), "parsed_flights")
+    query.awaitTermination()
+    return lake, flows.route_counts(query)
 
 
 def _merged_lake(spark, sf_dir):
-    lake = _parsed_lake(spark, sf_dir)
+    lake, _ = _parsed_lake(spark, sf_dir)
     runs.merge_flights(lake)
     return lake
 
 
+def stream_route_counts(spark, sf_dir):
+    """Rows parsed, and where they went, as the stream itself observed."""
+    _, counts = _parsed_lake(spark, sf_dir)
+    return spark.createDataFrame(counts, "batch long, parsed long, valid long, quarantined long").agg(
+        *(F.sum(name).alias(name) for name in ("parsed", "valid", "quarantined"))
+    )
+
+
 def stream_quarantine(spark, sf_dir):
-    lake = _parsed_lake(spark, sf_dir)
-    return flows.quarantine(spark, lake.parsed_flights).select(*FACT_COLUMNS)
+    lake, _ = _parsed_lake(spark, sf_dir)
+    return flows.quarantine(lake.parsed_flights.read()).select(*FACT_COLUMNS)
 
 
 def stream_fact_flights(spark, sf_dir):
-    return _merged_lake(spark, sf_dir).fact.read().select(*FACT_COLUMNS, "fetched_at")
+    """The fact, read by name, after three deliveries merged one after the other, of which many rows are stale."""
+    folder = shared_folder(spark)
+    lake, schema = Lake(spark, folder), "fetched_at timestamp_ntz, file_name string, page_text string"
+    for part in range(3):
+        pages = views.single_pages(views.versions_of_flights(spark, sf_dir, part))
+        pages.write.mode("append").parquet(f"{folder}/pages")
+        stream = landing.good_pages(landing.classify(flows.read_table(spark, f"{folder}/pages", schema)))
+        lake.parsed_flights.append(
+            flows.parsed_rows(stream), lake.checkpoint("parsed_flights"), "parsed_flights"
+        ).awaitTermination()
+        flows.parsed_to_fact(lake.parsed_flights, lake.fact.upsert, lake.checkpoint("fact_flights")).awaitTermination()
+    return spark.read.table(lake.name("fact_flights")).select(*FACT_COLUMNS, "fetched_at")
+
+
+def batch_by_name(spark, sf_dir):
+    """Airports joined with their names, all three tables read by their names in the catalog."""
+    lake = Lake(spark, shared_folder(spark))
+    for endpoint in ("airports", "cities", "countries"):
+        rows = _dimension(endpoint)(spark, sf_dir)
+        lake.reference(endpoint).upsert(
+            rows.withColumns({"fetched_at": F.lit(None), "file_name": F.lit(None), "silver_processed_at": F.lit(None)})
+        )
+    stamps = ("fetched_at", "file_name", "silver_processed_at")
+    tables = {
+        name: spark.read.table(lake.name(f"reference_{name}")).drop(*stamps)
+        for name in ("airports", "cities", "countries")
+    }
+    return dimensions.join_airports(**tables)
+
+
+def stream_by_name(spark, sf_dir):
+    """Bronze read as a stream by its name in several micro-batches, flattened, and the outcome read by name."""
+    folder, pages = shared_folder(spark), views.named_pages(spark, sf_dir)
+    lake = Lake(spark, folder)
+    for part in range(2):
+        pages.filter(F.pmod(F.hash("file_name"), F.lit(2)) == part).write.mode("append").parquet(f"{folder}/pages")
+        stream = flows.read_table(spark, f"{folder}/pages", "page_text string, file_name string")
+        lake.bronze_flights.append(landing.bronze_pages(stream), lake.checkpoint("bronze"), "bronze").awaitTermination()
+        flows.bronze_to_parsed(
+            lake.bronze_flights, lake.parsed_flights, lake.checkpoint("parsed"), 4
+        ).awaitTermination()
+    return spark.read.table(lake.name("parsed_flights")).select(*FACT_COLUMNS, "fetched_at", "route")
 
 
 def stream_gold_hourly(spark, sf_dir):
@@ -278,11 +326,11 @@ def stream_landing(spark, sf_dir):
     folder, pages = shared_folder(spark), views.reference_pages(spark, sf_dir, "aircraft")
     writer = pages.select("page_text").write.option("maxRecordsPerFile", 1)
     writer.text(f"{folder}/landing")
+    bronze = Lake(spark, folder).bronze_reference("aircraft")
     flows.landing_to_bronze(
-        spark, f"{folder}/landing", f"{folder}/bronze", f"{folder}/chk", "landed", 64
+        spark, f"{folder}/landing", bronze, f"{folder}/chk", "landed", 64
     ).awaitTermination()
-    bronze = spark.read.schema(BRONZE_PAGES).parquet(f"{folder}/bronze")
-    stamped = bronze.filter(F.col("fetched_at").isNotNull() & F.col("bronze_ingested_at").isNotNull())
+    stamped = bronze.read().filter(F.col("fetched_at").isNotNull() & F.col("bronze_ingested_at").isNotNull())
     rows = flatten.reference_items(landing.good_pages(stamped), "aircraft")
     return dimensions.coded_rows(rows)
 
@@ -314,6 +362,37 @@ def stream_dim_airports(spark, sf_dir):
     return _stream_result(spark, joined, joined.schema)
 
 
+def run_page_gaps(spark, sf_dir):
+    """Missing pages per fetch run: a page that another run brought does not count."""
+    pages = audits.with_fetch_run(views.fetched_pages(spark, sf_dir), ["hub"])
+    return audits.page_gaps(pages, ["fetch_run", "hub", "flight_type", "slot_start"], FLIGHT_PAGE_LIMIT)
+
+
+def run_coverage_gaps(spark, sf_dir):
+    """Requests of the last seven days that a run should have made and of which it brought no page."""
+    pages = audits.with_fetch_run(views.fetched_pages(spark, sf_dir), ["hub"])
+    clock = F.date_format("slot_start", "HH:mm")
+    landed = pages.select("fetch_run", "hub", F.to_date("slot_start").alias("day"), clock.alias("slot"), "flight_type")
+    return audits.coverage_gaps(landed, audits.run_spans(landed, LOOKBACK_DAYS), by=["fetch_run", "hub"])
+
+
+def schema_drift(spark, sf_dir):
+    """Fields of flight items that the declared schema lacks or has as another kind."""
+    return drift.schema_drift(views.drifted_items(spark, sf_dir), FLIGHT_ITEM)
+
+
+def stream_first_seen_within(spark, sf_dir):
+    """One row per user and type among events of an hour, in micro-batches, with state that expires; late rows are dropped."""
+    folder = shared_folder(spark)
+    keys = ["user_id", "event_type"]
+    for part in views.timed_parts(spark, sf_dir):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = flows.read_table(spark, f"{folder}/in", "user_id long, event_type string, ts timestamp_ntz")
+        unique = flows.first_seen_within(stream, keys, "ts", views.DEDUP_DELAY)
+        flows.append_table(unique, f"{folder}/out", f"{folder}/chk", "result").awaitTermination()
+    return spark.read.schema("user_id long, event_type string").parquet(f"{folder}/out")
+
+
 def stream_first_seen(spark, sf_dir):
     """One row per user and event type from a stream that repeats them."""
     keys = ["user_id", "event_type"]
@@ -359,4 +438,11 @@ QUERIES = {
     "stream_landing": stream_landing,
     "sql_views": sql_views,
     "stream_first_seen": stream_first_seen,
+    "stream_first_seen_within": stream_first_seen_within,
+    "stream_route_counts": stream_route_counts,
+    "batch_by_name": batch_by_name,
+    "stream_by_name": stream_by_name,
+    "run_page_gaps": run_page_gaps,
+    "run_coverage_gaps": run_coverage_gaps,
+    "schema_drift": schema_drift,
 }

@@ -235,7 +235,11 @@ def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def streamed_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incomplete flights as a stream of pages with one bare object each."""
-    rows = without_some_keys(flight_rows(streamed(spark, sf_dir, "events")))
+    return single_pages(without_some_keys(flight_rows(streamed(spark, sf_dir, "events"))))
+
+
+def single_pages(rows: DataFrame) -> DataFrame:
+    """Flights as pages with one bare object each."""
     close = F.lit('},"Meta":{"TotalCount":1}}}')
     return rows.select(
         "fetched_at",
@@ -244,6 +248,33 @@ def streamed_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def versions_of_flights(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """Incomplete flights as one of three deliveries: each flight comes in versions 0, 1 and 2, an hour apart.
+
+    A third of them comes in that order; for the others the newest version comes first or second and
+    an old one after it. The gate tells the version.
+    """
+    version = (F.col("event_id") + part) % 3
+    flights = without_some_keys(flight_rows(table(spark, sf_dir, "events")))
+    return flights.withColumns(
+        {
+            "fetched_at": F.col("fetched_at") + F.make_dt_interval(hours=version.cast("int")),
+            "dep_gate": F.concat(F.lit("V"), version.cast("string")),
+        }
+    )
+
+
+def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight pages with names as the fetcher gives them."""
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    day, offset = 1 + F.col("page_id") % 3, F.col("page_id") / 3 % 3
+    name = F.concat(
+        F.lit("202401"), two(day), F.lit("040000_FRA_arrivals_2024-01-"), two(day), F.lit("T0400_off"),
+        (F.floor(offset) * 50).cast("string"), F.lit("_lim50.json"),
+    )
+    return flight_pages(spark, sf_dir).select("page_text", name.alias("file_name"))
+
+
 def incomplete_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights some of whose keys are missing."""
     return without_some_keys(flights_with_id(spark, sf_dir))
@@ -460,3 +491,71 @@ def landed_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat(lpad(cast(hour(ts) div 4 * 4 as string), 2, '0'), ':00') as slot",
         "if(event_type in ('click', 'view'), 'arrivals', 'departures') as flight_type",
     )
+
+
+def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as flight pages fetched for twelve hubs, at whatever minute of the day."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "'H' || (user_id % 12) as hub",
+        "ts as fetched_at",
+        "if(event_type in ('click', 'view'), 'arrivals', 'departures') as flight_type",
+        "cast(to_date(ts) as timestamp_ntz)"
+        " + make_dt_interval(-cast(event_id % 7 as int), cast(4 * (user_id % 6) as int)) as slot_start",
+        "event_id div 7 % 3 * 50 as page_offset",
+        "50L as page_limit",
+        "50 + user_id % 120 as total_count",
+    )
+
+
+# The same view for the SQL side, with the run of each page by the distance to the fetch before.
+FETCH_RUNS_SQL = """
+fetched as (
+  select 'H' || (user_id % 12) hub, ts fetched_at,
+    case when event_type in ('click', 'view') then 'arrivals' else 'departures' end flight_type,
+    cast(cast(ts as date) as timestamp) - to_days(cast(event_id % 7 as int)) + to_hours(4 * (user_id % 6)) slot_start,
+    event_id // 7 % 3 * 50 page_offset, 50 page_limit, 50 + user_id % 120 total_count
+  from events),
+opened as (
+  select *, case when fetched_at - lag(fetched_at) over w <= interval 90 minute then null else fetched_at end opened
+  from fetched window w as (partition by hub order by fetched_at)),
+pages as (
+  select * exclude (opened), max(opened) over (partition by hub order by fetched_at) fetch_run from opened)
+"""
+
+
+def drifted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flight items as text, of which some have a field more or a number where text is declared."""
+    rows = flights_with_id(spark, sf_dir).withColumn("item", F.to_json(flight_item()))
+    more = F.when(
+        F.col("event_type") == "click",
+        F.concat(
+            F.lit('{"MarketingCarrier":{"AirlineID":"ZZ"},"Codeshares":['),
+            F.col("flight_number"), F.lit("],"), F.substr("item", F.lit(2)),
+        ),
+    ).otherwise(F.col("item"))
+    opening = '"FlightStatus":{'
+    updated = F.concat(F.lit(opening + '"Updated":'), (F.col("event_id") % 2 == 0).cast("string"), F.lit(","))
+    more = F.when(F.col("event_id") % 9 == 0, F.replace(more, F.lit(opening), updated)).otherwise(more)
+    return rows.select(F.replace(more, F.lit('"Gate":"G1"'), F.lit('"Gate":1')).alias("item_text"))
+
+
+DEDUP_DELAY = "1 hour"
+_PARTS = 3
+
+
+def timed_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events in three parts, forty days apart by event time, each later than the watermark allows for the one before.
+
+    Of the later parts, every fifth event is late by more than that. The last event of a part is twelve hours after
+    the others, from a user of its own, so that the state of all others can go.
+    """
+    events = table(spark, sf_dir, "events").withColumn("part", (F.col("event_id") % _PARTS).cast("int"))
+    last = events.groupBy("part").agg(F.max("event_id").alias("last_id"))
+    final = F.col("event_id") == F.col("last_id")
+    late = (F.col("part") > 0) & (F.col("event_id") % 5 == 0) & ~final
+    shifted = F.when(late, F.lit(-40)).otherwise(40 * F.col("part"))
+    day = F.col("ts").cast("date").cast("timestamp_ntz")
+    moved = day + F.make_dt_interval(days=shifted, hours=F.when(final, 12).otherwise(0))
+    user = F.when(final, -1 - F.col("part")).otherwise(F.col("user_id"))
+    rows = events.join(last, "part").select("part", user.alias("user_id"), "event_type", moved.alias("ts"))
+    return [rows.filter(F.col("part") == part).drop("part") for part in range(_PARTS)]

@@ -9,6 +9,39 @@ from tarmac.operators.keyed import latest_per_key
 from tarmac.settings import FLIGHT_TYPES, TIME_SLOTS
 
 PAGES_PER_CHUNK = 1000
+#: Fetches further apart belong to two runs. A request's last retry waits a little over an hour.
+RUN_GAP_MINUTES = 90
+
+
+def with_fetch_run(pages: DataFrame, by: list[str], gap_minutes: int = RUN_GAP_MINUTES) -> DataFrame:
+    """Add ``fetch_run``: when the run began that fetched a page.
+
+    A run is a chain of fetches of the same ``by`` (a hub, an endpoint) with no more than ``gap_minutes`` between two
+    of them, whatever the hour. Fetches are first put into slices of that length, of which only the first and the last one
+    matter, so a hub that has been fetched for years is a few rows a day when they are put in order.
+    """
+    since_epoch = F.col("fetched_at") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    slice_no = F.floor(since_epoch.cast("interval second").cast("bigint") / (60 * gap_minutes))
+    sliced = pages.withColumn("slice_no", slice_no)
+    ends = sliced.groupBy(*by, "slice_no").agg(F.min("fetched_at").alias("first"), F.max("fetched_at").alias("last"))
+    order = Window.partitionBy(*by).orderBy("slice_no")
+    # Two fetches of one slice are never too far apart.
+    before = F.lag("last").over(order)
+    opens = before.isNull() | (F.col("first") - before > F.make_dt_interval(mins=F.lit(gap_minutes)))
+    runs = ends.withColumn("opened", F.when(opens, F.col("first")))
+    begun = F.last("opened", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    runs = runs.select(*(F.col(name).alias(f"run_{name}") for name in (*by, "slice_no")), begun.alias("fetch_run"))
+    # The keys are those of the grouping, so that null compares equal to null.
+    same = [F.col(name).eqNullSafe(F.col(f"run_{name}")) for name in (*by, "slice_no")]
+    return sliced.join(runs, same, "left").select(*pages.columns, "fetch_run")
+
+
+def run_spans(runs: DataFrame, days: int) -> DataFrame:
+    """What each run (columns ``fetch_run``, ``hub``) had to fetch: the last ``days`` days up to its own."""
+    last = F.to_date("fetch_run")
+    return runs.select(
+        "fetch_run", "hub", F.date_sub(last, days - 1).alias("first_day"), last.alias("last_day")
+    ).distinct()
 
 
 def latest_totals(pages: DataFrame, group: list[str]) -> DataFrame:
@@ -91,21 +124,28 @@ def page_gaps(pages: DataFrame, group: list[str], limit: int) -> DataFrame:
     return audited.filter(F.col("landed_records") < F.col("expected_records"))
 
 
-def expected_slots(spans: DataFrame, slots: list[str] = TIME_SLOTS) -> DataFrame:
+def expected_slots(
+    spans: DataFrame, slots: list[str] = TIME_SLOTS, by: list[str] = ("hub",)
+) -> DataFrame:
     """Every request a hub's days call for: each day, each slot, each flight type.
 
-    ``spans`` has ``hub``, ``first_day`` and ``last_day``.
+    ``spans`` has ``by``, ``first_day`` and ``last_day``.
     """
     days = F.explode(F.sequence("first_day", "last_day")).alias("day")
     clock = F.explode(F.array(*(F.lit(slot) for slot in slots))).alias("slot")
     kind = F.explode(F.array(*(F.lit(name) for name in FLIGHT_TYPES))).alias("flight_type")
-    return spans.select("hub", days).select("hub", "day", clock).select("*", kind)
+    return spans.select(*by, days).select(*by, "day", clock).select("*", kind)
+
 
+def coverage_gaps(
+    landed: DataFrame, spans: DataFrame, slots: list[str] = TIME_SLOTS, by: list[str] = ("hub",)
+) -> DataFrame:
+    """Expected requests of which no page landed. ``landed`` has ``by``, day, slot, flight_type.
 
-def coverage_gaps(landed: DataFrame, spans: DataFrame, slots: list[str] = TIME_SLOTS) -> DataFrame:
-    """Expected requests of which no page landed. ``landed`` has hub, day, slot, flight_type."""
-    keys = ["hub", "day", "slot", "flight_type"]
-    return expected_slots(spans, slots).join(landed.select(*keys).distinct(), keys, "left_anti")
+    With a run among ``by`` every run is held to its own requests: another run's page does not fill its hole.
+    """
+    keys = [*by, "day", "slot", "flight_type"]
+    return expected_slots(spans, slots, by).join(landed.select(*keys).distinct(), keys, "left_anti")
 
 
 def lookback_spans(hubs: DataFrame, last_day: Column, days: int) -> DataFrame:

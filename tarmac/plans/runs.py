@@ -16,7 +16,6 @@ from tarmac.operators.flatten import reference_items
 from tarmac.operators.quality import valid_rows
 from tarmac.plans import gold
 from tarmac.plans.lake import Lake
-from tarmac.schemas import BRONZE_PAGES
 from tarmac.settings import REFERENCE_RESOURCES, Hub
 from tarmac.sources.landing import good_pages
 from tarmac.streaming import flows
@@ -37,20 +36,19 @@ def ingest_flights(
 
 
 def parse_flights(lake: Lake, max_files: int | None = None) -> None:
-    flows.bronze_to_parsed(
-        lake.spark,
-        lake.bronze_flights,
-        lake.parsed_flights,
-        lake.checkpoint("parsed_flights"),
-        max_files,
-    ).awaitTermination()
+    """Flatten new pages. Fails if the rows parsed are not those valid and those in quarantine."""
+    query = flows.bronze_to_parsed(
+        lake.bronze_flights, lake.parsed_flights, lake.checkpoint("parsed_flights"), max_files
+    )
+    query.awaitTermination()
+    flows.route_counts(query)
 
 
 def merge_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) -> None:
     """Complete rows into the fact, then what follows from every day a batch changed.
 
-    Measures and hourly report are written within the batch, so a batch that is repeated after
-    a failure writes them again.
+    Measures and hourly report are written within the batch. A batch that is repeated after a failure writes
+    them again, and with them every date whose report an earlier attempt left undone.
     """
 
     def merge(batch: DataFrame) -> None:
@@ -59,7 +57,7 @@ def merge_flights(lake: Lake, hub: Hub = Hub(), max_files: int | None = None) ->
             gold.publish_hourly(lake, gold.refresh_days(lake, changed_days, hub))
 
     flows.parsed_to_fact(
-        lake.spark, lake.parsed_flights, merge, lake.checkpoint("fact_flights"), max_files
+        lake.parsed_flights, merge, lake.checkpoint("fact_flights"), max_files
     ).awaitTermination()
 
 
@@ -93,9 +91,8 @@ def ingest_reference(lake: Lake, landing: str, max_files: int | None = None) ->
 def refine_reference(lake: Lake, endpoint: str, max_files: int | None = None) -> None:
     """Merge new pages of one endpoint into its silver table, latest fetch winning."""
     table = lake.reference(endpoint)
-    bronze = lake.bronze_reference(endpoint)
-    pages = good_pages(flows.read_table(lake.spark, bronze, BRONZE_PAGES, max_files))
-    rows = reference_items(pages, endpoint, ["fetched_at"])
+    pages = good_pages(lake.bronze_reference(endpoint).stream(max_files))
+    rows = reference_items(pages, endpoint, ["fetched_at", "file_name"])
 
     def merge(batch: DataFrame) -> None:
         coded = valid_rows(batch, table.keys)
@@ -109,7 +106,7 @@ def refine_reference(lake: Lake, endpoint: str, max_files: int | None = None) ->
 def assemble_airports(lake: Lake) -> None:
     """Join the three tables anew, so a name that arrives late still reaches its airports."""
     tables = {
-        name: lake.reference(name).read().drop("fetched_at", "silver_processed_at")
+        name: lake.reference(name).read().drop("fetched_at", "file_name", "silver_processed_at")
         for name in ("airports", "cities", "countries")
     }
     joined = join_airports(**tables)
@@ -128,12 +125,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("run", choices=["daily", "monthly"])
     parser.add_argument("--landing", required=True, help="folder with the landed JSON pages")
     parser.add_argument("--lake", required=True, help="folder for the tables")
+    parser.add_argument("--database", default="", help="database that holds the tables' names")
     parser.add_argument("--hub", default=Hub.airport)
     parser.add_argument("--timezone", default=Hub.timezone)
     parser.add_argument("--max-files", type=int, help="pages or files per micro-batch")
     parser.add_argument("--archive", help="folder to which landed flight pages move once taken")
     options = parser.parse_args(argv)
-    lake = Lake(SparkSession.builder.getOrCreate(), options.lake)
+    lake = Lake(SparkSession.builder.getOrCreate(), options.lake, options.database)
     if options.run == "daily":
         hub = Hub(options.hub, options.timezone)
         daily(lake, options.landing, hub, options.max_files, options.archive)

@@ -73,7 +73,7 @@ BRONZE_PAGES = (
     " error_type string, error_description string,"
     " file_name string, fetched_at timestamp_ntz, endpoint string, hub string,"
     " flight_type string, slot_start timestamp_ntz, page_offset bigint, page_limit bigint,"
-    " total_count bigint, bronze_ingested_at timestamp"
+    " total_count bigint, bronze_ingested_at timestamp, fetch_day date"
 )
 
 FACT_STORED = (
@@ -90,8 +90,10 @@ _MEASURES = (
     " total_delay_minutes bigint, measured_flights bigint, max_delay_minutes bigint"
 )
 
-HOURLY_PARTS = f"flight_day date, {_HOURLY_KEYS}, {_MEASURES}"
-PERFORMANCE_PARTS = f"flight_day date, {_PERFORMANCE_KEYS}, {_MEASURES}"
+DAY_MEASURES = (
+    f"flight_day date, {_HOURLY_KEYS}, {_PERFORMANCE_KEYS.replace(' direction string,', '')}, {_MEASURES}"
+)
+DAY_DATES = "flight_day date, hub_date string, current boolean, pending boolean"
 
 HOURLY_REPORT = (
     f"{_HOURLY_KEYS}, is_weekend boolean, is_morning_wave boolean, total_flights bigint,"

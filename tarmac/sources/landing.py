@@ -93,6 +93,7 @@ def bronze_pages(pages: DataFrame) -> DataFrame:
         *(value.alias(name) for name, value in lineage.items()),
         "total_count",
         F.current_timestamp().alias("bronze_ingested_at"),
+        F.to_date(lineage["fetched_at"]).alias("fetch_day"),
     )
 
 

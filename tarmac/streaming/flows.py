@@ -8,6 +8,7 @@ merge tolerates.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tarmac.functions.times import as_instant
 from tarmac.operators.flatten import flight_items
 from tarmac.operators.quality import with_route
-from tarmac.schemas import BRONZE_PAGES, FACT_STORED, PARSED_FLIGHTS
+from tarmac.schemas import FACT_STORED
 from tarmac.settings import FLIGHT_KEYS
-from tarmac.sources.keyed_table import KeyedTable
 from tarmac.sources.landing import ANY_AGE, bronze_pages, good_pages, stream_pages
+from tarmac.sources.tables import KeyedTable, StreamTable
 
 
 def append_table(
@@ -53,7 +54,7 @@ def each_batch(
 def read_table(
     spark: SparkSession, path: str, schema: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A Parquet table as a stream of the rows appended to it, however long ago."""
+    """A Parquet folder as a stream of the rows appended to it, however long ago."""
     reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -63,54 +64,88 @@ def read_table(
 def landing_to_bronze(
     spark: SparkSession,
     landing: str,
-    table: str,
+    table: StreamTable,
     checkpoint: str,
     name: str,
     max_files_per_trigger: int | None = None,
     archive: str | None = None,
 ) -> StreamingQuery:
+    """Landed pages into a bronze table by day of fetch, so that audits read only the days they ask for."""
     pages = stream_pages(spark, landing, max_files_per_trigger, archive)
-    return append_table(bronze_pages(pages), table, checkpoint, name)
+    return table.append(bronze_pages(pages), checkpoint, name)
 
 
 def parsed_rows(pages: DataFrame) -> DataFrame:
-    """Good flight pages as rows with a ``route``: whether their key is complete."""
-    rows = flight_items(pages, ["fetched_at", "file_name"])
-    return with_route(rows.withColumn("silver_processed_at", F.current_timestamp()), FLIGHT_KEYS)
+    """Good flight pages as rows with a ``route``: whether their key is complete.
+
+    What was parsed and where it went is counted on the way, see ``route_counts``.
+    """
+    rows = flight_items(pages, ["fetched_at", "file_name"]).observe("parsed", F.count("*").alias("rows"))
+    routed = with_route(rows.withColumn("silver_processed_at", F.current_timestamp()), FLIGHT_KEYS)
+    return routed.observe(
+        "routed",
+        F.count_if(F.col("route") == "valid").alias("valid"),
+        F.count_if(F.col("route") == "quarantine").alias("quarantine"),
+    )
+
+
+@dataclass(frozen=True)
+class RouteCounts:
+    """Rows that one micro-batch parsed, and how many of them went which way."""
+
+    batch: int
+    parsed: int
+    valid: int
+    quarantined: int
+
+
+class RoutesDiffer(RuntimeError):
+    """A batch has parsed rows that are neither valid nor in quarantine, or in both."""
+
+
+def route_counts(query: StreamingQuery) -> list[RouteCounts]:
+    """The counts of a query's recent micro-batches; fails if rows were lost or doubled between parsing and routing."""
+    counts = []
+    for progress in query.recentProgress:
+        seen = {name: row.asDict() for name, row in progress.observedMetrics.items()}
+        if "parsed" not in seen or "routed" not in seen:
+            continue
+        found = RouteCounts(
+            progress.batchId, seen["parsed"]["rows"], seen["routed"]["valid"], seen["routed"]["quarantine"]
+        )
+        if found.valid + found.quarantined != found.parsed:
+            raise RoutesDiffer(str(found))
+        counts.append(found)
+    return counts
 
 
 def bronze_to_parsed(
-    spark: SparkSession,
-    bronze: str,
-    table: str,
-    checkpoint: str,
-    max_files_per_trigger: int | None = None,
+    bronze: StreamTable, table: StreamTable, checkpoint: str, max_files_per_trigger: int | None = None
 ) -> StreamingQuery:
     """Flatten flight pages once, into a table split by route."""
-    pages = good_pages(read_table(spark, bronze, BRONZE_PAGES, max_files_per_trigger))
-    return append_table(parsed_rows(pages), table, checkpoint, "parsed_flights", ["route"])
+    return table.append(parsed_rows(good_pages(bronze.stream(max_files_per_trigger))), checkpoint, "parsed_flights")
 
 
-def quarantine(spark: SparkSession, parsed: str) -> DataFrame:
-    """Rows whose key is incomplete, with the missing columns; reads only their part of the table.
+def quarantine(parsed: DataFrame) -> DataFrame:
+    """Rows whose key is incomplete, with the missing columns; of the table, only their part is read.
 
     ``quarantined_at`` is the time at which the row was routed here.
     """
-    rows = spark.read.schema(PARSED_FLIGHTS).parquet(parsed)
     missing = F.array_compact(F.array(*(F.when(F.col(key).isNull(), key) for key in FLIGHT_KEYS)))
     return (
-        rows.filter(F.col("route") == "quarantine")
+        parsed.filter(F.col("route") == "quarantine")
         .drop("route")
         .withColumnRenamed("silver_processed_at", "quarantined_at")
         .withColumn("quarantine_reason", F.concat(F.lit("no "), F.array_join(missing, ", ")))
     )
 
 
-def fact_table(spark: SparkSession, root: str) -> KeyedTable:
+def fact_table(spark: SparkSession, name: str, path: str) -> KeyedTable:
     """The flight fact: latest fetch wins, stored by UTC day of scheduled departure."""
     return KeyedTable(
         spark,
-        root,
+        name,
+        path,
         FACT_STORED,
         FLIGHT_KEYS,
         ["fetched_at", "file_name"],  # the name decides between pages of the same second
@@ -119,15 +154,13 @@ def fact_table(spark: SparkSession, root: str) -> KeyedTable:
 
 
 def parsed_to_fact(
-    spark: SparkSession,
-    parsed: str,
+    parsed: StreamTable,
     apply: Callable[[DataFrame], None],
     checkpoint: str,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Hand complete rows to ``apply``, normally a merge into the fact."""
-    rows = read_table(spark, parsed, PARSED_FLIGHTS, max_files_per_trigger)
-    valid = rows.filter(F.col("route") == "valid").drop("route")
+    valid = parsed.stream(max_files_per_trigger).filter(F.col("route") == "valid").drop("route")
     return each_batch(valid, apply, checkpoint, "fact_flights")
 
 

@@ -15,7 +15,6 @@ from tarmac.functions.times import as_utc
 from tarmac.operators import audits
 from tarmac.plans import audit, gold, runs
 from tarmac.plans.lake import Lake
-from tarmac.schemas import BRONZE_PAGES
 from tarmac.settings import REFERENCE_RESOURCES
 from tarmac.sources import landing
 from tarmac.streaming import flows
@@ -37,7 +36,7 @@ def test_old_files_are_taken_in_both_layers(spark, lake, tmp_path):
     runs.ingest_flights(lake, folder)
     age(land(folder, flight_page([flight("401")]), "20250310050000"), 30)
     runs.ingest_flights(lake, folder)
-    assert spark.read.schema(BRONZE_PAGES).parquet(lake.bronze_flights).count() == 2
+    assert lake.bronze_flights.read().count() == 2
 
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for batch in range(2):
@@ -58,7 +57,7 @@ def test_taken_files_move_to_the_archive(spark, lake, tmp_path):
         runs.ingest_flights(lake, folder, archive=archive)
         land(folder, flight_page([flight()]), fetched)
     runs.ingest_flights(lake, folder, archive=archive)
-    assert spark.read.schema(BRONZE_PAGES).parquet(lake.bronze_flights).count() == 3
+    assert lake.bronze_flights.read().count() == 3
 
 
 def test_update_without_a_fetch_time_counts_from_its_landing(spark, lake, tmp_path, any_zone):
@@ -127,18 +126,18 @@ def test_hole_of_one_run_is_not_filled_by_another(spark, lake, tmp_path):
         land(f"{folder}/{endpoint}", page, "20250401010000", f"ref_{endpoint}", 0, 100)
     runs.ingest_reference(lake, folder)
     gaps = [tuple(r) for r in audit.missing_reference_pages(lake, "cities").collect()]
-    assert gaps == [(dt.date(2025, 3, 31), "cities", 100, 50, 0)]
+    assert gaps == [(dt.datetime(2025, 4, 1, 1), "cities", 100, 50, 0)]
 
 
 def test_moved_flight_is_no_repeat_and_odd_limits_are_findings(spark, lake, tmp_path):
     folder = str(tmp_path / "landing")
-    for fetched, offset in (("20250310220000", 0), ("20250311001000", 50), ("20250311220000", 50)):
+    for fetched, offset in (("20250310230000", 0), ("20250311001000", 50), ("20250311220000", 50)):
         land(folder, flight_page([flight()], total=60), fetched, offset=offset)
     land(folder, flight_page([flight("9")], total=60), "20250311220001", limit=1000000000000)
     runs.ingest_flights(lake, folder)
     dupes = {r.fetch_run: r.repeated_keys for r in audit.flight_page_duplicates(lake).collect()}
     # The first run goes on past midnight and does repeat the flight; the next one only moved it.
-    assert dupes == {dt.date(2025, 3, 10): 1, dt.date(2025, 3, 11): 0}
+    assert dupes == {dt.datetime(2025, 3, 10, 23): 1, dt.datetime(2025, 3, 11, 22): 0}
     assert audit.missing_flight_pages(lake).count() == 1
     assert [r.page_limit for r in audit.odd_flight_limits(lake).collect()] == [1000000000000]
 
@@ -158,31 +157,92 @@ def test_report_is_written_for_changed_dates_only(spark, lake, tmp_path):
     first = [flight(scheduled=f"2025-03-{d}T08:00Z", actual=f"2025-03-{d}T08:05Z", status="Landed") for d in (10, 11, 12)]
     land(folder, flight_page(first), "20250312120000")
     runs.daily(lake, folder)
-    before = lake.airport_hourly.versions()
+    stamps = lambda: {str(r.scheduled_date): r.gold_processed_at for r in lake.airport_hourly.read().collect()}
+    before = stamps()
     assert sorted(before) == ["2025-03-10", "2025-03-11", "2025-03-12"]
     changed = flight(scheduled="2025-03-11T08:00Z", actual="2025-03-11T09:00Z", status="Landed")
     land(folder, flight_page([changed]), "20250313120000")
     runs.daily(lake, folder)
-    after = lake.airport_hourly.versions()
+    after = stamps()
     assert [d for d in after if after[d] != before[d]] == ["2025-03-11"]
     rows = sorted(tuple(r) for r in lake.airport_hourly.read().drop("gold_processed_at").collect())
     full = gold.airport_hourly(lake.fact.read()).drop("gold_processed_at")
     assert rows == sorted(tuple(r) for r in full.collect())
 
 
-def test_second_writer_fails(spark, lake, monkeypatch):
-    row = spark.createDataFrame(
-        [("X1", "1", dt.datetime(2025, 3, 1, 8))],
-        "airline_id string, flight_number string, scheduled_departure_utc timestamp_ntz",
-    )
-    lake.fact.upsert(row)
-    newest = iter([0, 1])
-    monkeypatch.setattr(type(lake.fact), "_newest", lambda self: next(newest))
-    with pytest.raises(RuntimeError):
-        lake.fact.upsert(row)
-
-
 def test_pieces_above_the_limit_do_not_cover(spark):
     pages = spark.createDataFrame([("g", 0, 10**12), ("g", 0, 50)], "g string, page_offset long, page_limit long")
     assert [tuple(r) for r in audits.page_coverage(pages, ["g"], 50).collect()] == [("g", 0, 50)]
     assert audits.odd_limits(pages, ["g"], 50).count() == 1
+
+
+def test_runs_are_told_apart_by_the_pause_between_fetches(spark, lake, tmp_path):
+    """A run over noon is one run; two runs of one evening are two, each with its own holes."""
+    folder = str(tmp_path / "landing")
+
+    def page(fetched, offset, total):
+        land(folder, flight_page([flight(str(offset))], total=total), fetched, offset=offset)
+
+    page("20250310115900", 0, 100)
+    page("20250310120100", 50, 100)
+    page("20250310200000", 0, 100)
+    page("20250310200100", 50, 100)
+    page("20250310223000", 0, 100)
+    runs.ingest_flights(lake, folder)
+    gaps = [(r.fetch_run, r.page_offset) for r in audit.missing_flight_pages(lake).collect()]
+    assert gaps == [(dt.datetime(2025, 3, 10, 22, 30), 50)]
+
+
+def test_runs_are_chains_per_hub_and_do_not_depend_on_slices(spark):
+    start = dt.datetime(2025, 3, 10)
+    minutes = {"A": [0, 89, 178, 269, 400], "B": [0, 91, 92], None: [5]}
+    rows = [(hub, start + dt.timedelta(minutes=m)) for hub, ms in minutes.items() for m in ms for _ in range(2)]
+    found = audits.with_fetch_run(spark.createDataFrame(rows, "hub string, fetched_at timestamp_ntz"), ["hub"])
+    minute = lambda t: (t - start).seconds // 60
+    got = {(r.hub, minute(r.fetched_at), minute(r.fetch_run)) for r in found.collect()}
+    assert found.count() == len(rows)
+    assert got == {
+        ("A", 0, 0), ("A", 89, 0), ("A", 178, 0), ("A", 269, 269), ("A", 400, 400),
+        ("B", 0, 0), ("B", 91, 91), ("B", 92, 91), (None, 5, 5),
+    }
+
+
+def test_audits_of_late_runs_see_whole_runs(spark, lake, tmp_path):
+    folder = str(tmp_path / "landing")
+    for fetched, offset in (("20250310233000", 0), ("20250311003000", 50), ("20250312120000", 50)):
+        land(folder, flight_page([flight()], total=100), fetched, offset=offset)
+    runs.ingest_flights(lake, folder)
+    # The first run began before midnight and is complete; only the second one is asked for and lacks a page.
+    gaps = audit.missing_flight_pages(lake, since=dt.datetime(2025, 3, 11)).collect()
+    assert [(r.fetch_run, r.page_offset) for r in gaps] == [(dt.datetime(2025, 3, 12, 12), 0)]
+
+
+def test_page_of_another_run_does_not_fill_a_runs_hole(spark, lake, tmp_path):
+    folder = str(tmp_path / "landing")
+    slots = [f"2025-03-{d:02d}T{h}00" for d in range(4, 11) for h in ("00", "04", "08", "12", "16", "20")]
+    for n, prefix in enumerate(f"FRA_{kind}_{slot}" for slot in slots for kind in ("arrivals", "departures")):
+        for fetched in ("20250310200000", "20250310230000"):
+            if (fetched, n) not in (("20250310200000", 5), ("20250310230000", 7)):
+                land(folder, flight_page([flight()]), fetched, prefix)
+    runs.ingest_flights(lake, folder)
+    assert audit.missing_slots(lake, dt.date(2025, 3, 10)).count() == 0
+    holes = {r.fetch_run.hour: (str(r.day), r.slot, r.flight_type) for r in audit.missing_slots_by_run(lake).collect()}
+    assert holes == {20: ("2025-03-04", "08:00", "departures"), 23: ("2025-03-04", "12:00", "departures")}
+
+
+def test_audits_read_only_the_days_asked_for(spark, lake, tmp_path):
+    folder = str(tmp_path / "landing")
+    for day in range(1, 9):
+        land(folder, flight_page([flight()], total=100), f"2025030{day}120000")
+    runs.ingest_flights(lake, folder)
+    since = dt.datetime(2025, 3, 7)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    for frame in (
+        audit.missing_flight_pages(lake, since),
+        audit.missing_slots_by_run(lake, since),
+        audit.flight_page_duplicates(lake, since),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(fetch_day" in plan and "fetch_day" in plan.split("PartitionFilters")[1]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert {r.fetch_run.day for r in audit.missing_flight_pages(lake, since).collect()} == {7, 8}

@@ -9,10 +9,9 @@ from pages import flight, flight_page, land, named, reference_page
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tarmac.operators.metrics import SUMMED
 from tarmac.plans import audit, gold, runs
 from tarmac.plans.lake import Lake
-from tarmac.schemas import BRONZE_PAGES, FACT_COLUMNS
+from tarmac.schemas import DAY_MEASURES, FACT_COLUMNS, FACT_STORED
 from tarmac.settings import REFERENCE_RESOURCES, Hub
 from tarmac.sources import landing
 from tarmac.streaming import flows
@@ -53,12 +52,11 @@ def test_daily_run_in_three_batches(spark, lake, tmp_path):
     assert (row.flight_status_desc, row.actual_departure_utc.minute) == ("Flight Departed", 20)
     hourly = lake.airport_hourly.read().first()
     assert (hourly.scheduled_hour, hourly.total_flights, hourly.total_delay_minutes) == (9, 1, 20)
-    assert flows.quarantine(spark, lake.parsed_flights).count() == 2
-    bronze = spark.read.schema(BRONZE_PAGES).parquet(lake.bronze_flights)
+    assert flows.quarantine(lake.parsed_flights.read()).count() == 2
+    bronze = lake.bronze_flights.read()
     assert [r.page_status for r in landing.rejected_pages(bronze).collect()] == ["proxy_error"]
 
     # An older page that lands late changes nothing; another day leaves this one alone.
-    versions = lake.fact.versions()
     land(folder, flight_page(flight(status="Boarding")), "20250310060000")
     next_day = flight(scheduled="2025-03-11T08:00Z", actual="2025-03-11T08:00Z", status="Landed")
     land(folder, flight_page([next_day]), "20250311120000")
@@ -66,8 +64,7 @@ def test_daily_run_in_three_batches(spark, lake, tmp_path):
     fact = lake.fact.read()
     assert fact.filter("flight_number = '400'").count() == 2
     assert fact.filter("flight_status_desc = 'Boarding'").count() == 0
-    assert set(lake.fact.versions()) == {"2025-03-10", "2025-03-11"}
-    assert lake.fact.versions()["2025-03-10"] > versions["2025-03-10"]
+    assert set(lake.fact.parts()) == {"2025-03-10", "2025-03-11"}
     assert lake.airport_hourly.read().count() == 2
 
     # Day by day and all at once agree.
@@ -119,7 +116,7 @@ def test_valid_and_quarantined_rows_make_up_the_input(spark, lake, tmp_path):
     land(folder, flight_page([]), "20250310040001")  # an empty page is one empty row
     runs.daily(lake, folder)
     assert lake.fact.read().count() == 1
-    assert flows.quarantine(spark, lake.parsed_flights).count() == 5
+    assert flows.quarantine(lake.parsed_flights.read()).count() == 5
 
 
 def test_repeating_a_batch_is_a_no_op(spark, lake):
@@ -251,38 +248,78 @@ def test_stream_deduplication(spark, tmp_path, bounded):
     assert [r.status for r in spark.read.parquet(out).collect()] == ["Scheduled"]
 
 
-def test_only_touched_parts_are_rewritten(spark, lake):
-    def rows(*days):
-        return spark.createDataFrame(
-            [("X1", "1", dt.datetime(2025, 3, day, 8)) for day in days],
-            "airline_id string, flight_number string, scheduled_departure_utc timestamp_ntz",
-        )
+FACT_ROW = "airline_id string, flight_number string, scheduled_departure_utc timestamp_ntz"
+
+
+def fact_rows(spark, *days, number="1"):
+    return spark.createDataFrame([("X1", number, dt.datetime(2025, 3, day, 8)) for day in days], FACT_ROW)
 
+
+def test_only_touched_parts_are_rewritten(spark, lake):
     fact = lake.fact
     assert not fact.exists()
-    assert sorted(fact.upsert(rows(1, 2))) == ["2025-03-01", "2025-03-02"]
+    assert sorted(fact.upsert(fact_rows(spark, 1, 2))) == ["2025-03-01", "2025-03-02"]
     assert fact.exists()
-    assert fact.upsert(rows(2)) == ["2025-03-02"]
-    assert fact.versions() == {"2025-03-01": 1, "2025-03-02": 2}
-    assert [path.rsplit("/", 2)[1:] for path in fact.stale_paths()] == [
-        ["version=1", "part=2025-03-02"]
-    ]
-    assert fact.read(["2025-03-02"]).count() == 1 and fact.read().count() == 2
-    assert fact.upsert(rows()) == []
+    before = {day: fact.read([day]).inputFiles() for day in fact.parts()}
+    assert fact.upsert(fact_rows(spark, 2, number="2")) == ["2025-03-02"]
+    after = {day: fact.read([day]).inputFiles() for day in fact.parts()}
+    assert after["2025-03-01"] == before["2025-03-01"] and after["2025-03-02"] != before["2025-03-02"]
+    assert fact.read(["2025-03-02"]).count() == 2 and fact.read().count() == 3
+    assert fact.upsert(fact_rows(spark)) == []
+
+
+def test_only_wanted_parts_are_read(spark, lake):
+    lake.fact.upsert(fact_rows(spark, 1, 2, 3))
+    assert len(lake.fact.read(["2025-03-02"]).inputFiles()) < len(lake.fact.read().inputFiles())
+
+
+def test_merge_that_dies_while_partitions_are_exchanged_is_finished(spark, lake, monkeypatch):
+    fact = lake.fact
+    fact.upsert(fact_rows(spark, 1, 2))
+
+    def die_half_way(self, rows, counts=()):
+        # What an exchange that was cut off leaves: a day that is gone.
+        fact._no_rows().createOrReplaceTempView("tarmac_no_rows")
+        spark.sql(f"insert overwrite table {fact.name} partition (part = '2025-03-01') select * from tarmac_no_rows")
+        raise RuntimeError("lost the driver")
 
+    with monkeypatch.context() as broken:
+        broken.setattr(type(fact), "_overwrite", die_half_way)
+        with pytest.raises(RuntimeError, match="lost the driver"):
+            fact.upsert(fact_rows(spark, 1, 2, number="2"))
+    assert fact.read(["2025-03-01"]).count() == 0
+    fact.upsert(fact_rows(spark, 3))
+    assert as_rows(fact.read().groupBy("flight_number").count()) == [("1", 3), ("2", 2)]
+
+
+def test_table_is_found_again_by_a_catalog_that_forgot_it(spark, lake):
+    lake.fact.upsert(fact_rows(spark, 1, 2))
+    spark.sql(f"drop table {lake.fact.name}")
+    assert lake.fact.read(["2025-03-01"]).count() == 1 and lake.fact.read().count() == 2
+
+
+def test_tables_have_names(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), "airline_test")
+    land(str(tmp_path / "landing"), flight_page([flight(actual="2025-03-10T08:20Z")]), "20250310100000")
+    runs.daily(lake, str(tmp_path / "landing"))
+    for name, rows in (("bronze_flight_status", 1), ("parsed_flights", 1), ("fact_flights", 1)):
+        assert spark.read.table(f"airline_test.{name}").count() == rows
+    assert spark.sql("select total_flights from airline_test.gold_airport_hourly_operations").first()[0] == 1
+    stream = spark.readStream.table("airline_test.bronze_flight_status")
+    assert stream.isStreaming and "page_text" in stream.columns
+
+
+def test_dynamic_overwrite_leaves_the_session_alone(spark, lake):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    lake.fact.upsert(fact_rows(spark, 1))
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
 
-def test_unfinished_write_is_invisible(spark, lake):
-    schema = "airline_id string, flight_number string, scheduled_departure_utc timestamp_ntz"
-    row = spark.createDataFrame([("X1", "1", dt.datetime(2025, 3, 1, 8))], schema)
-    other = spark.createDataFrame([("X1", "2", dt.datetime(2025, 3, 1, 9))], schema)
+
+def test_part_without_rows_becomes_empty(spark, lake):
     fact = lake.fact
-    fact.upsert(row)
-    # Data of a version that was never committed, as a lost driver leaves it.
-    half = fact.read().withColumn("part", F.lit("2025-03-01"))
-    half.write.partitionBy("part").parquet(f"{fact.root}/data/version=2")
-    assert fact.read().count() == 1
-    fact.upsert(other)
-    assert fact.read().count() == 2
+    fact.upsert(fact_rows(spark, 1, 2))
+    fact.replace(spark.createDataFrame([], FACT_STORED), ["2025-03-01"])
+    assert fact.read().count() == 1 and fact.read(["2025-03-01"]).count() == 0
 
 
 def test_audits_over_bronze(spark, lake, tmp_path):
@@ -363,11 +400,100 @@ def test_rebuild_for_another_hub(spark, lake, tmp_path):
 
 
 def test_replacing_parts_takes_only_their_rows(spark, lake):
-    row = spark.createDataFrame(
-        [(dt.date(2025, 3, 1), dt.date(2025, 3, 1), 8, "Arrival")],
-        "flight_day date, scheduled_date date, scheduled_hour int, direction string",
-    )
-    zero = {name: F.lit(0).cast("bigint") for name in (*SUMMED, "max_delay_minutes")}
-    with pytest.raises(ValueError, match="2025-03-01"):
-        lake.hourly_parts.replace(row.withColumns(zero), ["2025-03-02"])
-    assert lake.hourly_parts.versions() == {}
+    names = [field.split()[0] for field in DAY_MEASURES.split(", ")]
+    row = spark.range(1).select(F.lit(dt.date(2025, 3, 1)).alias("flight_day"))
+    row = row.select("*", *(F.lit(None).alias(name) for name in names if name != "flight_day"))
+    with pytest.raises(Exception, match="outside the replaced parts: 2025-03-01"):
+        lake.day_measures.replace(row, ["2025-03-02"])
+    assert lake.day_measures.parts() == []
+
+
+@pytest.mark.parametrize("place", ["first_mark", "measures", "second_mark", "report", "last_mark"])
+def test_flight_that_moves_while_the_driver_dies_leaves_no_old_date(spark, lake, tmp_path, monkeypatch, place):
+    """A flight moves from hub date 10 to 11 and the batch dies anywhere between fact and report, and is repeated."""
+    folder = str(tmp_path / "landing")
+    keys = {"scheduled": "2025-03-10T22:30Z", "Departure__AirportCode": "JFK", "Arrival__AirportCode": "FRA"}
+
+    def arrival(day, status):
+        clock = {"Arrival__ScheduledTimeUTC": {"DateTime": f"2025-03-{day}T11:00Z"}, "Arrival__ActualTimeUTC": {"DateTime": f"2025-03-{day}T11:05Z"}}
+        return flight(actual="2025-03-10T22:30Z", status=status, **keys, **clock)
+
+    land(folder, flight_page([arrival(10, "Landed")]), "20250310230000")
+    runs.daily(lake, folder)
+    dates = lambda: sorted(str(r.scheduled_date) for r in lake.airport_hourly.read().collect())
+    assert dates() == ["2025-03-10"]
+
+    def die(*_, **__):
+        raise RuntimeError("lost the driver")
+
+    land(folder, flight_page([arrival(11, "Landed")]), "20250311230000")
+    with monkeypatch.context() as broken:
+        if place == "report":
+            broken.setattr(gold.metrics, "hourly_report", die)
+        elif place == "measures":
+            broken.setattr(gold, "day_measures", die)
+        else:
+            calls, upsert = [], type(lake.day_dates).upsert
+
+            def mark(table, *arguments):
+                if table.name.endswith("day_dates"):
+                    calls.append(1)
+                    if len(calls) == 1 + ["first_mark", "second_mark", "last_mark"].index(place):
+                        die()
+                return upsert(table, *arguments)
+
+            broken.setattr(type(lake.day_dates), "upsert", mark)
+        with pytest.raises(StreamingQueryException):
+            runs.daily(lake, folder)
+    assert lake.fact.read().first().scheduled_arrival_utc.day == 11
+    runs.daily(lake, folder)
+    assert dates() == ["2025-03-11"]
+    assert gold.pending_dates(lake) == []
+    full = gold.airport_hourly(lake.fact.read()).drop("gold_processed_at")
+    assert as_rows(full) == gold_without_stamp(lake.airport_hourly)
+
+
+def test_measures_of_other_days_are_not_read_for_a_date(spark, lake, tmp_path, monkeypatch):
+    folder = str(tmp_path / "landing")
+    days = [flight(scheduled=f"2025-03-{d}T08:00Z", actual=f"2025-03-{d}T08:05Z", status="Landed") for d in range(10, 20)]
+    land(folder, flight_page(days), "20250320120000")
+    runs.daily(lake, folder)
+    read, asked = type(lake.day_measures).read, []
+
+    def noted(table, parts=None):
+        if table.name.endswith("day_measures"):
+            asked.append(parts)
+        return read(table, parts)
+
+    monkeypatch.setattr(type(lake.day_measures), "read", noted)
+    gold.publish_hourly(lake, ["2025-03-12"])
+    assert asked == [["2025-03-12"]]
+
+
+def test_counts_of_parsed_rows_are_kept_and_compared(spark, lake, tmp_path, monkeypatch):
+    folder = str(tmp_path / "landing")
+    land(folder, flight_page([flight(), flight(None), flight("3")]), "20250310040000")
+    runs.ingest_flights(lake, folder)
+    query = flows.bronze_to_parsed(lake.bronze_flights, lake.parsed_flights, lake.checkpoint("parsed_flights"))
+    query.awaitTermination()
+    assert [(c.parsed, c.valid, c.quarantined) for c in flows.route_counts(query)] == [(3, 2, 1)]
+
+    # A route of its own kind is neither valid nor in quarantine.
+    monkeypatch.setattr(flows, "with_route", lambda rows, keys: rows.withColumn("route", F.lit("elsewhere")))
+    land(folder, flight_page([flight("4")]), "20250310050000")
+    runs.ingest_flights(lake, folder)
+    with pytest.raises(flows.RoutesDiffer, match="parsed=1"):
+        runs.parse_flights(lake)
+
+
+def test_reference_pages_of_one_second_are_decided_by_name(spark, lake, tmp_path):
+    folder = str(tmp_path / "reference")
+    for offset, name in ((0, "Zulu"), (100, "Alpha")):
+        page = reference_page("CityResource", "Cities", "City", [named("CityCode", "A", name)])
+        land(f"{folder}/cities", page, "20250301020000", "ref_cities", offset, 100)
+    for endpoint in REFERENCE_RESOURCES:
+        land(f"{folder}/{endpoint}", {"message": "busy"}, "20250301010000", f"ref_{endpoint}", 0, 100)
+    runs.ingest_reference(lake, folder)
+    runs.refine_reference(lake, "cities")
+    # By their values alone, Zulu would be the greater row.
+    assert [r.city_name for r in lake.reference("cities").read().collect()] == ["Alpha"]
