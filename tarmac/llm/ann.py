@@ -10,10 +10,10 @@ seen a leaf of every tree. So the work of a query grows with the table: vectors
 need a share of it, whatever its size. Leaves that get more than ``LEAF_ROWS`` in a table far larger than the
 sample only make the share coarser: a tree has about ten thousand leaves then.
 
-Neighbouring leaves of a tree form a bucket. Buckets meet their queries by a grouped join: one with
-very many rows is cut into parts of ``PART_ROWS``, one with very many queries into shares. Each scores
-the leaves that a query chose exactly, in double precision, and passes on one row with the query's
-best, which are merged per query at the end.
+Points, each with its leaf in every tree, are dealt by a hash of their id into parts of ``PART_ROWS``, queries into shares
+of ``PART_QUERIES``; a part meets a share in one task, so all tasks are of one size. There a query's
+candidates are the points that lie in any leaf it chose. Each is scored once, exactly, in double precision, however
+many trees led to it, and points in other leaves not at all. The best of every part are merged per query.
 
 Inner products are not distances, so all vectors get one more component that makes them equally
 long (queries get zero); then the largest inner product is the smallest angle.
@@ -34,7 +34,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,13 +43,14 @@ from tarmac.llm.common import stored
 K = 20
 TREES = 10
 LEAF_ROWS = 100
-SEARCH_ROWS = 30_000
-#: Of the rows of all trees. Recall measured for it is in the README.
-SEARCH_SHARE = 0.06
-BUCKET_LEAVES = 128
+SEARCH_ROWS = 4000
+#: Of the rows of all trees. Recall measured for it, and the share of all points that it scores, are in the README.
+SEARCH_SHARE = 0.07
 SAMPLE_ROWS = 20_000
-PART_ROWS = 50_000
-PART_QUERIES = 4000
+PART_ROWS = 20_000
+PART_QUERIES = 2000
+#: Queries that one task searches for.
+TASK_QUERIES = 100
 _SEED = 20
 
 
@@ -128,9 +128,8 @@ class Forest:
     longest: float  # length to which vectors are brought
 
     def first_leaves(self) -> np.ndarray:
-        """First leaf number of each tree; no bucket holds leaves of two trees."""
-        buckets = [-(-t.leaves // BUCKET_LEAVES) for t in self.trees]
-        return np.concatenate([[0], np.cumsum(buckets)]) * BUCKET_LEAVES
+        """First leaf number of each tree, and the number of all leaves."""
+        return np.concatenate([[0], np.cumsum([t.leaves for t in self.trees])])
 
     def points(self, vectors: np.ndarray) -> np.ndarray:
         rest = np.maximum(self.longest**2 - (vectors**2).sum(1), 0)
@@ -168,8 +167,11 @@ def budget(points: int, trees: int, k: int, search_rows: int, search_share: floa
     return max(search_rows, trees * (k + 1), math.ceil(search_share * trees * points))
 
 
-def _matrix(column) -> np.ndarray:
-    return np.stack(column).astype(np.float64)
+def _matrix(column: pa.Array | pa.ChunkedArray, kind: type = np.float64) -> np.ndarray:
+    """Lists of equal length without nulls as rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return np.asarray(column.flatten(), kind).reshape(len(column), -1)
 
 
 def fit(points: DataFrame, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> tuple[Forest, int]:
@@ -179,82 +181,76 @@ def fit(points: DataFrame, trees: int = TREES, leaf_rows: int = LEAF_ROWS) -> tu
     ).first()
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     sample = points.where(draw < min(1.0, SAMPLE_ROWS / max(count, 1)) * (1 << 30)).orderBy("id")
-    rows = sample.limit(2 * SAMPLE_ROWS).select("vector").toArrow().to_pandas()
-    if not len(rows):
+    rows = sample.limit(2 * SAMPLE_ROWS).select("vector").toArrow()
+    if not rows.num_rows:
         return Forest([Tree(np.zeros((0, 1)), np.zeros(0), np.zeros((0, 2), np.int64), 1)] * trees, 1.0), count
     forest = Forest([], float(np.sqrt(longest)))
-    known = forest.points(_matrix(rows["vector"]))
+    known = forest.points(_matrix(rows.column("vector")))
     leaf = max(2, int(leaf_rows * len(known) / count))
     forest.trees = [grow(known, leaf, np.random.default_rng(_SEED + i)) for i in range(trees)]
     return forest, count
 
 
 def _index(forest):
-    """A row for each point and tree, with the point's leaf."""
+    """Every point with its leaf in each tree."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 2000):
                 batch = whole.slice(i, 2000)
-                vectors = _matrix(batch.column("vector").to_numpy(zero_copy_only=False))
-                leaves = forest.value.leaves_of(vectors)
-                for tree in range(leaves.shape[1]):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(leaves[:, tree], pa.int64()), *[batch.column(c) for c in ("id", "vector")]],
-                        ["leaf", "id", "vector"],
-                    )
+                leaves = forest.value.leaves_of(_matrix(batch.column("vector")))
+                yield pa.RecordBatch.from_arrays([*batch.columns, _lists(leaves)], ["id", "vector", "leaves"])
 
     return index
 
 
-def _probe(forest, sizes, enough: int):
-    """A row for each query and bucket to look into, with the bucket's leaves."""
+def _lists(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel(), pa.int32()))
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _search(forest, sizes, enough: int):
+    """Every query with the leaves to look into."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for i in range(0, whole.num_rows, 500):
-                batch = whole.slice(i, 500)
-                take, buckets, leaves = [], [], []
-                for row, vector in enumerate(_matrix(batch.column("vector").to_numpy(zero_copy_only=False))):
-                    found = np.sort(forest.value.search(vector, sizes.value, enough))
-                    bucket, first = np.unique(found // BUCKET_LEAVES, return_index=True)
-                    take += [row] * len(bucket)
-                    buckets.append(bucket)
-                    leaves += np.split(found, first[1:])
-                take = pa.array(take, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(buckets)),
-                        pa.array(leaves, pa.list_(pa.int64())),
-                        *[batch.column(c).take(take) for c in ("id", "vector")],
-                    ],
-                    ["bucket", "leaves", "id", "vector"],
-                )
-
-    return probe
+            for i in range(0, whole.num_rows, TASK_QUERIES):
+                batch = whole.slice(i, TASK_QUERIES)
+                found = [forest.value.search(v, sizes.value, enough) for v in _matrix(batch.column("vector"))]
+                leaves = pa.array(found, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, leaves], ["id", "vector", "leaves"])
+
+    return search
 
 
 def _score(k: int):
-    """For each query of a part the best k points in the leaves it chose, and those that tie with the last."""
-
-    def score(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(points) and len(queries):
-            points = points.sort_values(["leaf", "id"])
-            vectors, ids = _matrix(points["vector"]), points["id"].to_numpy()
-            leaves, column = np.unique(points["leaf"].to_numpy(), return_inverse=True)
-            for i in range(0, len(queries), 128):
-                part = queries.iloc[i : i + 128]
-                asked = _matrix(part["vector"])
-                chosen = np.stack([np.isin(leaves, x) for x in part["leaves"]])
-                scores = np.where(chosen[:, column], asked @ vectors.T, -np.inf)
-                for query, vector, row in zip(part["id"], asked, scores):
-                    least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-                    best = np.flatnonzero((row >= least - 1e-9) & (row > -np.inf))
-                    # One sum per pair, so that a point scores the same in every tree.
-                    exact = (vectors[best] * vector).sum(1)
-                    out.append((query, ids[best], exact))
-        return pd.DataFrame(out, columns=["query", "ids", "scores"])
+    """For each query of a share the best k points of a part, and those that tie with the last."""
+
+    def score(points: pa.Table, queries: pa.Table) -> pa.Table:
+        found = []
+        if points.num_rows and queries.num_rows:
+            vectors, ids = _matrix(points.column("vector")), points.column("id").to_numpy()
+            leaves = _matrix(points.column("leaves"), np.int32)
+            asked, names = _matrix(queries.column("vector")), queries.column("id").to_numpy()
+            wanted = np.zeros(int(leaves.max()) + 1, bool)
+            for row, chosen in enumerate(queries.column("leaves")):
+                chosen = np.asarray(chosen.values, np.int32)
+                chosen = chosen[chosen < len(wanted)]
+                wanted[chosen] = True
+                candidates = np.flatnonzero(wanted[leaves].any(axis=1))
+                wanted[chosen] = False
+                if not len(candidates):
+                    continue
+                near = vectors[candidates]
+                scores = near @ asked[row]
+                least = np.partition(scores, -k)[-k] if len(scores) > k else -np.inf
+                best = np.flatnonzero(scores >= least - 1e-9 * max(1.0, abs(least)) if len(scores) > k else scores == scores)
+                # One sum per pair, which does not depend on what else is in the part.
+                exact = (near[best] * asked[row]).sum(axis=1)
+                found.append((np.full(len(best), names[row]), ids[candidates[best]], exact))
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0)] * 3
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["query", "id", "score"])
 
     return score
 
@@ -292,53 +288,35 @@ def nearest(
 
     forest, count = fit(points, trees, leaf_rows)
     shared = spark.sparkContext.broadcast(forest)
-    # Read twice: for the leaf sizes and for the search.
     vector_type = dict(points.dtypes)["vector"]
-    indexed = points.select("id", "vector").mapInArrow(_index(shared), f"leaf long, id long, vector {vector_type}")
-    counts = indexed.groupBy("leaf").count().collect()  # one number per leaf of the fitted forest
+    with_leaves = f"id long, vector {vector_type}, leaves array<int>"
+    indexed = stored(points.select("id", "vector").mapInArrow(_index(shared), with_leaves), "indexed")
+    # One number per leaf of the fitted forest.
     sizes = np.zeros(int(forest.first_leaves()[-1]), np.int64)
-    for leaf, n in counts:
+    for leaf, n in indexed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
         sizes[leaf] = n
-    counts = np.add.reduceat(sizes, np.arange(0, len(sizes), BUCKET_LEAVES))
-    wide = {i: -(-int(n) // PART_ROWS) for i, n in enumerate(counts) if n > PART_ROWS}
-    parts = F.coalesce(*[F.when(F.col("bucket") == i, n) for i, n in wide.items()], F.lit(1))
 
+    asking = groups.count()
     enough = budget(count, trees, k, search_rows, search_share)
-    probes = groups.select("id", "vector").mapInArrow(
-        _probe(shared, spark.sparkContext.broadcast(sizes), enough),
-        f"bucket long, leaves array<long>, id long, vector {vector_type}",
-    )
-    rows = indexed.withColumn("bucket", F.floor(F.col("leaf") / BUCKET_LEAVES))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("id"), parts))
-    probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    # A bucket that very many queries ask for is cut by the queries as well.
-    asks = probes.groupBy("bucket").agg(F.ceil(F.count("*") / PART_QUERIES).alias("shares")).where("shares > 1")
-    asks = stored(asks, "asks")
-    cut = lambda name: asks.select(F.col("bucket").alias(f"{name}_bucket"), F.col("shares").alias(name))
     probes = (
-        probes.join(cut("q"), F.col("bucket") == F.col("q_bucket"), "left")
-        .withColumn("share", F.pmod(F.xxhash64("id", F.lit("q")), F.coalesce("q", F.lit(1))))
-        .select("bucket", "part", "share", "leaves", "id", "vector")
-    )
-    all_shares = F.sequence(F.lit(0).cast("long"), F.coalesce("p", F.lit(1)) - 1)
-    rows = (
-        rows.join(cut("p"), F.col("bucket") == F.col("p_bucket"), "left")
-        .withColumn("share", F.explode(all_shares))
-        .select("bucket", "part", "share", "leaf", "id", "vector")
+        groups.select("id", "vector")
+        .repartition(max(1, -(-asking // TASK_QUERIES)))
+        .mapInArrow(_search(shared, spark.sparkContext.broadcast(sizes), enough), with_leaves)
     )
-    keys = ["bucket", "part", "share"]
+    parts, shares = max(1, -(-count // PART_ROWS)), max(1, -(-asking // PART_QUERIES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    one_of = lambda n: F.pmod(F.xxhash64("id", F.lit("dealt")), F.lit(n)).cast("int")
+    rows = indexed.withColumn("part", one_of(parts)).withColumn("share", every(shares))
+    probes = probes.withColumn("share", one_of(shares)).withColumn("part", every(parts))
     found = (
-        rows.groupBy(*keys)
-        .cogroup(probes.groupBy(*keys))
-        .applyInPandas(_score(k + 1), "query long, ids array<long>, scores array<double>")
+        rows.groupBy("part", "share")
+        .cogroup(probes.groupBy("part", "share"))
+        .applyInArrow(_score(k + 1), "query long, id long, score double")
     )
-    pairs = F.zip_with("scores", "ids", lambda s, i: F.struct((-s).alias("less"), i.alias("id")))
-    best = found.groupBy("query").agg(F.flatten(F.collect_list(pairs)).alias("all"))
-    best = best.select("query", F.explode(F.slice(F.array_sort(F.array_distinct("all")), 1, k + 1)).alias("best"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    best = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
     copies = points.select("id", "ids")
-    listed = best.join(copies, F.col("best.id") == F.col("id")).select(
-        "query", (-F.col("best.less")).alias("score"), F.explode("ids").alias("vec_id")
-    )
+    listed = best.join(copies, "id").select("query", "score", F.explode("ids").alias("vec_id"))
     members = asked.join(groups, "vector").select("query_id", F.col("id").alias("query"))
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
