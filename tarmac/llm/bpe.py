@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import byte_slices
+from tarmac.llm.common import byte_slices, runs_of
 
 CACHE_BYTES = 48 << 20
 SLICE_BYTES = 2 << 20
@@ -412,7 +412,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
         for batch in batches:
             lists = batch.column(ids_col)
             counts = np.asarray(lists.value_lengths().fill_null(0), np.int64)
-            for low, high in _runs(counts, SLICE_BYTES // 8):
+            for low, high in runs_of(counts, SLICE_BYTES // 8):
                 ids = np.asarray(lists.slice(low, high - low).flatten(), np.int64)
                 sizes = starts[ids + 1] - starts[ids]
                 total = np.concatenate(([0], np.cumsum(sizes)))
@@ -427,16 +427,6 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     return rows.mapInArrow(decoded, T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Runs of rows with about ``most`` in sum; a larger row is a run of its own."""
-    low = 0
-    while low < len(sizes):
-        total = np.cumsum(sizes[low:])
-        high = low + max(1, int(np.searchsorted(total, most, "right")))
-        yield low, high
-        low = high
-
-
 def joined_hash(ids: Column) -> Column:
     """SHA-256 of the ids in decimal, joined by commas."""
     return F.sha2(F.array_join(ids.cast("array<string>"), ","), 256)

@@ -84,19 +84,24 @@ def row_field(batch: pa.RecordBatch, name: str, start: int, rows: int) -> list[b
     return pc.cast(pc.cast(part, pa.string()), pa.binary()).to_pylist()
 
 
+def runs_of(sizes: np.ndarray, most: int):
+    """Runs (start, end) of rows with about ``most`` in sum; a larger row is a run of its own."""
+    ends, low = np.cumsum(sizes), 0
+    while low < len(sizes):
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield low, high
+        low = high
+
+
 def byte_slices(batch: pa.RecordBatch, name: str, most: int):
     """Runs of a batch's rows with their texts (field ``name`` of the struct ``row``, UTF-8 bytes or null).
 
     A run has about ``most`` bytes of text; a longer text is a run of its own.
     """
     sizes = pc.binary_length(pc.cast(pc.struct_field(batch.column("row"), name), pa.string()))
-    ends = np.cumsum(np.asarray(sizes.fill_null(0), np.int64))
-    low = 0
-    while low < batch.num_rows:
-        before = ends[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(ends, before + most, "right")))
+    for low, high in runs_of(np.asarray(sizes.fill_null(0), np.int64), most):
         yield batch.slice(low, high - low), row_field(batch, name, low, high - low)
-        low = high
 
 
 def mix(values: np.ndarray) -> np.ndarray:

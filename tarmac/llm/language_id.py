@@ -7,9 +7,10 @@ language, the loss of every bit's margin against its codeword, weighted by how w
 classifier did in training, and takes the least. A text whose two best losses are close is flagged.
 
 Training reads a bounded, documented sample: at most about ``per_language`` rows of a language,
-chosen by a hash of the id, and at most ``LANGUAGES`` languages (the most frequent). Prediction reads the whole text of every row.
+chosen by a hash of the id. Every label is learned; more than ``LANGUAGES`` of them are no languages, and training
+fails. Prediction reads the whole text of every row, long ones in blocks of ``BLOCK`` bytes.
 
-Results for odd input: null text or text without a letter is ``und`` with score 0. Without training
+Results for odd input: null text or text without a letter (a character of a category L) is ``und`` with score 0. Without training
 rows everything is ``und``. Training rows with null label, null text or no letter are
 not used. Repeated rows get equal results; only the named columns are read.
 """
@@ -27,17 +28,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import row_field
+from tarmac.llm.common import byte_slices
 
 UNKNOWN = "und"
 BUCKETS = 1 << 13
 SIZES = (1, 2, 3)
 PER_LANGUAGE = 2000
-LANGUAGES = 200
+LANGUAGES = 2000
 #: Below this distance between the best and the second-best language a text is ambiguous.
 MARGIN = 0.05
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: Positions whose n-grams are counted at once, and bytes of texts in a slice.
+BLOCK = 1 << 20
+SLICE_BYTES = 4 << 20
+
+_PLAIN_LETTER = re.compile("[A-Za-z]")
 # Bytes that are not letters become spaces; bytes of non-ASCII characters stay.
 _FOLD = bytes(
     b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)
@@ -49,23 +54,28 @@ def gram_counts(texts: list[str]) -> np.ndarray:
     """Rows of hashed n-gram counts, one per text."""
     gap = b"  "
     parts = [t.encode().translate(_FOLD) + gap for t in texts]
-    lengths = np.array([len(p) for p in parts])
-    data = np.frombuffer(b"".join(parts) + gap, np.uint8).astype(np.uint32)
-    n = len(data) - 2
-    ends = np.cumsum(lengths)
-    row = np.repeat(np.arange(len(parts)) * BUCKETS, lengths)
-    inside = np.ones(n, bool)
-    inside[ends - 1] = inside[ends - 2] = False  # those would reach into the next text
+    ends = np.cumsum([len(p) for p in parts])
+    data = np.frombuffer(b"".join(parts) + gap, np.uint8)
     counts = np.zeros(len(parts) * BUCKETS, np.int64)
-    code = np.zeros(n, np.uint32)
-    for size in range(1, max(SIZES) + 1):
-        code = code * np.uint32(257) + data[size - 1 : size - 1 + n] + np.uint32(1)
-        if size in SIZES:
-            slot = (code * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
-            counts += np.bincount((row + slot)[inside], minlength=len(counts))
+    for low in range(0, len(data) - 2, BLOCK):
+        part = data[low : low + BLOCK + 2].astype(np.uint32)
+        n = len(part) - 2
+        places = np.arange(low, low + n)
+        text = np.searchsorted(ends, places, "right")
+        inside = places < ends[text] - 2  # others would reach into the next text
+        row, code = text * BUCKETS, np.zeros(n, np.uint32)
+        for size in range(1, max(SIZES) + 1):
+            code = code * np.uint32(257) + part[size - 1 : size - 1 + n] + np.uint32(1)
+            if size in SIZES:
+                slot = (code * np.uint32(2654435761)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+                counts += np.bincount((row + slot)[inside], minlength=len(counts))
     return counts.reshape(len(parts), BUCKETS)
 
 
+def has_letter(text: str) -> bool:
+    return bool(_PLAIN_LETTER.search(text)) or any(map(str.isalpha, text))
+
+
 def codewords(n: int) -> np.ndarray:
     """n codewords of +1 and -1.
 
@@ -102,9 +112,13 @@ class Model:
         return counts.astype(np.float32) @ self.weights / total * self.scale
 
     def losses(self, margins: np.ndarray) -> np.ndarray:
-        """Per text and language: mean loss over the bits, weighted by their trust."""
-        loss = np.exp(-np.clip(margins[:, None, :] * self.code[None, :, :], -4, 4))
-        return (loss * self.trust).sum(2) / self.trust.sum()
+        """Per text and language: mean loss over the bits, weighted by their trust.
+
+        A bit's loss has two values only, one for each side, so the sums are two products of matrices.
+        """
+        margins = np.clip(margins, -4, 4)
+        sides = ((self.code == sign) * self.trust for sign in (1, -1))
+        return sum(np.exp(-sign * margins) @ side.T for sign, side in zip((1, -1), sides)) / self.trust.sum()
 
 
 def crc(id_col: Column) -> Column:
@@ -112,14 +126,15 @@ def crc(id_col: Column) -> Column:
 
 
 def training_sample(rows: DataFrame, per_language: int) -> DataFrame:
-    """(text, lang): about ``per_language`` rows of each of the most frequent languages, by a hash of the id."""
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    most = counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not most:
+    """(text, lang): about ``per_language`` rows of each language, by a hash of the id."""
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different labels")
+    if not counts:
         return rows.limit(0).select("text", "lang")
-    shares = [F.when(F.col("lang") == r["lang"], per_language / r["n"]) for r in most]
+    shares = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], per_language / r["n"])))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
-    return rows.where(draw < F.coalesce(*shares)).select("text", "lang")
+    return rows.where(draw < shares[F.col("lang")]).select("text", "lang")
 
 
 def _sum_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,7 +223,7 @@ def train(
 def predict_texts(model: Model, texts: list[str | None]):
     """Language, score in 0..1 and ambiguity of each text."""
     langs, scores, unsure = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-    known = [i for i, t in enumerate(texts) if t and model.languages and _LETTER.search(t)]
+    known = [i for i, t in enumerate(texts) if t and model.languages and has_letter(t)]
     for at in range(0, len(known), _ROWS):
         rows = known[at : at + _ROWS]
         losses = model.losses(model.margins(gram_counts([texts[i] for i in rows])))
@@ -228,12 +243,12 @@ def identify(documents: DataFrame, model: Model, text_col: str = "text") -> Data
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 4 * _ROWS):
-                texts = [None if t is None else t.decode() for t in row_field(batch, text_col, i, 4 * _ROWS)]
+            for part, texts in byte_slices(batch, text_col, SLICE_BYTES):
+                texts = [None if t is None else t.decode() for t in texts]
                 langs, scores, unsure = predict_texts(shared.value, texts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("row").slice(i, 4 * _ROWS),
+                        part.column("row"),
                         pa.array(langs, pa.string()),
                         pa.array(scores),
                         pa.array(unsure),
