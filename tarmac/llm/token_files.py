@@ -34,12 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarmac.llm.common import documents_of, open_folder, scratch, stored
+from tarmac.llm.common import documents_of, open_folder, runs_of, scratch, stored
 
 MAGIC = b"TOKFILE1"
 END_ID = 2
@@ -48,6 +49,8 @@ SAMPLE_DOCS = 2000
 SAMPLE_BYTES = 8 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+#: Bytes of texts that are encoded at a time.
+SLICE_BYTES = 4 << 20
 _ROWS = 1000
 _NULL_ID = -(2**63)
 _INDEX = np.dtype([("id", "<i8"), ("offset", "<i8"), ("length", "<i8"), ("tokens", "<i8")])
@@ -101,6 +104,7 @@ class Encoder:
     def _learn(self, parts: set[str]) -> None:
         if len(self.known) > self.LIMIT:
             self.known.clear()
+            self.tails.clear()
         known, tails, bare, split = self.known, self.tails, [], []
         for part in parts:
             core = part.rstrip(_PUNCTUATION)
@@ -130,11 +134,14 @@ class Encoder:
         for i, (p, f, places) in enumerate(zip(parts, found, lacking)):
             for k in places:
                 f[k] = self.known[p[k]]
-            if heads[i][-1:].isspace() or False in f:
-                odd.append(i)
-                out.append(b"")
-            else:
+            try:
                 out.append(b"".join(f))
+            except TypeError:  # a false among them
+                out.append(b"")
+                odd.append(i)
+                continue
+            if heads[i][-1:].isspace():
+                odd.append(i)
         out = [head + rest for head, rest in zip(self._ids(heads), out)]
         for i, ids in zip(odd, self._ids([texts[i] for i in odd])):
             out[i] = ids
@@ -147,20 +154,28 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _encoded(path: str, end_id: int, dictionary):
-    """(doc_id, file, text_hash, tokens, frame); without a dictionary the ids as they are."""
+def _encoded(path: str, end_id: int, dictionary, bounds=None):
+    """(doc_id, file, text_hash, tokens, frame); without a dictionary the ids as they are.
+
+    ``bounds``: the greatest id of each file but the last one.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
         end = np.array([end_id], encoder.dtype).tobytes()
         pack = (lambda data: data) if dictionary is None else compressor(dictionary.value).compress
+        cuts = np.zeros(0, np.int64) if bounds is None else bounds.value
         for batch in batches:
-            for i in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(i, _ROWS)
+            sizes = np.asarray(pc.binary_length(batch.column("text")).fill_null(0), np.int64)
+            for low, high in runs_of(sizes, SLICE_BYTES):
+                part = batch.slice(low, high - low)
                 ids = [x + end for x in encoder.encode([t or "" for t in part.column("text").to_pylist()])]
+                file = np.searchsorted(cuts, np.asarray(part.column("doc_id").fill_null(_NULL_ID)), "left")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[part.column(c) for c in ("doc_id", "file", "text_hash")],
+                        part.column("doc_id"),
+                        pa.array(file, pa.int32()),
+                        part.column("text_hash"),
                         pa.array([len(x) // encoder.dtype.itemsize for x in ids], pa.int64()),
                         pa.array([pack(x) for x in ids], pa.binary()),
                     ],
@@ -254,8 +269,6 @@ def write(
     points = F.array(*[F.lit(i / shares) for i in range(1, shares)]) if shares > 1 else F.array(F.lit(0.5))
     bounds = docs.agg(F.percentile_approx("doc_id", points, F.lit(10 * shares))).first()[0] or []
     bounds = sorted(set(bounds)) if shares > 1 else []
-    file = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
-    docs = docs.withColumn("file", F.when(F.col("doc_id").isNull(), 0).otherwise(file).cast("int"))
 
     dictionary = train_dictionary(docs, tokenizer_path, rows, end_id)
     folder = folder or scratch(spark, "tokens")
@@ -264,11 +277,12 @@ def write(
     with system.open_output_stream(f"{root}/dictionary-{hashlib.sha256(dictionary).hexdigest()}") as out:
         out.write(dictionary)
     shared = spark.sparkContext.broadcast(dictionary)
+    cuts = spark.sparkContext.broadcast(np.array(bounds, np.int64))  # one number per file
     width = encoder_of(tokenizer_path).dtype.itemsize
-    frames = docs.mapInArrow(_encoded(tokenizer_path, end_id, shared), _ENCODED)
-    # By range of the file number: neighbouring files share a task, never one file two tasks.
+    frames = docs.mapInArrow(_encoded(tokenizer_path, end_id, shared, cuts), _ENCODED)
+    # Every file has a task of its own.
     files = (
-        frames.repartition(len(bounds) + 1, "file")
+        frames.repartitionById(len(bounds) + 1, F.col("file"))
         .sortWithinPartitions("file", F.asc_nulls_first("doc_id"), "text_hash")
         .mapInArrow(_write(folder, shared, width), "file int, path string, docs long, tokens long")
     )
