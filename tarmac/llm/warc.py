@@ -33,12 +33,14 @@ import zlib
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import open_folder, scratch, stored
+from tarmac.llm.common import open_folder, runs_of, scratch, stored
 
 ARCHIVE_BYTES = 128 << 20
 BLOCK_LINES = 512
@@ -47,7 +49,11 @@ KEY_SAMPLE = 10_000
 FAN_IN = 64
 LEVEL = 3
 _CHUNK = 1 << 20
+#: Bytes of payloads that are Python objects at a time.
+SLICE_BYTES = 8 << 20
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+# Years 1 and 9999.
+_FIRST_SECOND, _LAST_SECOND = -62_135_596_800, 253_402_300_799
 
 
 def url_key(url: Column) -> Column:
@@ -97,6 +103,12 @@ def _line(text: str | None) -> str:
     return re.sub(r"[\r\n]+", " ", text or "")
 
 
+def _date(captured: int) -> str:
+    """The time as WARC writes it. Its years have four digits; times before or after them count as the first or last."""
+    moment = _EPOCH + timedelta(seconds=min(max(captured, _FIRST_SECOND), _LAST_SECOND))
+    return moment.replace(tzinfo=None).isoformat() + "Z"
+
+
 def record(page, url: str | None, captured: int, payload: bytes, digest: str, refers_to) -> bytes:
     """One WARC record, not yet compressed."""
     kind = "response" if refers_to is None else "revisit"
@@ -107,7 +119,7 @@ def record(page, url: str | None, captured: int, payload: bytes, digest: str, re
         f"WARC-Type: {kind}",
         f"WARC-Record-ID: <urn:page:{'' if page is None else page}>",
         f"WARC-Target-URI: {_line(url)}",
-        f"WARC-Date: {(_EPOCH + timedelta(seconds=captured)).strftime('%Y-%m-%dT%H:%M:%SZ')}",
+        f"WARC-Date: {_date(captured)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http;msgtype=response",
         f"Content-Length: {len(block)}",
@@ -123,7 +135,7 @@ def record(page, url: str | None, captured: int, payload: bytes, digest: str, re
 def _sort_key(key: str, captured: int, page) -> str:
     """Key, time and page as one string whose byte order is the order of captures."""
     number = 0 if page is None else page + (1 << 63) + 1
-    return f"{key}\t{captured + (1 << 62):020d}\t{number:020d}"
+    return f"{key}\t{captured + (1 << 63):020d}\t{number:020d}"
 
 
 class RunWriter:
@@ -165,6 +177,13 @@ def _block_batch(archive: str | None, blocks: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCK_TYPES)], schema=_BLOCK_TYPES)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's rows, of which only a few are Python objects at a time."""
+    sizes = np.asarray(pc.binary_length(batch.column("payload")).fill_null(0), np.int64)
+    for low, high in runs_of(sizes, SLICE_BYTES):
+        yield from batch.slice(low, high - low).to_pylist()
+
+
 def _write(folder: str, archive_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = open_folder(folder)
@@ -178,7 +197,7 @@ def _write(folder: str, archive_bytes: int):
             return _block_batch(name, run.close())
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 if out is None:
                     name, at, lines = f"{uuid.uuid4().hex}.warc.gz", 0, []
                     out = system.open_output_stream(f"{root}/{name}", compression=None)
@@ -283,9 +302,11 @@ def _merge_range(folder: str, bounds: list[str]):
         for i, line in enumerate(LoserTree(sources)):
             url, captured, page, archive, offset = line.rsplit("\t", 4)
             page = None if int(page) == 0 else int(page) - (1 << 63) - 1
-            out.append((number, i, url, int(captured) - (1 << 62), page, archive, int(offset)))
+            out.append((number, i, url, int(captured) - (1 << 63), page, archive, int(offset)))
         names = [c.split()[0] for c in _HISTORY.split(", ")]
-        return pd.DataFrame(out, columns=names).astype({"page_id": "Int64"})
+        # Page ids as they are: beside a null, pandas would take them for floating-point numbers.
+        pages = pd.array([row[4] for row in out], "Int64")
+        return pd.DataFrame([(*row[:4], 0, *row[5:]) for row in out], columns=names).assign(page_id=pages)
 
     return merge
 

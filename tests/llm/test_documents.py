@@ -435,3 +435,81 @@ def test_lines_over_the_threshold_hold_a_needed_word():
         best = templates.best(line)
         if best and best[0] >= licenses.LEAST:
             assert needed & set(line.split())
+
+
+def test_signs_and_numerals_are_no_letters(spark):
+    """Fractions, superscripts and letter-like numerals have no language; any script's letters have."""
+    model = language_id.Model(["a", "b"], np.array([[1], [-1]]), np.ones((language_id.BUCKETS, 1), np.float32), np.ones(1), np.ones(1))
+    texts = ["½ ²", "Ⅷ", "① ٣ 12_", "日", "ñ", "½a", "\u0301", None, ""]
+    langs, scores, _ = language_id.predict_texts(model, texts)
+    assert [x == "und" for x in langs] == [True, True, True, False, False, False, True, True, True]
+    assert [s for s, x in zip(scores, langs) if x == "und"] == [0.0] * 6
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").rlike(r"\p{L}").alias("has"))
+    assert all(bool(r.has) == (bool(r.t) and language_id.has_letter(r.t)) for r in rows.collect())
+
+
+def test_gram_counts_do_not_depend_on_blocks(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abé 日\n", k=rng.randint(0, 300))) for _ in range(40)] + ["", "x"]
+    whole = language_id.gram_counts(texts)
+    assert (whole == np.concatenate([language_id.gram_counts([t]) for t in texts])).all()
+    monkeypatch.setattr(language_id, "BLOCK", 37)
+    assert (language_id.gram_counts(texts) == whole).all()
+
+
+def test_losses_equal_bit_by_bit_sums():
+    rng = np.random.default_rng(6)
+    code = language_id.codewords(9)
+    model = language_id.Model(list("abcdefghi"), code, np.zeros((1, 1)), np.ones(1), rng.random(code.shape[1]))
+    margins = rng.normal(size=(5, code.shape[1])) * 3
+    want = [
+        [sum(t * math.exp(-max(-4, min(4, m * c))) for m, c, t in zip(row, word, model.trust)) / model.trust.sum() for word in code]
+        for row in margins
+    ]
+    assert np.allclose(model.losses(margins), want)
+
+
+def test_more_than_two_hundred_labels_are_all_learned(spark):
+    rows = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)} " * 4, f"l{i % 230:03d}") for i in range(920)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 230
+
+
+def test_too_many_labels_fail_loudly(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LANGUAGES", 3)
+    rows = [(i, "some text", f"l{i}") for i in range(40)]
+    with pytest.raises(ValueError, match="more than 3"):
+        language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+
+def test_known_parts_are_bounded_and_change_nothing(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files.Encoder, "LIMIT", 300)
+    encoder, plain = token_files.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefg", k=rng.randint(1, 7))) for _ in range(400)]
+    for _ in range(30):
+        texts = [" ".join(rng.choice(words) + rng.choice(["", ".", ",", "!?"]) for _ in range(60)) for _ in range(4)]
+        got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
+        assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.known) < 300 + 2 * 240  # a call adds its own parts
+
+
+def test_files_are_cut_by_id_and_each_has_one_task(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_DOCS", 50)
+    rows = [(i * 7919 % 100_003, f"text {i}") for i in range(1000)] + [(None, "none")]
+    files, folder, dictionary = token_files.write(spark.createDataFrame(rows, "doc_id long, text string"), TOKENIZER)
+    listed = files.collect()
+    assert sorted(r.file for r in listed) == list(range(len(listed))) and len(listed) >= 15
+    found = token_files.read(files, folder, dictionary).orderBy("file", F.asc_nulls_first("doc_id")).collect()
+    ids = [r.doc_id for r in found]
+    assert ids[0] is None and ids[1:] == sorted(i for i, _ in rows[:-1])
+
+
+def test_column_names_of_documents_do_not_clash_in_the_pipeline(spark, tmp_path):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, words, "en", "a", 1, "x", "y"), (2, words, "en", "a", 1, "x", "y"), (3, "other text", "en", "a", 1, "x", "y")]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, gone string, component_id string"
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, columns), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and kept.columns[-2:] == ["gone", "component_id"]

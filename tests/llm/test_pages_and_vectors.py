@@ -7,6 +7,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,7 +101,7 @@ def test_nearest_of_odd_rows(spark):
     assert ann.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
-@pytest.mark.parametrize("part_rows, part_queries", [(50_000, 4000), (40, 9)])
+@pytest.mark.parametrize("part_rows, part_queries", [(20_000, 2000), (250, 30)])
 def test_recall(spark, monkeypatch, part_rows, part_queries):
     """Vectors of unequal length in clusters, searched in a part of the leaves only."""
     monkeypatch.setattr(ann, "PART_ROWS", part_rows)
@@ -146,6 +147,23 @@ def test_search_sees_every_tree():
     assert set(np.searchsorted(forest.first_leaves(), found, "right") - 1) == {0, 1, 2, 3}
 
 
+def test_page_ids_of_any_size(spark):
+    """Ids as seconds run past the years that a date can have; the order of captures does not suffer."""
+    ids = [-(2**63), -(10**15), -1, 0, 253_402_300_799, 253_402_300_800, 2**62, 2**63 - 1, None]
+    rows = [(i, "http://a.b/c", f"page {n}") for n, i in enumerate(ids)]
+    found = warc.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("history_no").collect()
+    captured = [0 if i is None else i for i in ids]
+    want = [i for _, _, i in sorted(zip(captured, [i is not None for i in ids], ids), key=lambda x: (x[0], x[1]))]
+    assert [r.page_id for r in found] == want
+    assert warc._date(2**63 - 1) == "9999-12-31T23:59:59Z" and warc._date(-(2**63)) == "0001-01-01T00:00:00Z"
+
+
+def test_rows_are_taken_in_slices(monkeypatch):
+    monkeypatch.setattr(warc, "SLICE_BYTES", 10)
+    batch = pa.RecordBatch.from_pylist([{"payload": p} for p in (b"x" * 30, b"", None, b"yy", b"z" * 9)])
+    assert [r["payload"] for r in warc._rows(batch)] == [b"x" * 30, b"", None, b"yy", b"z" * 9]
+
+
 def test_pipeline_stages(spark, tmp_path):
     rng = random.Random(8)
     words = [f"w{i}" for i in range(300)]
