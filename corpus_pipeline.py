@@ -8,7 +8,11 @@
 5. ``tokens``: all documents become compressed token files in ascending id order; the rows are
    the files' index with checksums.
 
-Each function takes (spark, docs, sf_dir). All but the last return the columns of documents.
+Each function takes (spark, docs, sf_dir). All but the last return the columns of documents, whatever they are called.
+
+Odd input: a null, empty or letterless text has no language and goes in the first stage, so later ones see
+none; rows without id are kept until the last stage and come first there; of rows that repeat an id, all
+stay or all go; very long texts are read whole; an empty table passes through as one.
 """
 
 from __future__ import annotations
@@ -43,8 +47,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     ship(spark)
     found = ngram_join.near_duplicates(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    # Both sides have names, as documents may have any column.
+    same = F.col("every_document.doc_id") == F.col("gone_document.doc_id")
+    return docs.alias("every_document").join(gone.alias("gone_document"), same, "left_anti")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
