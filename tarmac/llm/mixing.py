@@ -26,12 +26,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import stored
+
 BLOCK_ROWS = 64
 #: Least parts of a period, in all and a source.
 PERIOD = 1000
 SOURCE_PARTS = 100
-#: Ids in one numbering step. No task sorts more than one step's rows.
-ID_STEP = 1 << 14
+#: Ids in one numbering range, about, while there are no more than ``MAX_RANGES``; beyond, ranges grow instead.
+RANGE_IDS = 1 << 12
+MAX_RANGES = 20_000
+#: Epochs of a block in one list.
+EPOCHS = 1 << 12
 #: Slots in one list while a period is scheduled, as a list is copied for every slot put to it.
 STRETCH = 256
 
@@ -88,11 +93,15 @@ def period_schedule(parts: DataFrame) -> DataFrame:
         "source", F.col("parts").alias("of_parts"), (F.row_number().over(by_name) - 1).alias("member")
     )
     horizon = F.max("slots") if "slots" in parts.columns else F.max(F.lit(None).cast("long"))
-    ends = parts.agg(F.sum("parts").alias("period"), horizon.alias("slots"))
-    classes = parts.groupBy("parts").agg(F.min(F.struct("source")).alias("first"), F.count("*").alias("m"))
+    classes = parts.groupBy("parts").agg(
+        F.min(F.struct("source")).alias("first"), F.count("*").alias("m"), horizon.alias("slots")
+    )
     listed = (
-        classes.agg(F.sort_array(F.collect_list(F.struct("first", "parts", "m"))).alias("classes"))
-        .crossJoin(ends)
+        classes.agg(
+            F.sort_array(F.collect_list(F.struct("first", "parts", "m"))).alias("classes"),
+            F.sum(F.col("parts") * F.col("m")).alias("period"),
+            F.max("slots").alias("slots"),
+        )
         .where("period > 0")
         .withColumn("last", F.least(F.col("period"), F.col("slots")) - 1)
     )
@@ -161,29 +170,36 @@ def period_schedule(parts: DataFrame) -> DataFrame:
 
 
 def in_blocks(documents: DataFrame, id_col: str, source_col: str, block_rows: int) -> DataFrame:
-    """(source, id, block): the distinct ids of each source, numbered in order and cut into blocks.
+    """(source, id, block, opens): the distinct ids of each source, numbered in order and cut into blocks.
 
-    Ids are numbered within steps, and the steps' counts are summed up, so that a source that
-    holds most rows is still numbered by many tasks.
+    ``opens`` marks the first id of a block. Ids are dealt by ranges of (source, id), cut at quantiles, so that
+    neither a source that holds most rows nor ids far apart make a range large or ranges many. Rows are
+    numbered where they were sorted, and the ranges' counts are summed up.
     """
+    ranges = min(MAX_RANGES, -(-documents.count() // RANGE_IDS)) or 1
     ids = documents.select(
         F.col(source_col).cast("string").alias("source"), F.col(id_col).cast("long").alias("id")
     ).distinct()
-    ids = ids.withColumn("step", F.coalesce(F.floor(F.col("id") / ID_STEP), F.lit(-(2**62))))
-    earlier = Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    steps = (
-        ids.groupBy("source", "step")
-        .agg(F.count("*").alias("n"))
+    sorted_ids = ids.repartitionByRange(ranges, "source", "id").sortWithinPartitions("source", "id")
+    # Ranges are cut at sampled ids: stored, so that counts and numbers are of the same ranges.
+    dealt = stored(
+        sorted_ids.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("row_no")), "mix-ids"
+    )
+    earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        dealt.groupBy("source", "range")
+        .agg(F.count("*").alias("n"), F.min("row_no").alias("first_no"))
         .select(
-            F.col("source").alias("step_source"),
-            F.col("step").alias("of_step"),
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+            F.col("source").alias("of_source"),
+            F.col("range").alias("of_range"),
+            (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first_no")).alias("shift"),
         )
     )
-    within = Window.partitionBy("source", "step").orderBy(F.asc_nulls_first("id"))
-    number = F.col("before") + F.row_number().over(within) - 1
-    same = F.col("source").eqNullSafe(F.col("step_source")) & (F.col("step") == F.col("of_step"))
-    return ids.join(steps, same).select("source", "id", F.floor(number / block_rows).alias("block"))
+    number = F.col("row_no") + F.col("shift")
+    same = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("range") == F.col("of_range"))
+    return dealt.join(counts, same).select(
+        "source", "id", F.floor(number / block_rows).alias("block"), (number % block_rows == 0).alias("opens")
+    )
 
 
 def mix(
@@ -196,6 +212,7 @@ def mix(
     """(slot, source, block, epoch, released, due, row) for every row and every epoch of its block.
 
     ``parts`` has (source, n, parts), n being the source's distinct ids. Sorting by slot gives the mix.
+    The documents are counted and their ids stored when this is called.
     """
     parts = parts.where("n > 0 and parts > 0")
     total = Window.partitionBy()
@@ -211,10 +228,15 @@ def mix(
 
     # Number of every run of a block: its first, and again each time its source starts anew.
     most = F.ceil(F.col("slots") * F.col("parts") / F.col("period"))
-    runs = F.sequence(F.lit(0).cast("long"), F.greatest(F.floor((most - F.col("block") - 1) / F.col("blocks")), F.lit(0)))
+    last = F.greatest(F.floor((most - F.col("block") - 1) / F.col("blocks")), F.lit(0))
+    ids = in_blocks(documents, id_col, source_col, block_rows)
     blocks = (
-        plan.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-        .select("*", F.explode(runs).alias("epoch"))
+        ids.where("opens")
+        .select("source", "block")
+        .join(plan, F.col("source").eqNullSafe(F.col("of")))
+        .withColumn("last", last)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"), F.lit(EPOCHS).cast("long"))).alias("start"))
+        .select("*", F.explode(F.sequence(F.col("start"), F.least(F.col("start") + EPOCHS - 1, F.col("last")))).alias("epoch"))
         .withColumn("run", F.col("epoch") * F.col("blocks") + F.col("block"))
         .withColumn("turn", F.floor(F.col("run") / F.col("parts")))
         .withColumn("k", F.col("run") % F.col("parts") + 1)
@@ -232,7 +254,6 @@ def mix(
             (F.col("turn") * F.col("period") + due(F.col("k"), F.col("parts"), F.col("period"))).alias("due"),
         )
     )
-    ids = in_blocks(documents, id_col, source_col, block_rows)
     same = F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("of_block"))
     placed = ids.join(when, same)
     rows = documents.select(

@@ -253,6 +253,57 @@ def test_mix_reaches_target_weights(spark):
         assert abs(order[:t].count("small") - t / 2) < 1
 
 
+@pytest.mark.parametrize("range_ids", [7, 1 << 12])
+def test_ids_far_apart_are_numbered_in_order(spark, monkeypatch, range_ids):
+    """A source with two thirds of the rows, hashed ids of either sign, a null id and repeated rows."""
+    monkeypatch.setattr(mixing, "RANGE_IDS", range_ids)
+    rng = random.Random(8)
+    data = [(rng.randrange(-(2**63), 2**63), "hot" if i % 3 else None) for i in range(600)] + [(None, "hot"), (2**63 - 1, "b")]
+    frame = spark.createDataFrame(data + data[:50], "doc_id long, source string")
+    want = []
+    for source in {s for _, s in data}:
+        mine = sorted({d for d, s in data if s == source}, key=lambda d: (d is not None, d or 0))
+        want += [(source, d, k // 4, k % 4 == 0) for k, d in enumerate(mine)]
+    same(mixing.in_blocks(frame, "doc_id", "source", 4), ["source", "id", "block", "opens"], want)
+
+
+def plain_schedule(parts):
+    """Earliest deadline first over every source and slot, ties to the first name of its weight, then by turns."""
+    period, done, picked = sum(parts.values()), dict.fromkeys(parts, 0), []
+    first = {p: min(s for s in parts if parts[s] == p) for p in parts.values()}
+    members = {p: sorted(s for s in parts if parts[s] == p) for p in parts.values()}
+    taken = dict.fromkeys(members, 0)
+    for t in range(period):
+        ready = []
+        for p, names in members.items():
+            j = taken[p] // len(names) + 1
+            if (j - 1) * period // p <= t:
+                ready.append((-(-j * period // p), first[p], p))
+        _, _, p = min(ready)
+        source = members[p][taken[p] % len(members[p])]
+        taken[p] += 1
+        done[source] += 1
+        picked.append((source, t, done[source]))
+    return picked
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_period_equals_a_plain_schedule(spark, seed):
+    rng = random.Random(seed)
+    parts = {f"s{i}": rng.randint(1, 9) for i in range(rng.randint(1, 8))}
+    frame = spark.createDataFrame([(s, 10, p) for s, p in parts.items()], "source string, n long, parts long")
+    same(mixing.period_schedule(frame), ["source", "slot", "j"], plain_schedule(parts))
+
+
+def test_a_scarce_source_starts_again_many_times(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "EPOCHS", 3)
+    frame = spark.createDataFrame([(i, "big" if i else "small") for i in range(100)], "doc_id long, source string")
+    parts = spark.createDataFrame([("big", 99, 1), ("small", 1, 1)], "source string, n long, parts long")
+    mixed = mixing.mix(frame, parts, block_rows=9).select("slot", "source", "epoch").distinct().collect()
+    assert sorted(r["epoch"] for r in mixed if r["source"] == "small") == list(range(11))
+    assert sorted(r["slot"] for r in mixed) == list(range(22))
+
+
 @pytest.mark.parametrize("n", [900, 1500])
 def test_mix_of_many_sources(spark, n):
     """One source holds a third of the rows; nothing is lost, and it has its share at all times."""
