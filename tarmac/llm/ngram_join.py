@@ -14,7 +14,10 @@ components they make, not the list of pairs.
    beside it, shares the overlap that sets with a common beginning have, and leaves a subtree once
    the overlap plus what remains on either side cannot reach the threshold. Subtrees in which all
    sets are in the same component already are not entered, so a large group costs a star, not all pairs.
-   Blocks over ``BLOCK_SETS`` sets are cut into parts, and all pairs of parts are blocks.
+   Blocks over ``BLOCK_SETS`` sets are cut into parts. Each part is joined in itself and with the block's
+   most central set first. Sets that come to that one's component need no further comparison with each other;
+   only those that stay apart meet the sets of other parts. So a large group of near copies travels
+   twice, and what grows with the square is the number of sets apart, not of the group.
 5. Links spread the smallest id until nothing changes.
 
 N-grams that very many documents share are found first, by adding up counts of those that
@@ -292,13 +295,17 @@ class PrefixTree:
         return same
 
 
-def join_block(sets: list[np.ndarray], sizes: list[int], known: int, share: int = SHARE, whole: int = WHOLE) -> list[tuple[int, int]]:
+def join_block(
+    sets: list[np.ndarray], sizes: list[int], known: int, share: int = SHARE, whole: int = WHOLE, joined: bool = False
+) -> list[tuple[int, int]]:
     """Links that make the components of a block's sets.
 
     With ``known``, the first so many sets make the tree and only the others walk it, besides the
-    first set of all, the block's most central one; without, all make it and all walk it.
+    first set of all; without, all make it and all walk it. ``joined`` says that the known sets are of one component.
     """
     parts, links = Components(len(sets)), []
+    for i in range(known if joined else 0):
+        parts.link(0, i)
     tree = PrefixTree()
     for i, path in enumerate(sets[: known or len(sets)]):
         tree.insert(path, sizes[i], i)
@@ -334,14 +341,36 @@ def join_block(sets: list[np.ndarray], sizes: list[int], known: int, share: int
     return links
 
 
-def _join(share: int, whole: int):
+def _by_centrality(rows: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
+    """Classes, sets and sizes: the tree's before those that walk it, the most central ones first."""
+    rows = rows.sort_values(["side", "weight", "class"], ascending=[True, False, True])
+    return rows["class"].to_numpy(), [np.frombuffer(x, np.uint64) for x in rows["set"]], rows["n"].tolist()
+
+
+def _join_part(share: int, whole: int):
+    """Links within a part and with the block's lead; a row without ``b`` for each class that is apart from the lead."""
+
     def join(rows: pd.DataFrame) -> pd.DataFrame:
-        # The most central set comes first; then the part that makes the tree, then the other one.
-        rows = rows.sort_values(["side", "weight", "class"], ascending=[True, False, True])
-        sets = [np.frombuffer(s, np.uint64) for s in rows["set"]]
-        known = int((rows["side"] < 1).sum()) if (rows["side"] == 1).any() else 0
-        links = join_block(sets, rows["n"].tolist(), known, share, whole)
-        ids = rows["class"].to_numpy()
+        ids, sets, sizes = _by_centrality(rows)
+        links = join_block(sets, sizes, 0, share, whole)
+        found = [(ids[a], ids[b], None) for a, b in links]
+        if rows["parts"].iat[0] > 1:
+            parts = Components(len(sets))
+            for a, b in links:
+                parts.link(a, b)
+            block = rows["block"].iat[0]
+            found += [(ids[i], None, block) for i in range(1, len(sets)) if parts.find(i) != parts.find(0)]
+        columns = zip(*found) if found else ((), (), ())
+        return pd.DataFrame({c: pd.array(list(v), dtype="Int64") for c, v in zip(("a", "b", "block"), columns)})
+
+    return join
+
+
+def _join_cell(share: int, whole: int):
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, sets, sizes = _by_centrality(rows)
+        known = int((rows["side"] == 0).sum()) if (rows["side"] == 1).any() else 0
+        links = join_block(sets, sizes, known, share, whole, bool(rows["star"].iat[0]))
         return pd.DataFrame({"a": [ids[a] for a, _ in links], "b": [ids[b] for _, b in links]}, dtype="int64")
 
     return join
@@ -380,6 +409,39 @@ def components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     return stars.union(edges.select(F.col("b"), F.col("b")).distinct())
 
 
+def _cut(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(block, class, part) of (block, class), and (of, parts): parts of about ``BLOCK_SETS`` classes of each block."""
+    sizes = members.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
+    sizes = sizes.select(F.col("block").alias("of"), "parts")
+    part = F.pmod(F.xxhash64("class"), F.col("parts")).alias("part")
+    return members.join(sizes, F.col("block") == F.col("of")).select("block", "class", part, "parts"), sizes
+
+
+def cells_apart(star: DataFrame, apart: DataFrame) -> DataFrame:
+    """(block, class, star, i, j, side): what is left to compare, for classes (block, class) of large blocks.
+
+    ``star`` are those in the component of their block's lead, ``apart`` the others. Every part of the latter
+    meets every part of either; two classes of the star need not meet.
+    """
+    star, star_parts = _cut(star)
+    apart, apart_parts = _cut(apart)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    among = apart.select("*", every(F.col("parts")).alias("other")).select(
+        "block",
+        "class",
+        F.lit(False).alias("star"),
+        F.least("part", "other").alias("i"),
+        F.greatest("part", "other").alias("j"),
+        (F.col("part") > F.col("other")).cast("int").alias("side"),
+    )
+    same = F.col("block") == F.col("of")
+    tree = star.drop("parts").join(apart_parts, same).select("*", every(F.col("parts")).alias("i"))
+    walk = apart.drop("parts").join(star_parts, same).select("*", every(F.col("parts")).alias("j"))
+    return among.union(
+        tree.select("block", "class", F.lit(True), "i", F.col("part"), F.lit(0))
+    ).union(walk.select("block", "class", F.lit(True), F.col("part"), "j", F.lit(1)))
+
+
 def linked_classes(sets: DataFrame, share: int, whole: int) -> DataFrame:
     """Links (a, b) between classes, enough to make all components. ``sets``: see ``_prefixes``."""
     postings = sets.select("class", "weight", F.explode("prefix").alias("gram"))
@@ -390,34 +452,35 @@ def linked_classes(sets: DataFrame, share: int, whole: int) -> DataFrame:
         .select("gram", F.col("lead.class").alias("block"))
     )
     blocks = stored(postings.join(leads, "gram").select("block", "class").distinct(), "blocks")
-    parts = blocks.groupBy("block").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("parts"))
-    parts = parts.withColumnRenamed("block", "of")
-    part = F.pmod(F.xxhash64("class"), F.col("parts"))
-    member = blocks.join(parts, F.col("block") == F.col("of")).select("block", "class", "parts", part.alias("part"))
-    cells = member.select(
-        "block", "class", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other")
-    ).select(
-        "block",
-        "class",
-        F.least("part", "other").alias("i"),
-        F.greatest("part", "other").alias("j"),
-        (F.col("part") > F.col("other")).cast("int").alias("side"),
+    others = blocks.where("block <> class")
+    member, parts = _cut(others)
+    # The most central class is in every part of its block, so that each starts with its star.
+    lead = parts.select(
+        F.col("of").alias("block"),
+        F.col("of").alias("class"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+        "parts",
+        F.lit(0).alias("side"),
     )
-    # The most central class is in every cell of its block, so that each cell starts with its star.
-    lead = (
-        parts.where("parts > 1")
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("i"))
-        .select("*", F.explode(F.sequence(F.col("i"), F.col("parts") - 1)).alias("j"))
-        .select(F.col("of").alias("block"), F.col("of").alias("class"), "i", "j", F.lit(-1).alias("side"))
+    contents = sets.select("class", "n", "set", "weight")
+    first = stored(
+        member.withColumn("side", F.lit(1))
+        .union(lead)
+        .join(contents, "class")
+        .groupBy("block", "part")
+        .applyInPandas(_join_part(share, whole), "a long, b long, block long"),
+        "links",
     )
-    cells = cells.where("block <> class").union(
-        cells.join(parts.where("parts = 1").select("of"), F.col("block") == F.col("of"), "left_semi").where("block = class")
-    ).union(lead)
-    return (
-        cells.join(sets.select("class", "n", "set", "weight"), "class")
-        .groupBy("block", "i", "j")
-        .applyInPandas(_join(share, whole), "a long, b long")
+    apart = first.where("b is null").select("block", F.col("a").alias("class"))
+    large = others.join(apart.select("block").distinct(), "block", "left_semi")
+    star = large.join(apart, ["block", "class"], "left_anti")
+    later = (
+        cells_apart(star, apart)
+        .join(contents, "class")
+        .groupBy("block", "star", "i", "j")
+        .applyInPandas(_join_cell(share, whole), "a long, b long")
     )
+    return first.where("b is not null").select("a", "b").union(later)
 
 
 def near_duplicates(

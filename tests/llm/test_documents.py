@@ -119,6 +119,36 @@ def test_near_duplicates(near_copies, monkeypatch, block_sets, hot_least):
     same(ngram_join.near_duplicates(near_copies), ["doc_id", "n_shingles", "component_id"], want)
 
 
+@pytest.mark.parametrize("block_sets", [300, 20])
+def test_near_duplicates_in_a_large_group(spark, monkeypatch, block_sets):
+    """One text in 600 slightly different copies, and copies that are near some of these but not near the text."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", block_sets)
+    base = [f"w{i}" for i in range(150)]
+    data = [" ".join(base)]
+    data += [" ".join([*base[: i % 150], f"x{i}", *base[i % 150 + 1 :]]) for i in range(600)]
+    # With two words replaced, near the text; with five or six, near it only over the one with two, or not at all.
+    numbers = [(k, n) for k in range(30) for n in ((2, 5, 6) if k < 15 else (5, 6))]
+    far = [" ".join(f"far{k}" if i in range(10, 10 + 22 * n, 22) else w for i, w in enumerate(base)) for k, n in numbers]
+    data += [" ".join(["other", *[f"y{i}" for i in range(40)], str(k)]) for k in range(3)] + far
+    want = brute.jaccard_components(list(enumerate(data)))
+    assert len({c for *_, c in want}) == 2 + 15
+    frame = spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")
+    same(ngram_join.near_duplicates(frame), ["doc_id", "n_shingles", "component_id"], want)
+
+
+def test_a_star_does_not_meet_itself(spark, monkeypatch):
+    """Cells of a large block grow with its classes and those apart, not with the square of the star."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 10)
+    star = spark.range(20_000).select(F.lit(-1).cast("long").alias("block"), F.col("id").alias("class"))
+    apart = spark.range(20_000, 20_015).select(F.lit(-1).cast("long").alias("block"), F.col("id").alias("class"))
+    cells = ngram_join.cells_apart(star, apart)
+    assert cells.where("class < 20000").count() == 2 * 20_000
+    assert cells.where("class < 20000 and not star").count() == 0
+    met = cells.groupBy("star", "i", "j").agg(F.collect_set(F.when(F.col("class") >= 20_000, F.col("class"))).alias("apart"), F.count("*").alias("n"))
+    assert met.where("star and size(apart) > 0").count() == 2 * 2000
+    assert ngram_join.cells_apart(star, apart.limit(0)).count() == 0
+
+
 def test_near_duplicates_without_rows(near_copies):
     assert ngram_join.near_duplicates(near_copies.limit(0)).count() == 0
 
