@@ -47,12 +47,17 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of each document, its own or the one of the nearest directory above it.
 
     The table has no paths. A document's source is its repository; the hexadecimal digits of its id
-    are its directories; ids that end in 0 are the licence files of their directory.
+    are its directories and its name. A document that mentions a license is a licence file, of the
+    directory with the document's digits or of one up to two above that, by the checksum of its id.
     """
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    digits = F.array_join(F.split(F.lower(F.hex("doc_id")), "(?<=.)(?=.)"), "/")
-    files = documents.select("doc_id", "text", F.concat_ws("/", "source", digits).alias("path"))
-    return licenses.scan(files, F.col("doc_id") % 16 == 0).select(
+    digits = F.split(F.lower(F.hex("doc_id")), "(?<=.)(?=.)")
+    depth = F.greatest(F.size(digits) - 1 - (F.crc32(F.col("doc_id").cast("string")) % 3).cast("int"), F.lit(0))
+    mentions = F.coalesce(F.col("text").rlike("(?i)license"), F.lit(False))
+    licence_file = F.concat_ws("/", F.slice(digits, F.lit(1), depth), F.lit("LICENSE"))
+    place = F.when(mentions, licence_file).otherwise(F.array_join(digits, "/"))
+    files = documents.select("doc_id", "text", F.concat_ws("/", "source", place).alias("path"))
+    return licenses.scan(files, F.col("path").endswith("/LICENSE")).select(
         F.col("row.doc_id").alias("doc_id"), F.col("row.path").alias("path"), "own", "cosine", "licence", "inherited_from"
     )
 

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarmac.llm import decontaminate, language_id, licenses, mixing, ngram_join, secrets, substring_dedup, token_files
+from tarmac.llm import decontaminate, language_id, mixing, ngram_join, secrets, substring_dedup, token_files
 from tarmac.llm.queries import TOKENIZER
 from tests.llm import brute
 
@@ -469,55 +469,6 @@ def test_added_tokens_encode_as_the_library_does():
     assert np.frombuffer(encoder.encode(texts[:1])[0], encoder.dtype).tolist() == [505, 220, 50256, 734]
 
 
-# Licences
-
-
-FILES = [
-    ("r/LICENSE", "The MIT License\n"),
-    ("r/a/b/x.py", "# Licensed under the Apache License, Version 2.0\ncode"),
-    ("r/a/b/y.py", "code only"),
-    ("r/a/LICENSE", "nothing known"),
-    ("r/c/LICENSE", "Licensed under CC BY-NC 4.0."),
-    ("r/c/d/e/z.py", None),
-    ("top.py", "code"),
-    (None, "Released under the MIT License."),
-    ("s/x.py", ""),
-]
-
-
-def test_licences(spark):
-    files = spark.createDataFrame([(*f, "q") for f in FILES], "path string, text string, own string")
-    found = licenses.scan(files, F.col("path").endswith("LICENSE"))
-    got = [(r["row"]["path"], r["own"], r["licence"], r["inherited_from"]) for r in found.collect()]
-    want = [
-        ("r/LICENSE", "MIT", "MIT", None),
-        ("r/a/b/x.py", "Apache-2.0", "Apache-2.0", None),
-        ("r/a/b/y.py", None, "MIT", "r"),
-        ("r/a/LICENSE", None, "MIT", "r"),
-        ("r/c/LICENSE", "CC-BY-NC-4.0", "CC-BY-NC-4.0", None),
-        ("r/c/d/e/z.py", None, "CC-BY-NC-4.0", "r/c"),
-        ("top.py", None, None, None),
-        (None, "MIT", "MIT", None),
-        ("s/x.py", None, None, None),
-    ]
-    assert sorted(got, key=str) == sorted(want, key=str)
-    assert licenses.scan(files.limit(0), F.lit(True)).count() == 0
-    assert licenses.scan(files, F.lit(True), templates=[]).where("licence is not null").count() == 0
-
-
-def test_lines_over_the_threshold_hold_a_needed_word():
-    frequency = {"the": 900, "under": 40, "license": 5}
-    templates = licenses.Templates(licenses.TEMPLATES, frequency, 1000)
-    needed = licenses.needed_words(templates, licenses.LEAST)
-    rng = random.Random(4)
-    words = sorted(templates.idf)
-    for _ in range(3000):
-        line = " ".join(rng.choices(words, k=rng.randint(1, 6)))
-        best = templates.best(line)
-        if best and best[0] >= licenses.LEAST:
-            assert needed & set(line.split())
-
-
 def test_signs_and_numerals_are_no_letters(spark):
     """Fractions, superscripts and letter-like numerals have no language; any script's letters have."""
     model = language_id.Model(["a", "b"], np.array([[1], [-1]]), np.ones((language_id.BUCKETS, 1), np.float32), np.ones(1), np.ones(1))
