@@ -233,6 +233,15 @@ def streamed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """Events dealt evenly over tasks.
+
+    As pages they are ten times their size and more, and a task takes whole row groups of a file, however small
+    the file; unspread, a few tasks would make and parse most pages.
+    """
+    return events.repartition("event_id", "user_id", "ts")
+
+
 def streamed_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incomplete flights as a stream of pages with one bare object each."""
     return single_pages(without_some_keys(flight_rows(streamed(spark, sf_dir, "events"))))
@@ -255,7 +264,7 @@ def versions_of_flights(spark: SparkSession, sf_dir: str, part: int) -> DataFram
     an old one after it. The gate tells the version.
     """
     version = (F.col("event_id") + part) % 3
-    flights = without_some_keys(flight_rows(table(spark, sf_dir, "events")))
+    flights = without_some_keys(flight_rows(spread(table(spark, sf_dir, "events"))))
     return flights.withColumns(
         {
             "fetched_at": F.col("fetched_at") + F.make_dt_interval(hours=version.cast("int")),

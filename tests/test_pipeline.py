@@ -497,3 +497,18 @@ def test_reference_pages_of_one_second_are_decided_by_name(spark, lake, tmp_path
     runs.refine_reference(lake, "cities")
     # By their values alone, Zulu would be the greater row.
     assert [r.city_name for r in lake.reference("cities").read().collect()] == ["Alpha"]
+
+
+def test_flight_pages_of_one_small_file_are_made_by_several_tasks(spark, tmp_path):
+    from checks import views
+
+    events = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [(i, dt.datetime(2024, 1, 1, 0, i % 60), i % 7, "click", 2.5, '{"k": 1}') for i in range(200)]
+    spark.createDataFrame([*rows, (None,) * 6], events).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pages = views.single_pages(views.versions_of_flights(spark, str(tmp_path), 0))
+        assert pages.count() == 201
+        assert pages.select(F.spark_partition_id()).distinct().count() == 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
