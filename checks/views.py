@@ -244,7 +244,7 @@ def spread(events: DataFrame) -> DataFrame:
 
 def streamed_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incomplete flights as a stream of pages with one bare object each."""
-    return single_pages(without_some_keys(flight_rows(streamed(spark, sf_dir, "events"))))
+    return single_pages(without_some_keys(flight_rows(spread(streamed(spark, sf_dir, "events")))))
 
 
 def single_pages(rows: DataFrame) -> DataFrame:

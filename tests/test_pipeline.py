@@ -505,10 +505,15 @@ def test_flight_pages_of_one_small_file_are_made_by_several_tasks(spark, tmp_pat
     events = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     rows = [(i, dt.datetime(2024, 1, 1, 0, i % 60), i % 7, "click", 2.5, '{"k": 1}') for i in range(200)]
     spark.createDataFrame([*rows, (None,) * 6], events).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    out = tmp_path / "out"
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         pages = views.single_pages(views.versions_of_flights(spark, str(tmp_path), 0))
         assert pages.count() == 201
         assert pages.select(F.spark_partition_id()).distinct().count() == 4
+        stream = views.streamed_flight_pages(spark, str(tmp_path)).select("page_text")
+        flows.append_table(stream, str(out), str(tmp_path / "chk"), "pages").awaitTermination()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(str(out)).count() == 201
+    assert len(list(out.glob("*.parquet"))) == 4
