@@ -327,8 +327,9 @@ def stream_landing(spark, sf_dir):
     writer = pages.select("page_text").write.option("maxRecordsPerFile", 1)
     writer.text(f"{folder}/landing")
     bronze = Lake(spark, folder).bronze_reference("aircraft")
+    per_batch = flows.files_per_batch(spark.read.text(f"{folder}/landing"), 64)
     flows.landing_to_bronze(
-        spark, f"{folder}/landing", bronze, f"{folder}/chk", "landed", 64
+        spark, f"{folder}/landing", bronze, f"{folder}/chk", "landed", per_batch
     ).awaitTermination()
     stamped = bronze.read().filter(F.col("fetched_at").isNotNull() & F.col("bronze_ingested_at").isNotNull())
     rows = flatten.reference_items(landing.good_pages(stamped), "aircraft")

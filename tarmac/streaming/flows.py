@@ -7,6 +7,7 @@ merge tolerates.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -61,6 +62,18 @@ def read_table(
     return reader.parquet(path)
 
 
+# A micro-batch takes about a second, however few files it has, and every tenth one writes down again all files seen.
+MOST_BATCHES = 8
+
+
+def files_per_batch(waiting: DataFrame, least: int) -> int:
+    """How many of the files that ``waiting`` reads a micro-batch takes: ``least``, or more where that would make many.
+
+    So the time for a backlog follows its rows and not its files. The driver holds the names, as the stream does.
+    """
+    return max(least, math.ceil(len(waiting.inputFiles()) / MOST_BATCHES))
+
+
 def landing_to_bronze(
     spark: SparkSession,
     landing: str,

@@ -246,3 +246,17 @@ def test_audits_read_only_the_days_asked_for(spark, lake, tmp_path):
         assert "PartitionFilters: [isnotnull(fetch_day" in plan and "fetch_day" in plan.split("PartitionFilters")[1]
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert {r.fetch_run.day for r in audit.missing_flight_pages(lake, since).collect()} == {7, 8}
+
+
+def test_micro_batches_do_not_grow_in_number_with_the_backlog(spark, lake, tmp_path):
+    folder, text = str(tmp_path / "landing"), F.concat(F.lit('{"id":'), F.col("id").cast("string"), F.lit("}"))
+    pages = spark.range(40, numPartitions=1).select(text).write
+    pages.option("maxRecordsPerFile", 1).text(folder)
+    per_batch = flows.files_per_batch(spark.read.text(folder), 2)
+    assert per_batch == 5
+    query = flows.landing_to_bronze(spark, folder, lake.bronze_flights, str(tmp_path / "chk"), "landed", per_batch)
+    query.awaitTermination()
+    assert sum(progress.numInputRows > 0 for progress in query.recentProgress) == flows.MOST_BATCHES
+    assert lake.bronze_flights.read().select("page_text").distinct().count() == 40
+    # A small backlog is taken as before.
+    assert flows.files_per_batch(spark.read.text(folder), 6) == 6
