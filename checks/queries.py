@@ -297,8 +297,9 @@ def stream_by_name(spark, sf_dir):
         pages.filter(F.pmod(F.hash("file_name"), F.lit(2)) == part).write.mode("append").parquet(f"{folder}/pages")
         stream = flows.read_table(spark, f"{folder}/pages", "page_text string, file_name string")
         lake.bronze_flights.append(landing.bronze_pages(stream), lake.checkpoint("bronze"), "bronze").awaitTermination()
+        per_batch = flows.files_per_batch(lake.bronze_flights.read(), 4, 3)
         flows.bronze_to_parsed(
-            lake.bronze_flights, lake.parsed_flights, lake.checkpoint("parsed"), 4
+            lake.bronze_flights, lake.parsed_flights, lake.checkpoint("parsed"), per_batch
         ).awaitTermination()
     return spark.read.table(lake.name("parsed_flights")).select(*FACT_COLUMNS, "fetched_at", "route")
 

@@ -223,7 +223,10 @@ FLIGHT_PAGE_OPEN = '{"FlightStatusResource":{"Flights":{"Flight":'
 
 def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights as API pages: at most 50 of one event type, a lone one as a bare object."""
-    rows = flights_with_id(spark, sf_dir).withColumn("page_id", F.expr("event_id div 50"))
+    page_id = F.expr("event_id div 50")
+    # Dealt by page while they are small; packing them needs no other exchange.
+    events = table(spark, sf_dir, "events").repartition(page_id, "event_type")
+    rows = flight_rows(events).withColumn("page_id", page_id)
     return pages_of(rows, flight_item(), ["page_id", "event_type"], FLIGHT_PAGE_OPEN)
 
 

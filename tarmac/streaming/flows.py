@@ -66,12 +66,12 @@ def read_table(
 MOST_BATCHES = 8
 
 
-def files_per_batch(waiting: DataFrame, least: int) -> int:
+def files_per_batch(waiting: DataFrame, least: int, most_batches: int = MOST_BATCHES) -> int:
     """How many of the files that ``waiting`` reads a micro-batch takes: ``least``, or more where that would make many.
 
     So the time for a backlog follows its rows and not its files. The driver holds the names, as the stream does.
     """
-    return max(least, math.ceil(len(waiting.inputFiles()) / MOST_BATCHES))
+    return max(least, math.ceil(len(waiting.inputFiles()) / most_batches))
 
 
 def landing_to_bronze(

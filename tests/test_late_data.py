@@ -258,5 +258,6 @@ def test_micro_batches_do_not_grow_in_number_with_the_backlog(spark, lake, tmp_p
     query.awaitTermination()
     assert sum(progress.numInputRows > 0 for progress in query.recentProgress) == flows.MOST_BATCHES
     assert lake.bronze_flights.read().select("page_text").distinct().count() == 40
+    assert flows.files_per_batch(spark.read.text(folder), 4, 3) == 14
     # A small backlog is taken as before.
     assert flows.files_per_batch(spark.read.text(folder), 6) == 6

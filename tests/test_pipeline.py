@@ -517,3 +517,17 @@ def test_flight_pages_of_one_small_file_are_made_by_several_tasks(spark, tmp_pat
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert spark.read.parquet(str(out)).count() == 201
     assert len(list(out.glob("*.parquet"))) == 4
+
+
+def test_flights_are_dealt_by_page_before_they_grow(spark, tmp_path):
+    """The only exchange carries events, not items, and every page is whole."""
+    from checks import views
+
+    events = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    rows = [(i, dt.datetime(2024, 1, 1, 0, i % 60), i % 7, "click", 2.5, '{"k": 1}') for i in range(125)]
+    spark.createDataFrame([*rows, (None,) * 6], events).write.parquet(str(tmp_path / "events.parquet"))
+    pages = views.flight_pages(spark, str(tmp_path))
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning((event_id") == plan.count("Exchange ") == 1
+    items = pages.select(F.regexp_extract("page_text", r'TotalCount":(\d+)', 1).cast("int").alias("n"))
+    assert sorted(row.n for row in items.collect()) == [1, 25, 50, 50]
