@@ -102,9 +102,6 @@ class Encoder:
             yield from zip(group, [data[a:b] for a, b in itertools.pairwise(ends.tolist())])
 
     def _learn(self, parts: set[str]) -> None:
-        if len(self.known) > self.LIMIT:
-            self.known.clear()
-            self.tails.clear()
         known, tails, bare, split = self.known, self.tails, [], []
         for part in parts:
             core = part.rstrip(_PUNCTUATION)
@@ -127,15 +124,14 @@ class Encoder:
         for i in whole:
             parts[i] = [""]
         heads = [p.pop(0) for p in parts]
-        found = [list(map(self.known.get, p)) for p in parts]
-        lacking = [[k for k, ids in enumerate(f) if ids is None] if None in f else () for f in found]
-        self._learn({p[k] for p, places in zip(parts, lacking) for k in places})
-        out, odd = [], list(whole)
-        for i, (p, f, places) in enumerate(zip(parts, found, lacking)):
-            for k in places:
-                f[k] = self.known[p[k]]
+        if len(self.known) > self.LIMIT:
+            self.known.clear()
+            self.tails.clear()
+        self._learn(set(itertools.chain.from_iterable(parts)).difference(self.known))
+        out, odd, ids_of = [], list(whole), self.known.__getitem__
+        for i, p in enumerate(parts):
             try:
-                out.append(b"".join(f))
+                out.append(b"".join(map(ids_of, p)))
             except TypeError:  # a false among them
                 out.append(b"")
                 odd.append(i)
